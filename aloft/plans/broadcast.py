@@ -1,0 +1,25 @@
+"""Broadcast a join side only when its size is proven small.
+
+``limit(cap + 1).count()`` is a bounded job: every task stops after
+``cap + 1`` rows, so the check itself never scans a large table in full.
+If the side is larger than the cap the caller gets the frame back without
+a hint and Spark plans a shuffle join (which AQE may still demote to a
+broadcast at run time, from measured shuffle sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of a narrow (two or three column) join side we are willing to ship to
+# every executor: ~2M rows x ~24 bytes ~= 50 MB.
+DEFAULT_MAX_ROWS = 2_000_000
+
+
+def row_count_at_most(df: DataFrame, cap: int) -> bool:
+    return df.limit(cap + 1).count() <= cap
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
