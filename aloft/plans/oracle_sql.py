@@ -13,6 +13,8 @@ final SELECT.  Rounding rules: frame-side rounds are half-to-even on doubles
 
 from __future__ import annotations
 
+import re
+
 from aloft.functions import fixed
 
 NUM_RE = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
@@ -237,7 +239,7 @@ cause_s AS (
 def prefix() -> str:
     parts = [FLIGHT_VIEW, _tokens_cte(), _coerced_cte(), _medians_cte(), _filled_cte(), _clean_cte(),
              _feat_cte(), _summary_ctes()]
-    return "WITH " + ",\n".join(p.strip().rstrip(",") for p in parts) + "\n"
+    return "WITH " + ",\n".join(p.strip().rstrip(",") for p in parts) + TYPED_CTES + "\n"
 
 
 def sql(body: str) -> str:
@@ -303,7 +305,192 @@ def _registry() -> dict[str, str]:
                       "(SELECT \"DAY_OF_WEEK\", CAST(count(*) AS BIGINT) AS total, CAST(sum(disrupted) AS BIGINT) "
                       "AS disrupted FROM feat WHERE \"DAY_OF_WEEK\" IS NOT NULL GROUP BY \"DAY_OF_WEEK\") t "
                       "LEFT JOIN (VALUES " + days + ") l(d, label) ON t.\"DAY_OF_WEEK\" = l.d")
+    o.update(_warehouse_sql())
     return {k: sql(v) for k, v in o.items()}
 
 
+def _dec(x: str, p: int, s: int) -> str:
+    return f"CAST({x} AS DECIMAL({p},{s}))"
+
+
+def _char(x: str, n: int) -> str:
+    return f"rpad(rtrim({x}), {n}, ' ')"
+
+
+TYPED_CTES = """,
+airport_t AS (
+  SELECT rpad(rtrim("ORIGIN"), 3, ' ') AS origin, CAST(total_flights AS INTEGER) AS total_flights,
+         CAST(disrupted_flights AS INTEGER) AS disrupted_flights,
+         CAST(avg_dep_delay AS DECIMAL(6,2)) AS avg_dep_delay, CAST(avg_arr_delay AS DECIMAL(6,2)) AS avg_arr_delay,
+         CAST(cancellation_rate AS DECIMAL(5,4)) AS cancellation_rate,
+         CAST(diversion_rate AS DECIMAL(5,4)) AS diversion_rate,
+         CAST(disruption_rate AS DECIMAL(5,4)) AS disruption_rate, CAST("AFI" AS DECIMAL(5,4)) AS afi
+  FROM airport_afi
+),
+route_t AS (
+  SELECT route, CAST(total_flights AS INTEGER) AS total_flights, CAST(disrupted_flights AS INTEGER) AS disrupted_flights,
+         CAST(avg_dep_delay AS DECIMAL(6,2)) AS avg_dep_delay, CAST(avg_arr_delay AS DECIMAL(6,2)) AS avg_arr_delay,
+         CAST(avg_distance AS DECIMAL(7,2)) AS avg_distance, CAST(disruption_rate AS DECIMAL(5,4)) AS disruption_rate,
+         CAST("RRS" AS DECIMAL(5,2)) AS rrs
+  FROM route_rrs
+),
+carrier_t AS (
+  SELECT carrier AS op_unique_carrier, CAST(total_flights AS INTEGER) AS total_flights,
+         CAST(disrupted_flights AS INTEGER) AS disrupted_flights,
+         CAST(avg_dep_delay AS DECIMAL(6,2)) AS avg_dep_delay, CAST(avg_arr_delay AS DECIMAL(6,2)) AS avg_arr_delay,
+         CAST(cancellations AS INTEGER) AS cancellations, CAST(diversions AS INTEGER) AS diversions,
+         CAST(disruption_rate AS DECIMAL(5,4)) AS disruption_rate,
+         CAST(cancellation_rate AS DECIMAL(5,4)) AS cancellation_rate
+  FROM carrier_s
+),
+monthly_t AS (
+  SELECT CAST("YEAR" AS SMALLINT) AS year, CAST("MONTH" AS SMALLINT) AS month,
+         CAST(total_flights AS INTEGER) AS total_flights, CAST(disrupted_flights AS INTEGER) AS disrupted_flights,
+         CAST(avg_dep_delay AS DECIMAL(6,2)) AS avg_dep_delay, CAST(cancellations AS INTEGER) AS cancellations,
+         CAST(disruption_rate AS DECIMAL(5,4)) AS disruption_rate
+  FROM monthly_s
+),
+cause_t AS (
+  SELECT cause, CAST(total_minutes AS DECIMAL(12,1)) AS total_minutes, CAST(avg_minutes AS DECIMAL(6,2)) AS avg_minutes,
+         CAST(flight_count AS INTEGER) AS flight_count, CAST(pct_of_total AS DECIMAL(5,2)) AS pct_of_total
+  FROM cause_s
+),
+flights_prep AS (
+  SELECT
+    CAST(round_even(CAST("YEAR" AS DOUBLE), 0) AS SMALLINT) AS year,
+    CAST(round_even(CAST("MONTH" AS DOUBLE), 0) AS SMALLINT) AS month,
+    CAST(isodow(TRY_CAST("FL_DATE" AS DATE)) AS SMALLINT) AS day_of_week,
+    TRY_CAST("FL_DATE" AS DATE) AS fl_date,
+    "OP_UNIQUE_CARRIER" AS op_unique_carrier, "TAIL_NUM" AS tail_num, "OP_CARRIER_FL_NUM" AS flight_num,
+    "ORIGIN" AS origin, "DEST" AS dest, route,
+    CAST(round_even("CRS_DEP_TIME", 0) AS SMALLINT) AS crs_dep_time,
+    CAST(round_even(""" + num('"DEP_TIME"') + """, 0) AS SMALLINT) AS dep_time,
+    "DEP_DELAY" AS dep_delay, CAST("DEP_DEL15" AS SMALLINT) AS dep_del15,
+    "TAXI_OUT" AS taxi_out, "TAXI_IN" AS taxi_in,
+    CAST(round_even("CRS_ARR_TIME", 0) AS SMALLINT) AS crs_arr_time,
+    CAST(round_even(""" + num('"ARR_TIME"') + """, 0) AS SMALLINT) AS arr_time,
+    "ARR_DELAY" AS arr_delay, CAST("ARR_DEL15" AS SMALLINT) AS arr_del15,
+    CAST("CANCELLED" AS SMALLINT) AS cancelled, CAST("DIVERTED" AS SMALLINT) AS diverted,
+    "AIR_TIME" AS air_time, "DISTANCE" AS distance,
+    "CARRIER_DELAY" AS carrier_delay, "WEATHER_DELAY" AS weather_delay, "NAS_DELAY" AS nas_delay,
+    "SECURITY_DELAY" AS security_delay, "LATE_AIRCRAFT_DELAY" AS late_aircraft_delay,
+    CAST(disrupted AS SMALLINT) AS disrupted, CAST(is_weekend AS SMALLINT) AS is_weekend,
+    CAST(dep_hour AS SMALLINT) AS dep_hour, CAST(arr_hour AS SMALLINT) AS arr_hour, time_block
+  FROM feat
+),
+flights_typed AS (
+  SELECT year, month, day_of_week, fl_date, op_unique_carrier, tail_num, flight_num,
+         rpad(rtrim(origin), 3, ' ') AS origin, rpad(rtrim(dest), 3, ' ') AS dest, route,
+         crs_dep_time, dep_time, CAST(dep_delay AS DECIMAL(6,1)) AS dep_delay, dep_del15,
+         CAST(taxi_out AS DECIMAL(5,1)) AS taxi_out, CAST(taxi_in AS DECIMAL(5,1)) AS taxi_in,
+         crs_arr_time, arr_time, CAST(arr_delay AS DECIMAL(6,1)) AS arr_delay, arr_del15, cancelled, diverted,
+         CAST(air_time AS DECIMAL(6,1)) AS air_time, CAST(distance AS DECIMAL(7,1)) AS distance,
+         CAST(carrier_delay AS DECIMAL(6,1)) AS carrier_delay, CAST(weather_delay AS DECIMAL(6,1)) AS weather_delay,
+         CAST(nas_delay AS DECIMAL(6,1)) AS nas_delay, CAST(security_delay AS DECIMAL(6,1)) AS security_delay,
+         CAST(late_aircraft_delay AS DECIMAL(6,1)) AS late_aircraft_delay,
+         disrupted, is_weekend, dep_hour, arr_hour, time_block,
+         row_number() OVER (ORDER BY fl_date, flight_num, tail_num, origin, dest, crs_dep_time, crs_arr_time,
+                                     op_unique_carrier, year, month, day_of_week, route, dep_time, dep_delay,
+                                     dep_del15, taxi_out, taxi_in, arr_time, arr_delay, arr_del15, cancelled,
+                                     diverted, air_time, distance, carrier_delay, weather_delay, nas_delay,
+                                     security_delay, late_aircraft_delay, disrupted, is_weekend, dep_hour,
+                                     arr_hour, time_block) AS flight_id
+  FROM flights_prep
+)"""
+
+# Double -> DECIMAL goes through the shortest decimal text of the double, as a load of
+# exported text does (and as Spark's double -> decimal cast does).
+TYPED_CTES = re.sub(r'CAST\(("?[A-Za-z_]+"?) AS DECIMAL\((\d+),(\d+)\)\)',
+                    r'CAST(CAST(\1 AS VARCHAR) AS DECIMAL(\2,\3))', TYPED_CTES)
+
+FLIGHT_COLS = ("flight_id, year, month, day_of_week, fl_date, op_unique_carrier, tail_num, flight_num, origin, "
+               "dest, route, crs_dep_time, dep_time, dep_delay, dep_del15, taxi_out, taxi_in, crs_arr_time, "
+               "arr_time, arr_delay, arr_del15, cancelled, diverted, air_time, distance, carrier_delay, "
+               "weather_delay, nas_delay, security_delay, late_aircraft_delay, disrupted, is_weekend, dep_hour, "
+               "arr_hour, time_block")
+
+
+def _export_cols(cols) -> str:
+    renames = dict(fixed.EXPORT_RENAMES)
+    return ", ".join(f"{q(c)} AS {q(renames.get(c, c).lower())}" for c in cols)
+
+
+def _warehouse_sql() -> dict[str, str]:
+    o: dict[str, str] = {}
+    feat_cols = list(fixed.RAW_COLUMNS) + ["disrupted", "route", "is_weekend", "dep_hour", "arr_hour",
+                                           "time_block"]
+    o["export_rename"] = f"SELECT {_export_cols(feat_cols)} FROM feat"
+    o["contract_projection"] = ('SELECT route, total_flights, disrupted_flights, avg_dep_delay, avg_arr_delay, '
+                                'avg_distance, disruption_rate, "RRS" AS rrs FROM route_rrs')
+    o["load_airport_summary"] = "SELECT * FROM airport_t"
+    o["load_route_summary"] = "SELECT * FROM route_t"
+    o["load_carrier_summary"] = "SELECT * FROM carrier_t"
+    o["load_monthly_summary"] = "SELECT * FROM monthly_t"
+    o["load_delay_cause_summary"] = "SELECT * FROM cause_t"
+    o["typed_cast_flights"] = "SELECT * EXCLUDE (flight_id) FROM flights_typed"
+    o["coerce_smallint"] = ("SELECT flight_num, year, month, day_of_week, crs_dep_time, dep_time, crs_arr_time, "
+                            "arr_time, dep_del15, arr_del15, cancelled, diverted, disrupted, is_weekend, dep_hour, "
+                            "arr_hour FROM flights_prep")
+    o["parse_fl_date"] = "SELECT flight_num, fl_date FROM flights_prep"
+    o["iso_day_of_week"] = "SELECT flight_num, fl_date, day_of_week FROM flights_prep"
+    o["load_flights_cleaned"] = f"SELECT {FLIGHT_COLS} FROM flights_typed"
+    o["surrogate_key"] = "SELECT flight_id, fl_date, flight_num, tail_num, origin, dest FROM flights_typed"
+    o["row_cap"] = f"SELECT {FLIGHT_COLS} FROM flights_typed WHERE flight_id <= {fixed.SERVED_ROW_CAP}"
+    pk = []
+    for t, key in (("airport_summary", "origin"), ("route_summary", "route"),
+                   ("carrier_summary", "op_unique_carrier"), ("monthly_summary", "year, month"),
+                   ("delay_cause_summary", "cause")):
+        src = {"airport_summary": "airport_t", "route_summary": "route_t", "carrier_summary": "carrier_t",
+               "monthly_summary": "monthly_t", "delay_cause_summary": "cause_t"}[t]
+        nulls = " OR ".join(f"{k.strip()} IS NULL" for k in key.split(","))
+        pk.append(f"SELECT '{t}' AS table_name, CAST(COALESCE(sum(CASE WHEN nn THEN n ELSE 0 END), 0) AS BIGINT) "
+                  f"AS key_nulls, CAST(COALESCE(sum(CASE WHEN n > 1 THEN n - 1 END), 0) AS BIGINT) AS duplicate_keys "
+                  f"FROM (SELECT count(*) AS n, bool_or({nulls}) AS nn FROM {src} GROUP BY {key})")
+    o["pk_violations"] = " UNION ALL ".join(pk)
+    o["view_top_disrupted_airports"] = (
+        "SELECT origin AS airport, total_flights, disrupted_flights, "
+        "CAST(round(disruption_rate * 100, 1) AS DECIMAL(5,1)) AS disruption_pct, "
+        "CAST(round(avg_dep_delay, 1) AS DECIMAL(5,1)) AS avg_dep_delay_min, "
+        "CAST(round(cancellation_rate * 100, 2) AS DECIMAL(5,2)) AS cancel_pct, "
+        "CAST(round(afi, 4) AS DECIMAL(5,4)) AS fragility_index FROM airport_t "
+        "ORDER BY disruption_pct DESC NULLS FIRST, airport LIMIT 10")
+    o["view_unstable_routes"] = (
+        "SELECT route, total_flights, disrupted_flights, "
+        "CAST(round(disruption_rate * 100, 1) AS DECIMAL(5,1)) AS disruption_pct, "
+        "CAST(round(avg_dep_delay, 1) AS DECIMAL(5,1)) AS avg_dep_delay_min, "
+        "CAST(round(rrs, 1) AS DECIMAL(4,1)) AS reliability_score FROM route_t WHERE total_flights >= 50 "
+        "ORDER BY disruption_pct DESC NULLS FIRST, route LIMIT 10")
+    o["view_carrier_disruption"] = (
+        "SELECT op_unique_carrier, total_flights, disrupted_flights, "
+        "CAST(round(disruption_rate * 100, 1) AS DECIMAL(5,1)) AS disruption_pct, "
+        "CAST(round(avg_dep_delay, 1) AS DECIMAL(5,1)) AS avg_dep_delay_min, "
+        "CAST(round(avg_arr_delay, 1) AS DECIMAL(5,1)) AS avg_arr_delay_min, cancellations, "
+        "CAST(round(cancellation_rate * 100, 2) AS DECIMAL(5,2)) AS cancel_pct, diversions FROM carrier_t")
+    o["view_monthly_trend"] = (
+        "SELECT year, month, CASE WHEN month BETWEEN 1 AND 12 THEN strftime(make_date(2000, month, 1), '%b') END "
+        "AS month_name, total_flights, disrupted_flights, "
+        "CAST(round(disruption_rate * 100, 2) AS DECIMAL(5,2)) AS disruption_pct, "
+        "CAST(round(avg_dep_delay, 1) AS DECIMAL(5,1)) AS avg_dep_delay_min, cancellations FROM monthly_t")
+    o["view_root_causes"] = (
+        "SELECT cause, CAST(round(total_minutes / 60.0, 0) AS DECIMAL(12,0)) AS total_hours, total_minutes, "
+        "avg_minutes, flight_count, CAST(round(pct_of_total, 1) AS DECIMAL(4,1)) AS pct_of_total_delay "
+        "FROM cause_t")
+    o["view_top_cancel_airports"] = (
+        "SELECT origin AS airport, total_flights, "
+        "CAST(round(cancellation_rate * 100, 2) AS DECIMAL(5,2)) AS cancel_pct, "
+        "CAST(round(disruption_rate * 100, 1) AS DECIMAL(5,1)) AS disruption_pct, "
+        "CAST(round(afi, 4) AS DECIMAL(5,4)) AS fragility_index FROM airport_t WHERE total_flights >= 100 "
+        "ORDER BY cancel_pct DESC NULLS FIRST, airport LIMIT 15")
+    o["view_top_arrival_delay"] = (
+        "SELECT airport, total_flights, avg_arr_delay_min, disruption_pct, fragility_index FROM ("
+        "SELECT origin AS airport, total_flights, avg_arr_delay, "
+        "CAST(round(avg_arr_delay, 1) AS DECIMAL(5,1)) AS avg_arr_delay_min, "
+        "CAST(round(disruption_rate * 100, 1) AS DECIMAL(5,1)) AS disruption_pct, "
+        "CAST(round(afi, 4) AS DECIMAL(5,4)) AS fragility_index FROM airport_t WHERE total_flights >= 100 "
+        "ORDER BY avg_arr_delay DESC NULLS FIRST, airport LIMIT 15)")
+    o["chart_top_airports"] = ('SELECT "ORIGIN", disruption_rate, "AFI" FROM airport_afi '
+                               'ORDER BY "AFI" DESC NULLS LAST, "ORIGIN" LIMIT 15')
+    return o
+
+
 ORACLE: dict[str, str] = _registry()

@@ -15,6 +15,8 @@ from aloft.functions import fixed
 from aloft.operators import clean as C
 from aloft.operators import features as FE
 from aloft.operators import summaries as S
+from aloft.plans import views as V
+from aloft.sources import warehouse as W
 from aloft.sources.flightview import flight_view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,9 +81,68 @@ def _registry() -> dict[str, Query]:
     q["overall_rate"] = lambda s, sf: S.overall_rate(enriched(s, sf))
     q["month_trend"] = lambda s, sf: S.month_trend(S.monthly_summary(enriched(s, sf)))
     q["dow_trend"] = lambda s, sf: S.dow_trend(enriched(s, sf))
+
+    # --- warehouse: export naming, contracts, typed loads -------------------------
+    q["export_rename"] = lambda s, sf: W.export_rename(enriched(s, sf))
+    q["contract_projection"] = lambda s, sf: W.contract_projection(
+        W.export_rename(S.route_reliability(enriched(s, sf))), W.ROUTE)[0]
+    for name, build, contract in _SUMMARY_LOADS:
+        q[f"load_{name}"] = (lambda b, c: lambda s, sf: W.load_summary(b(enriched(s, sf)), c))(build, contract)
+    q["typed_cast_flights"] = lambda s, sf: W.conform(
+        W.prepare_flights(enriched(s, sf)), W.FLIGHTS, strict=False).drop("flight_id")
+    q["coerce_smallint"] = lambda s, sf: W.prepare_flights(enriched(s, sf)).select(
+        "flight_num", *W.FLIGHT_SMALLINT)
+    q["parse_fl_date"] = lambda s, sf: W.prepare_flights(enriched(s, sf)).select("flight_num", "fl_date")
+    q["iso_day_of_week"] = lambda s, sf: W.prepare_flights(enriched(s, sf)).select(
+        "flight_num", "fl_date", "day_of_week")
+    q["load_flights_cleaned"] = lambda s, sf: W.load_flights(enriched(s, sf))
+    q["surrogate_key"] = lambda s, sf: W.load_flights(enriched(s, sf)).select(
+        "flight_id", "fl_date", "flight_num", "tail_num", "origin", "dest")
+    q["row_cap"] = lambda s, sf: W.load_flights(enriched(s, sf), row_cap=fixed.SERVED_ROW_CAP)
+    q["pk_violations"] = _pk_violations
+
+    # --- reporting views over the typed tables --------------------------------------
+    q["view_top_disrupted_airports"] = lambda s, sf: V.top_disrupted_airports(_airport_table(s, sf))
+    q["view_unstable_routes"] = lambda s, sf: V.unstable_routes(
+        W.load_summary(S.route_reliability(enriched(s, sf)), W.ROUTE))
+    q["view_carrier_disruption"] = lambda s, sf: V.carrier_disruption(
+        W.load_summary(S.carrier_summary(enriched(s, sf)), W.CARRIER))
+    q["view_monthly_trend"] = lambda s, sf: V.monthly_trend(
+        W.load_summary(S.monthly_summary(enriched(s, sf)), W.MONTHLY))
+    q["view_root_causes"] = lambda s, sf: V.root_causes(
+        W.load_summary(S.delay_cause_summary(enriched(s, sf)), W.CAUSE))
+    q["view_top_cancel_airports"] = lambda s, sf: V.top_cancel_airports(_airport_table(s, sf))
+    q["view_top_arrival_delay"] = lambda s, sf: V.top_arrival_delay(_airport_table(s, sf))
+
+    # --- chart tables ---------------------------------------------------------------
+    q["chart_top_airports"] = lambda s, sf: (
+        S.airport_fragility(enriched(s, sf)).select("ORIGIN", "disruption_rate", "AFI")
+        .orderBy(F.col("AFI").desc_nulls_last(), F.col("ORIGIN")).limit(fixed.TOP_AIRPORTS_CHART))
     return q
 
 
+_SUMMARY_LOADS = (
+    ("airport_summary", S.airport_fragility, W.AIRPORT),
+    ("route_summary", S.route_reliability, W.ROUTE),
+    ("carrier_summary", S.carrier_summary, W.CARRIER),
+    ("monthly_summary", S.monthly_summary, W.MONTHLY),
+    ("delay_cause_summary", S.delay_cause_summary, W.CAUSE),
+)
+
+
+def _airport_table(spark: SparkSession, sf: str) -> DataFrame:
+    return W.load_summary(S.airport_fragility(enriched(spark, sf)), W.AIRPORT)
+
+
+def _pk_violations(spark: SparkSession, sf: str) -> DataFrame:
+    df = enriched(spark, sf)
+    out = None
+    for _, build, contract in _SUMMARY_LOADS:
+        part = W.pk_violations(W.load_summary(build(df), contract), contract)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 QUERIES: dict[str, Query] = _registry()
 
 

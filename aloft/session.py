@@ -18,6 +18,22 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.exchange.reuse": "true",
+    # No broadcast from static size estimates (a parquet file's size says little
+    # about its decoded size): joins broadcast only behind an explicit, checked hint
+    # (see aloft.plans.broadcast) or when AQE has *measured* a shuffle side small.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # When AQE demotes a sort-merge join to a broadcast join, read the already
+    # written shuffle by reducer partition (balanced, coalesced) rather than by
+    # mapper: a few large map tasks would otherwise fix the parallelism of
+    # everything downstream.
+    "spark.sql.adaptive.localShuffleReader.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # Wide projections (28+ columns with nested CASE/cast chains) generate Java
+    # methods above HotSpot's 8 KB JIT limit; without this flag they would run
+    # interpreted, several times slower.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
@@ -26,6 +42,16 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # one machine: favour parallelism over partition size
+        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "128KB"
+        cores = master[len("local["):-1] if master.startswith("local[") else "1"
+        cores = os.cpu_count() if cores == "*" else int(cores)
+        conf["spark.sql.adaptive.coalescePartitions.minPartitionNum"] = str(2 * cores)
+    else:
+        # a busy cluster: fewer, larger post-shuffle partitions (~128 MB each)
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = "128MB"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
