@@ -109,12 +109,21 @@ def drop_missing_keys(df: DataFrame, keys: Sequence[str] = fixed.KEY_COLUMNS) ->
     return df.dropna(subset=list(keys))
 
 
-def clean_flights(raw: DataFrame, tokens: Sequence[str] | None = fixed.NULL_TOKENS) -> DataFrame:
-    """The whole cleaning stage on a raw (string) flight frame."""
+def coerce_raw(raw: DataFrame, tokens: Sequence[str] | None = fixed.NULL_TOKENS) -> DataFrame:
+    """Null spellings + numeric coercion: the part of cleaning that needs the raw text."""
     require_columns(raw, fixed.KEY_COLUMNS, "clean_flights")
     df = replace_null_tokens(raw, tokens) if tokens is not None else raw
-    df = coerce_numeric(df)
-    df = fill_causes_zero(df)
+    return coerce_numeric(df)
+
+
+def finish_cleaning(coerced: DataFrame) -> DataFrame:
+    """Imputation and key filter on an already coerced frame (medians before the drop)."""
+    df = fill_causes_zero(coerced)
     df = median_fill(df)
     df = fill_flags(df)
     return drop_missing_keys(df)
+
+
+def clean_flights(raw: DataFrame, tokens: Sequence[str] | None = fixed.NULL_TOKENS) -> DataFrame:
+    """The whole cleaning stage on a raw (string) flight frame."""
+    return finish_cleaning(coerce_raw(raw, tokens))

@@ -488,6 +488,33 @@ def _warehouse_sql() -> dict[str, str]:
         "CAST(round(disruption_rate * 100, 1) AS DECIMAL(5,1)) AS disruption_pct, "
         "CAST(round(afi, 4) AS DECIMAL(5,4)) AS fragility_index FROM airport_t WHERE total_flights >= 100 "
         "ORDER BY avg_arr_delay DESC NULLS FIRST, airport LIMIT 15)")
+    raw_cols = list(fixed.RAW_COLUMNS)
+    o["scan_csv_folder"] = ("SELECT " + ", ".join(
+        f"CASE WHEN CAST(\"YEAR\" AS INTEGER) >= 2000 THEN NULL ELSE {q(c)} END AS {q(c)}" if c == "TAXI_IN"
+        else q(c) for c in raw_cols) + " FROM tokened")
+    o["union_by_name"] = ("SELECT " + ", ".join(
+        f"CASE WHEN CAST(\"YEAR\" AS INTEGER) >= 1998 THEN NULL ELSE {q(c)} END AS {q(c)}"
+        if c in fixed.CAUSE_COLUMNS else q(c) for c in raw_cols) + " FROM tokened")
+    o["standardize_columns"] = "SELECT * FROM flights_raw"
+    o["csv_roundtrip"] = ('SELECT "ORIGIN" AS origin, total_flights, disrupted_flights, avg_dep_delay, avg_arr_delay, '
+                          'cancellation_rate, diversion_rate, disruption_rate, norm_disruption, norm_delay, '
+                          'norm_cancel, norm_divert, "AFI" AS afi FROM airport_afi')
+    o["partitioned_scan"] = f"SELECT {FLIGHT_COLS} FROM flights_typed"
+    o["stage_counts"] = (
+        "SELECT 1 AS step, 'raw' AS stage, CAST(count(*) AS BIGINT) AS row_count FROM flights_raw UNION ALL "
+        "SELECT 2, 'cleaned', CAST(count(*) AS BIGINT) FROM clean UNION ALL "
+        "SELECT 3, 'airports', CAST(count(*) AS BIGINT) FROM airport_base UNION ALL "
+        "SELECT 4, 'routes', CAST(count(*) AS BIGINT) FROM route_base UNION ALL "
+        "SELECT 5, 'carriers', CAST(count(*) AS BIGINT) FROM carrier_s UNION ALL "
+        "SELECT 6, 'months', CAST(count(*) AS BIGINT) FROM monthly_s")
+    o["all_summaries_grouping_sets"] = (
+        'SELECT CAST(grouping_id("ORIGIN", route, "OP_UNIQUE_CARRIER", "YEAR", "MONTH", "DAY_OF_WEEK") AS BIGINT) '
+        'AS grain, "ORIGIN", route, "OP_UNIQUE_CARRIER", "YEAR", "MONTH", "DAY_OF_WEEK", '
+        'CAST(count(*) AS BIGINT) AS total_flights, CAST(sum(disrupted) AS BIGINT) AS disrupted_flights, '
+        'avg("DEP_DELAY") AS avg_dep_delay, avg("ARR_DELAY") AS avg_arr_delay, avg("DISTANCE") AS avg_distance, '
+        'CAST(sum("CANCELLED") AS BIGINT) AS cancellations, CAST(sum("DIVERTED") AS BIGINT) AS diversions '
+        'FROM feat GROUP BY GROUPING SETS (("ORIGIN"), (route), ("OP_UNIQUE_CARRIER"), ("YEAR", "MONTH"), '
+        '("DAY_OF_WEEK"))')
     o["chart_top_airports"] = ('SELECT "ORIGIN", disruption_rate, "AFI" FROM airport_afi '
                                'ORDER BY "AFI" DESC NULLS LAST, "ORIGIN" LIMIT 15')
     return o

@@ -15,7 +15,9 @@ from aloft.functions import fixed
 from aloft.operators import clean as C
 from aloft.operators import features as FE
 from aloft.operators import summaries as S
+from aloft.plans import pipeline as P
 from aloft.plans import views as V
+from aloft.sources import csv_folder as CF
 from aloft.sources import warehouse as W
 from aloft.sources.flightview import flight_view
 
@@ -118,9 +120,71 @@ def _registry() -> dict[str, Query]:
     q["chart_top_airports"] = lambda s, sf: (
         S.airport_fragility(enriched(s, sf)).select("ORIGIN", "disruption_rate", "AFI")
         .orderBy(F.col("AFI").desc_nulls_last(), F.col("ORIGIN")).limit(fixed.TOP_AIRPORTS_CHART))
+
+    # --- sources and sinks: CSV folder with header drift, CSV round trip, layout -----
+    q["scan_csv_folder"] = lambda s, sf: CF.read_csv_folder(s, _csv_drift_folders(s, sf))
+    q["union_by_name"] = _union_by_name
+    q["standardize_columns"] = lambda s, sf: C.standardize_columns(
+        raw(s, sf).toDF(*[f"  {c.lower()} " for c in fixed.RAW_COLUMNS]))
+    q["csv_roundtrip"] = _csv_roundtrip
+    q["partitioned_scan"] = _partitioned_scan
+    q["load_status"] = lambda s, sf: P.status_frame(
+        s, P.load_tables(s, enriched(s, sf), P.new_scratch(s, "tables")))
+    q["stage_counts"] = lambda s, sf: P.stage_counts(raw(s, sf))
+    q["all_summaries_grouping_sets"] = lambda s, sf: S.all_summaries_grouping_sets(enriched(s, sf))
     return q
 
 
+def _year(df: DataFrame):
+    return F.coalesce(F.col("YEAR").cast("int"), F.lit(0))
+
+
+def _csv_drift_folders(spark: SparkSession, sf: str) -> list[str]:
+    """Write the flight rows as CSV files whose headers drift, return their folders.
+
+    files of years <= 1997: the source layout; 1998-1999: columns in reverse order,
+    lower-case, padded names; >= 2000: no TAXI_IN column and a trailing blank-header
+    column.
+    """
+    df = raw(spark, sf)
+    base = P.new_scratch(spark, "csv-drift")
+    y = _year(df)
+    cols = list(fixed.RAW_COLUMNS)
+    g1 = df.where(y <= 1997)
+    g2 = df.where((y >= 1998) & (y <= 1999)).select(
+        *[F.col(c).alias(f" {c.lower()} ") for c in reversed(cols)])
+    g3 = df.where(y >= 2000).drop("TAXI_IN").withColumn(" ", F.lit(None).cast("string"))
+    folders = []
+    for i, g in enumerate((g1, g2, g3), start=1):
+        path = f"{base}/g{i}"
+        CF.write_csv_folder(g, path)
+        folders.append(path)
+    return folders
+
+
+def _union_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    df = tokened(spark, sf)
+    y = _year(df)
+    early = df.where(y <= 1997).select(*reversed(df.columns))
+    late = df.where(y >= 1998).drop(*fixed.CAUSE_COLUMNS)
+    return CF.union_by_name([early, late])
+
+
+def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    exported = W.export_rename(S.airport_fragility(enriched(spark, sf)))
+    path = P.new_scratch(spark, "csv-airports")
+    W.write_csv(exported, path, single_file=True)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in exported.schema.fields)
+    return W.read_csv(spark, path, schema=schema)
+
+
+def _partitioned_scan(spark: SparkSession, sf: str) -> DataFrame:
+    path = P.new_scratch(spark, "flights-layout")
+    W.save_table(W.load_flights(enriched(spark, sf)), path, partition_by=P.FLIGHT_PARTITIONS,
+                 sort_by=P.FLIGHT_CLUSTER, tiebreak=("flight_id",))
+    return W.read_table(spark, path, W.FLIGHTS)
+
+
 _SUMMARY_LOADS = (
     ("airport_summary", S.airport_fragility, W.AIRPORT),
     ("route_summary", S.route_reliability, W.ROUTE),

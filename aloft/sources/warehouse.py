@@ -243,18 +243,32 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV sink with a header; NULL is written as an empty field.  ``single_file``
     is meant for the small summaries only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    (out.write.mode("overwrite").option("header", True)
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .csv(path))
 
 
-def read_csv(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
-    """Re-scan an exported CSV (explicit schema when a contract is given)."""
+def read_csv(spark: SparkSession, path: str, contract: Contract | None = None,
+             schema: str | None = None) -> DataFrame:
+    """Re-scan an exported CSV with an explicit schema (from a contract or given)."""
     reader = spark.read.option("header", True)
     if contract is not None:
         schema = ", ".join(f"{c} {_csv_type(t)}" for c, t in contract.columns)
+    if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
 
 
+def table_schema(contract: Contract) -> str:
+    """Spark schema string of a contract (CHAR/VARCHAR stored as STRING)."""
+    return ", ".join(f"{c} {_csv_type(t)}" for c, t in contract.columns)
+
+
+def read_table(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+    """Read a saved table with its declared schema; columns in contract order."""
+    return spark.read.schema(table_schema(contract)).parquet(path).select(*contract.names)
+
+
 def _csv_type(t: str) -> str:
     t = t.upper()
     if t.startswith(("CHAR", "VARCHAR")):
