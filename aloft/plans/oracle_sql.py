@@ -239,7 +239,7 @@ cause_s AS (
 def prefix() -> str:
     parts = [FLIGHT_VIEW, _tokens_cte(), _coerced_cte(), _medians_cte(), _filled_cte(), _clean_cte(),
              _feat_cte(), _summary_ctes()]
-    return "WITH " + ",\n".join(p.strip().rstrip(",") for p in parts) + TYPED_CTES + "\n"
+    return "WITH " + ",\n".join(p.strip().rstrip(",") for p in parts) + TYPED_CTES + "," + ML_CTES + "\n"
 
 
 def sql(body: str) -> str:
@@ -515,9 +515,117 @@ def _warehouse_sql() -> dict[str, str]:
         'CAST(sum("CANCELLED") AS BIGINT) AS cancellations, CAST(sum("DIVERTED") AS BIGINT) AS diversions '
         'FROM feat GROUP BY GROUPING SETS (("ORIGIN"), (route), ("OP_UNIQUE_CARRIER"), ("YEAR", "MONTH"), '
         '("DAY_OF_WEEK"))')
+    o.update(_ml_sql())
     o["chart_top_airports"] = ('SELECT "ORIGIN", disruption_rate, "AFI" FROM airport_afi '
                                'ORDER BY "AFI" DESC NULLS LAST, "ORIGIN" LIMIT 15')
     return o
 
 
+
+ML_FEATS = ('"MONTH", "DAY_OF_WEEK", "OP_UNIQUE_CARRIER", "ORIGIN", "DEST", "CRS_DEP_TIME", "DISTANCE", '
+            'dep_hour, is_weekend, time_block')
+ML_KEYS = '"OP_CARRIER_FL_NUM", "TAIL_NUM", "FL_DATE"'
+ML_NUM = ("MONTH", "DAY_OF_WEEK", "CRS_DEP_TIME", "DISTANCE", "dep_hour", "is_weekend")
+ML_CAT = ("OP_UNIQUE_CARRIER", "ORIGIN", "DEST", "time_block")
+
+ML_CTES = """
+ml AS (
+  SELECT """ + ML_KEYS + ", " + ML_FEATS + """, disrupted FROM feat
+  WHERE "MONTH" IS NOT NULL AND "DAY_OF_WEEK" IS NOT NULL AND "OP_UNIQUE_CARRIER" IS NOT NULL
+    AND "ORIGIN" IS NOT NULL AND "DEST" IS NOT NULL AND "CRS_DEP_TIME" IS NOT NULL AND "DISTANCE" IS NOT NULL
+    AND dep_hour IS NOT NULL AND is_weekend IS NOT NULL AND time_block IS NOT NULL AND disrupted IS NOT NULL
+),
+ml_counts AS (SELECT disrupted, CAST(count(*) AS BIGINT) AS n_c FROM ml GROUP BY disrupted),
+ml_a1 AS (
+  SELECT disrupted, n_c, CAST(sum(n_c) OVER () AS DOUBLE) AS n,
+         CAST(sum(n_c) OVER () AS DOUBLE) - ceil(0.2::DOUBLE * CAST(sum(n_c) OVER () AS DOUBLE)) AS ntrain
+  FROM ml_counts
+),
+ml_a2 AS (SELECT *, (CAST(n_c AS DOUBLE) / n) * ntrain AS cont FROM ml_a1),
+ml_a3 AS (SELECT *, floor(cont) AS fl, cont - floor(cont) AS rem FROM ml_a2),
+ml_a4 AS (SELECT *, ntrain - sum(fl) OVER () AS need,
+                 row_number() OVER (ORDER BY rem DESC, disrupted) AS rk FROM ml_a3),
+ml_alloc AS (SELECT disrupted, n_c, CAST(n_c - (fl + CASE WHEN rk <= need THEN 1 ELSE 0 END) AS BIGINT) AS test_c
+             FROM ml_a4),
+ml_split AS (
+  SELECT m.*, CASE WHEN row_number() OVER (PARTITION BY m.disrupted ORDER BY
+             md5(concat_ws('|', '42', "OP_CARRIER_FL_NUM", "TAIL_NUM", "FL_DATE")), """ + ML_KEYS + ", " + ML_FEATS + """)
+             <= a.test_c THEN 'test' ELSE 'train' END AS split
+  FROM ml m JOIN ml_alloc a ON m.disrupted = a.disrupted
+),
+ml_train AS (SELECT * FROM ml_split WHERE split = 'train'),
+ml_sd AS (
+  SELECT """ + ", ".join(
+    f"COALESCE(CASE WHEN sqrt(greatest((sum(CAST({q(c)} AS DOUBLE) * CAST({q(c)} AS DOUBLE)) - sum(CAST({q(c)} AS DOUBLE)) "
+    f"* sum(CAST({q(c)} AS DOUBLE)) / CAST(count(*) AS DOUBLE)) / CAST(count(*) AS DOUBLE), 0.0)) <> 0 THEN "
+    f"sqrt(greatest((sum(CAST({q(c)} AS DOUBLE) * CAST({q(c)} AS DOUBLE)) - sum(CAST({q(c)} AS DOUBLE)) "
+    f"* sum(CAST({q(c)} AS DOUBLE)) / CAST(count(*) AS DOUBLE)) / CAST(count(*) AS DOUBLE), 0.0)) END, 1.0) AS {q('sd_' + c)}"
+    for c in ML_NUM) + """ FROM ml_train
+),
+closed AS (
+  SELECT disrupted AS label,
+         ((CAST(substr("ORIGIN", 2, 2) AS INTEGER) % 12) * 8 + CAST(trunc("DISTANCE") AS INTEGER) % 10) / 100.0::DOUBLE
+         AS score
+  FROM ml
+),
+closed_p AS (SELECT label, score, CASE WHEN score > 0.5 THEN 1 ELSE 0 END AS pred FROM closed),
+conf AS (
+  SELECT CAST(count(*) FILTER (WHERE label = 1 AND pred = 1) AS BIGINT) AS tp,
+         CAST(count(*) FILTER (WHERE label = 0 AND pred = 1) AS BIGINT) AS fp,
+         CAST(count(*) FILTER (WHERE label = 1 AND pred = 0) AS BIGINT) AS fn,
+         CAST(count(*) FILTER (WHERE label = 0 AND pred = 0) AS BIGINT) AS tn
+  FROM closed_p
+),
+auc_s AS (
+  SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg FROM closed_p
+  GROUP BY score
+),
+auc_r AS (SELECT pos, neg, COALESCE(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                 AS below FROM auc_s),
+auc AS (SELECT CASE WHEN sum(pos) * sum(neg) = 0 THEN 0.0 ELSE
+               sum(CAST(pos AS DOUBLE) * (CAST(below AS DOUBLE) + CAST(neg AS DOUBLE) * 0.5::DOUBLE))
+               / CAST(sum(pos) * sum(neg) AS DOUBLE) END AS roc_auc FROM auc_r)"""
+
+
+def _d0(a: str, b: str) -> str:
+    return f"(CASE WHEN ({b}) = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) END)"
+
+
+def _ml_sql() -> dict[str, str]:
+    o: dict[str, str] = {}
+    o["ml_frame"] = f"SELECT {ML_FEATS}, disrupted FROM ml"
+    o["stratified_split"] = f"SELECT {ML_KEYS}, disrupted, split FROM ml_split"
+    o["class_weights"] = ("SELECT disrupted, n_c, CAST(sum(n_c) OVER () AS DOUBLE) / "
+                          "CAST(count(*) OVER () * n_c AS DOUBLE) AS weight "
+                          "FROM (SELECT disrupted, CAST(count(*) AS BIGINT) AS n_c FROM ml_train GROUP BY disrupted)")
+    o["standard_scale"] = (f"SELECT {ML_KEYS}, split, " + ", ".join(
+        f"CAST({q(c)} AS DOUBLE) / {q('sd_' + c)} AS {q(c)}" for c in ML_NUM) + " FROM ml_split CROSS JOIN ml_sd")
+    parts = []
+    for c in ML_CAT:
+        parts.append(f"SELECT {ML_KEYS}, split, '{c}_' || {q(c)} AS feature, 1.0::DOUBLE AS value FROM ml_split "
+                     f"WHERE {q(c)} IN (SELECT {q(c)} FROM ml_train)")
+    o["one_hot"] = " UNION ALL ".join(parts)
+    o["binary_metrics"] = (
+        "SELECT " + rnd(_d0("tp + tn", "tp + fp + fn + tn"), 4) + " AS accuracy, "
+        + rnd(_d0("tp", "tp + fp"), 4) + " AS precision, " + rnd(_d0("tp", "tp + fn"), 4) + " AS recall, "
+        + rnd(_d0("2 * tp", "2 * tp + fp + fn"), 4) + " AS f1, " + rnd("roc_auc", 4) + " AS roc_auc "
+        "FROM conf CROSS JOIN auc")
+    r = ("(SELECT " + _d0("tn", "tn + fn") + " AS p0, " + _d0("tn", "tn + fp") + " AS r0, "
+         + _d0("2 * tn", "2 * tn + fn + fp") + " AS f0, tn + fp AS s0, "
+         + _d0("tp", "tp + fp") + " AS p1, " + _d0("tp", "tp + fn") + " AS r1, "
+         + _d0("2 * tp", "2 * tp + fp + fn") + " AS f1, tp + fn AS s1, "
+         + _d0("tp + tn", "tp + fp + fn + tn") + " AS acc FROM conf) r")
+    o["classification_report"] = (
+        f"SELECT 'Not Disrupted' AS label, p0 AS precision, r0 AS recall, f0 AS f1_score, "
+        f"CAST(s0 AS BIGINT) AS support FROM {r} "
+        f"UNION ALL SELECT 'Disrupted', p1, r1, f1, CAST(s1 AS BIGINT) FROM {r} "
+        f"UNION ALL SELECT 'accuracy', NULL, NULL, acc, CAST(s0 + s1 AS BIGINT) FROM {r} "
+        f"UNION ALL SELECT 'macro avg', (p0 + p1) / 2.0::DOUBLE, (r0 + r1) / 2.0::DOUBLE, (f0 + f1) / 2.0::DOUBLE, "
+        f"CAST(s0 + s1 AS BIGINT) FROM {r} "
+        f"UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / CAST(s0 + s1 AS DOUBLE), "
+        f"(r0 * s0 + r1 * s1) / CAST(s0 + s1 AS DOUBLE), (f0 * s0 + f1 * s1) / CAST(s0 + s1 AS DOUBLE), "
+        f"CAST(s0 + s1 AS BIGINT) FROM {r}")
+    return o
+
+
 ORACLE: dict[str, str] = _registry()

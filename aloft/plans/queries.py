@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from aloft.functions import fixed
 from aloft.operators import clean as C
 from aloft.operators import features as FE
+from aloft.operators import ml as M
 from aloft.operators import summaries as S
 from aloft.plans import pipeline as P
 from aloft.plans import views as V
@@ -132,9 +133,61 @@ def _registry() -> dict[str, Query]:
         s, P.load_tables(s, enriched(s, sf), P.new_scratch(s, "tables")))
     q["stage_counts"] = lambda s, sf: P.stage_counts(raw(s, sf))
     q["all_summaries_grouping_sets"] = lambda s, sf: S.all_summaries_grouping_sets(enriched(s, sf))
+
+    # --- machine learning -------------------------------------------------------------
+    q["ml_frame"] = lambda s, sf: M.ml_frame(enriched(s, sf))
+    q["stratified_split"] = lambda s, sf: _split(s, sf).select(*M.KEYS, M.LABEL, "split")
+    q["class_weights"] = lambda s, sf: M.class_weights(_split(s, sf).where(F.col("split") == "train"))
+    q["standard_scale"] = _standard_scale
+    q["one_hot"] = _one_hot
+    q["binary_metrics"] = lambda s, sf: M.binary_metrics(M.closed_form_score(M.ml_frame(enriched(s, sf))))
+    q["classification_report"] = lambda s, sf: M.classification_report(
+        M.closed_form_score(M.ml_frame(enriched(s, sf))))
+    q["train_logistic"] = lambda s, sf: _train(s, sf, "lr")
+    q["train_forest"] = lambda s, sf: _train(s, sf, "rf")
+    q["model_comparison"] = lambda s, sf: _train(s, sf, "both")
+    q["rf_importance"] = _rf_importance
     return q
 
 
+def _split(spark: SparkSession, sf: str) -> DataFrame:
+    return M.stratified_split(M.ml_frame(enriched(spark, sf), M.KEYS))
+
+
+def _standard_scale(spark: SparkSession, sf: str) -> DataFrame:
+    split = _split(spark, sf)
+    stats = M.scale_stats(split.where(F.col("split") == "train"))
+    return M.standard_scale(split, stats).select(*M.KEYS, "split", *M.NUMERIC)
+
+
+def _one_hot(spark: SparkSession, sf: str) -> DataFrame:
+    split = _split(spark, sf)
+    indexers = M.fit_indexers(split.where(F.col("split") == "train"))
+    return M.one_hot_long(split, indexers, [*M.KEYS, "split"])
+
+
+def _prepared(spark: SparkSession, sf: str) -> M.Prepared:
+    prep = M.prepare(_split(spark, sf))
+    prep.train = prep.train.persist()  # iterative training re-reads it many times
+    return prep
+
+
+def _train(spark: SparkSession, sf: str, which: str) -> DataFrame:
+    prep = _prepared(spark, sf)
+    out = []
+    if which in ("lr", "both"):
+        out.append(M.binary_metrics(M.scored(M.logistic(prep.train), prep.test), "Logistic Regression"))
+    if which in ("rf", "both"):
+        out.append(M.binary_metrics(M.scored(M.forest(prep.train), prep.test), "Random Forest"))
+    res = out[0] if len(out) == 1 else out[0].unionByName(out[1])
+    return res
+
+
+def _rf_importance(spark: SparkSession, sf: str) -> DataFrame:
+    prep = _prepared(spark, sf)
+    return M.importances(spark, M.forest(prep.train), prep.names)
+
+
 def _year(df: DataFrame):
     return F.coalesce(F.col("YEAR").cast("int"), F.lit(0))
 
