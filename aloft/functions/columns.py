@@ -60,6 +60,44 @@ def to_double(c: str | Column, dtype: T.DataType | None = None) -> Column:
     return finite_or_null(F.when(plain, s.try_cast("double")))
 
 
+# --- the same expressions as SQL text --------------------------------------------------------
+# Wide projections are built with ``selectExpr`` from these strings: one call to
+# the JVM per stage instead of one per literal and function (28+ columns).
+
+def sql_ident(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_SPACE_SQL = "concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))"
+
+
+def null_if_token_sql(c: str, tokens: Iterable[str] = fixed.NULL_TOKENS) -> str:
+    col = sql_ident(c)
+    return f"CASE WHEN {col} IN ({', '.join(sql_str(t) for t in tokens)}) THEN NULL ELSE {col} END"
+
+
+def finite_or_null_sql(x: str) -> str:
+    return f"CASE WHEN isnan({x}) OR abs({x}) = double('inf') THEN CAST(NULL AS DOUBLE) ELSE {x} END"
+
+
+def to_double_sql(c: str, numeric_input: bool = False) -> str:
+    col = sql_ident(c)
+    if numeric_input:
+        return finite_or_null_sql(f"CAST({col} AS DOUBLE)")
+    s = f"btrim(CAST({col} AS STRING), {_SPACE_SQL})"
+    parsed = (f"CASE WHEN translate({s}, '{_NUMBER_CHARS}', '') = '' "
+              f"THEN try_cast({s} AS DOUBLE) END")
+    return finite_or_null_sql(parsed)
+
+
+def is_numeric_type(dtype: T.DataType) -> bool:
+    return isinstance(dtype, _NUMERIC_TYPES)
+
+
 def to_int_half_even(c: str | Column, dtype: T.DataType | None = None,
                      target: str = "smallint") -> Column:
     """Coerce, round half-to-even to a whole number, keep NULL for unparseable values."""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aloft.functions import fixed
-from aloft.functions.columns import null_if_token, to_double
+from aloft.functions.columns import is_numeric_type, null_if_token_sql, sql_ident, to_double_sql
 
 
 class MissingColumnsError(ValueError):
@@ -42,8 +42,8 @@ def standardize_columns(df: DataFrame) -> DataFrame:
 def replace_null_tokens(df: DataFrame, tokens: Sequence[str] = fixed.NULL_TOKENS) -> DataFrame:
     """Every string field spelled like a missing value becomes NULL."""
     strings = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    return df.select(*[null_if_token(c, tokens).alias(c) if c in strings else F.col(c)
-                       for c in df.columns])
+    return df.selectExpr(*[f"{null_if_token_sql(c, tokens)} AS {sql_ident(c)}" if c in strings
+                           else sql_ident(c) for c in df.columns])
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str] = fixed.NUMERIC_COLUMNS,
@@ -58,12 +58,13 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str] = fixed.NUMERIC_COLUMNS
     out = []
     for c in df.columns:
         if c in dbl:
-            out.append(to_double(c, types[c]).alias(c))
+            out.append(f"{to_double_sql(c, is_numeric_type(types[c]))} AS {sql_ident(c)}")
         elif c in ints:
-            out.append(F.bround(to_double(c, types[c]), 0).cast("int").alias(c))
+            out.append(f"CAST(bround({to_double_sql(c, is_numeric_type(types[c]))}, 0) AS INT) "
+                       f"AS {sql_ident(c)}")
         else:
-            out.append(F.col(c))
-    return df.select(*out)
+            out.append(sql_ident(c))
+    return df.selectExpr(*out)
 
 
 def fill_causes_zero(df: DataFrame, columns: Sequence[str] = fixed.CAUSE_COLUMNS) -> DataFrame:
@@ -91,17 +92,17 @@ def median_fill(df: DataFrame, columns: Sequence[str] = fixed.MEDIAN_COLUMNS) ->
     cols = present(df, columns)
     if not cols:
         return df
-    meds = column_medians(df, cols).select(*[F.col(c).alias(f"__median_{c}") for c in cols])
+    meds = df.agg(*[F.median(c).alias(f"__median_{c}") for c in cols])
     joined = df.crossJoin(F.broadcast(meds))
-    return joined.select(*[F.coalesce(F.col(c), F.col(f"__median_{c}")).alias(c) if c in cols
-                           else F.col(c) for c in df.columns])
+    return joined.selectExpr(*[f"coalesce({sql_ident(c)}, `__median_{c}`) AS {sql_ident(c)}" if c in cols
+                               else sql_ident(c) for c in df.columns])
 
 
 def fill_flags(df: DataFrame, columns: Sequence[str] = fixed.FLAG_COLUMNS) -> DataFrame:
     """Flags: NULL -> 0, then truncated to int (through double, never from text)."""
     cols = set(present(df, columns))
-    return df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).cast("int").alias(c)
-                       if c in cols else F.col(c) for c in df.columns])
+    return df.selectExpr(*[f"CAST(coalesce(CAST({sql_ident(c)} AS DOUBLE), 0.0D) AS INT) AS {sql_ident(c)}"
+                           if c in cols else sql_ident(c) for c in df.columns])
 
 
 def drop_missing_keys(df: DataFrame, keys: Sequence[str] = fixed.KEY_COLUMNS) -> DataFrame:

@@ -43,5 +43,4 @@ def engineer_features(df: DataFrame) -> DataFrame:
         "is_weekend": weekend_flag(),
         "dep_hour": hour_of("CRS_DEP_TIME"),
         "arr_hour": hour_of("CRS_ARR_TIME"),
-        "time_block": time_block(hour_of("CRS_DEP_TIME")),
-    })
+    }).withColumn("time_block", time_block("dep_hour"))

@@ -9,7 +9,7 @@ broadcast at run time, from measured shuffle sizes).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows of a narrow (two or three column) join side we are willing to ship to
@@ -23,3 +23,25 @@ def row_count_at_most(df: DataFrame, cap: int) -> bool:
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+# Decisions already proven for an input, keyed by (path, bytes, modification time, cap):
+# unchanged files need no second counting job.
+_DECISIONS: dict[tuple, bool] = {}
+
+
+def path_fingerprint(spark: SparkSession, path: str) -> tuple:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return (path, fs.getContentSummary(p).getLength(), fs.getFileStatus(p).getModificationTime())
+
+
+def broadcast_if_small_source(df: DataFrame, source_path: str,
+                              max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast_if_small`` for a side read straight from ``source_path`` (row count
+    unchanged by the projection), memoised on the file fingerprint."""
+    key = (*path_fingerprint(df.sparkSession, source_path), max_rows)
+    if key not in _DECISIONS:
+        _DECISIONS[key] = row_count_at_most(df, max_rows)
+    return F.broadcast(df) if _DECISIONS[key] else df

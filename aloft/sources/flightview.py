@@ -16,86 +16,103 @@ columns used are read (the parquet scans show a pruned ``ReadSchema``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.plans.broadcast import broadcast_if_small
+from aloft.plans.broadcast import broadcast_if_small_source
 
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Only the columns the view needs; a declared read schema also skips footer-based
+# schema inference.
+_READ_SCHEMAS = {
+    "lineitem": ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                 "l_quantity DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_shipdate TIMESTAMP_NTZ"),
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT",
+    "supplier": "s_suppkey BIGINT, s_nationkey INT",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+}
 
 
-def _s(c: Column) -> Column:
-    return c.cast("string")
+def _path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def _two_digit(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 2, "0")
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_READ_SCHEMAS[name]).parquet(_path(sf_dir, name))
 
 
 def flight_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Joined narrow inputs: one row per lineitem with the two nation keys."""
-    li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_discount", "l_tax", "l_shipdate")
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    supp = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    cust = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-
-    order_nation = (orders.join(broadcast_if_small(cust), F.col("o_custkey") == F.col("c_custkey"))
+    li = _table(spark, sf_dir, "lineitem")
+    orders = _table(spark, sf_dir, "orders")
+    supp = broadcast_if_small_source(_table(spark, sf_dir, "supplier"), _path(sf_dir, "supplier"))
+    cust = broadcast_if_small_source(_table(spark, sf_dir, "customer"), _path(sf_dir, "customer"))
+
+    order_nation = (orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
                     .select("o_orderkey", "c_nationkey"))
     return (li.join(order_nation, F.col("l_orderkey") == F.col("o_orderkey"))
-              .join(broadcast_if_small(supp), F.col("l_suppkey") == F.col("s_suppkey")))
+              .join(supp, F.col("l_suppkey") == F.col("s_suppkey")))
+
+
+# Shared intermediate values, computed once per row in their own projection.
+_HELPERS = (
+    "l_orderkey AS ok", "l_partkey AS pk", "l_suppkey AS sk", "l_linenumber AS ln",
+    "to_date(l_shipdate) AS sd", "s_nationkey AS sn", "c_nationkey AS cn",
+    "l_discount = 0.1D AS canc",
+    "l_discount <> 0.1D AND l_tax = 0.08D AND l_linenumber = 7 AS dvt",
+    "(l_orderkey * 7 + l_partkey * 3 + l_linenumber * 11) % 60 - 40 + s_nationkey % 12 AS dd",
+    "l_quantity",
+)
+_HELPERS_2 = ("*", "dd + CAST(l_quantity AS INT) % 21 - 12 AS ad")
+_HELPERS_3 = ("*", "NOT canc AND NOT dvt AND ad >= 15 AS late", "canc OR dvt AS gone")
+
+
+def _cause(lines: str) -> str:
+    return f"CAST(CASE WHEN late THEN CASE WHEN ln IN ({lines}) THEN ad ELSE 0 END END AS STRING)"
+
+
+# The 28 columns of the on-time layout, every value as text.
+_COLUMNS = (
+    "CAST(year(sd) AS STRING) AS YEAR",
+    "CAST(month(sd) AS STRING) AS MONTH",
+    "CAST(weekday(sd) + 1 AS STRING) AS DAY_OF_WEEK",
+    "CAST(sd AS STRING) AS FL_DATE",
+    "concat('C', CAST(sk % 12 AS STRING)) AS OP_UNIQUE_CARRIER",
+    "concat('N', CAST(pk AS STRING), 'S', CAST(sk AS STRING)) AS TAIL_NUM",
+    "CAST(ok * 10 + ln AS STRING) AS OP_CARRIER_FL_NUM",
+    "CASE WHEN pk % 211 <> 0 THEN concat('A', lpad(CAST(sn AS STRING), 2, '0')) END AS ORIGIN",
+    "concat('A', lpad(CAST(cn AS STRING), 2, '0'), ' ') AS DEST",
+    "CAST(pk % 25 * 100 + sk % 60 AS STRING) AS CRS_DEP_TIME",
+    "CAST(CASE WHEN NOT canc THEN pk % 25 * 100 + (sk + 7) % 60 END AS STRING) AS DEP_TIME",
+    "CASE WHEN NOT canc THEN CASE WHEN pk % 97 = 0 THEN 'N/A' ELSE CAST(dd AS STRING) END END AS DEP_DELAY",
+    "CAST(CASE WHEN NOT canc THEN CASE WHEN dd >= 15 THEN 1 ELSE 0 END END AS STRING) AS DEP_DEL15",
+    "CAST(CASE WHEN NOT canc THEN 10 + ok % 20 END AS STRING) AS TAXI_OUT",
+    "CAST(CASE WHEN NOT gone THEN 4 + pk % 9 END AS STRING) AS TAXI_IN",
+    "CAST((pk + 3 + ln) % 25 * 100 + ok % 60 AS STRING) AS CRS_ARR_TIME",
+    "CAST(CASE WHEN NOT gone THEN (pk + 3 + ln) % 25 * 100 + (ok + 5) % 60 END AS STRING) AS ARR_TIME",
+    "CAST(CASE WHEN NOT gone THEN ad END AS STRING) AS ARR_DELAY",
+    "CAST(CASE WHEN NOT gone THEN CASE WHEN ad >= 15 THEN 1 ELSE 0 END END AS STRING) AS ARR_DEL15",
+    "CAST(CASE WHEN canc THEN 1 ELSE 0 END AS STRING) AS CANCELLED",
+    "CAST(CASE WHEN dvt THEN 1 ELSE 0 END AS STRING) AS DIVERTED",
+    "CAST(CASE WHEN NOT gone THEN 30 + pk % 300 END AS STRING) AS AIR_TIME",
+    "CAST(200 + pk % 2300 AS STRING) AS DISTANCE",
+    _cause("1, 2") + " AS CARRIER_DELAY",
+    _cause("3") + " AS WEATHER_DELAY",
+    _cause("4") + " AS NAS_DELAY",
+    _cause("5") + " AS SECURITY_DELAY",
+    _cause("6, 7") + " AS LATE_AIRCRAFT_DELAY",
+)
 
 
 def flight_rows(joined: DataFrame) -> DataFrame:
-    """Derive the 28 string columns of the on-time layout from the joined rows."""
-    ok, pk, sk, ln = (F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"),
-                      F.col("l_linenumber"))
-    sd = F.to_date(F.col("l_shipdate"))
-    canc = F.col("l_discount") == F.lit(0.1)
-    div = (F.col("l_discount") != F.lit(0.1)) & (F.col("l_tax") == F.lit(0.08)) & (ln == 7)
-    dd = (ok * 7 + pk * 3 + ln * 11) % 60 - 40 + F.col("s_nationkey") % 12
-    ad = dd + F.col("l_quantity").cast("int") % 21 - 12
-    late = ~canc & ~div & (ad >= 15)
-    gone = canc | div  # no arrival data
-
-    def cause(*lines: int) -> Column:
-        return _s(F.when(late, F.when(ln.isin(*lines), ad).otherwise(F.lit(0))))
-
-    flag = lambda p: F.when(p, F.lit(1)).otherwise(F.lit(0))
-    arr_slot = (pk + 3 + ln) % 25 * 100
-    return joined.select(
-        _s(F.year(sd)).alias("YEAR"),
-        _s(F.month(sd)).alias("MONTH"),
-        _s(F.weekday(sd) + 1).alias("DAY_OF_WEEK"),
-        F.date_format(sd, "yyyy-MM-dd").alias("FL_DATE"),
-        F.concat(F.lit("C"), _s(sk % 12)).alias("OP_UNIQUE_CARRIER"),
-        F.concat(F.lit("N"), _s(pk), F.lit("S"), _s(sk)).alias("TAIL_NUM"),
-        _s(ok * 10 + ln).alias("OP_CARRIER_FL_NUM"),
-        F.when(pk % 211 != 0, F.concat(F.lit("A"), _two_digit(F.col("s_nationkey")))).alias("ORIGIN"),
-        F.concat(F.lit("A"), _two_digit(F.col("c_nationkey")), F.lit(" ")).alias("DEST"),
-        _s(pk % 25 * 100 + sk % 60).alias("CRS_DEP_TIME"),
-        _s(F.when(~canc, pk % 25 * 100 + (sk + 7) % 60)).alias("DEP_TIME"),
-        F.when(~canc, F.when(pk % 97 == 0, F.lit("N/A")).otherwise(_s(dd))).alias("DEP_DELAY"),
-        _s(F.when(~canc, flag(dd >= 15))).alias("DEP_DEL15"),
-        _s(F.when(~canc, 10 + ok % 20)).alias("TAXI_OUT"),
-        _s(F.when(~gone, 4 + pk % 9)).alias("TAXI_IN"),
-        _s(arr_slot + ok % 60).alias("CRS_ARR_TIME"),
-        _s(F.when(~gone, arr_slot + (ok + 5) % 60)).alias("ARR_TIME"),
-        _s(F.when(~gone, ad)).alias("ARR_DELAY"),
-        _s(F.when(~gone, flag(ad >= 15))).alias("ARR_DEL15"),
-        _s(flag(canc)).alias("CANCELLED"),
-        _s(flag(div)).alias("DIVERTED"),
-        _s(F.when(~gone, 30 + pk % 300)).alias("AIR_TIME"),
-        _s(200 + pk % 2300).alias("DISTANCE"),
-        cause(1, 2).alias("CARRIER_DELAY"),
-        cause(3).alias("WEATHER_DELAY"),
-        cause(4).alias("NAS_DELAY"),
-        cause(5).alias("SECURITY_DELAY"),
-        cause(6, 7).alias("LATE_AIRCRAFT_DELAY"),
-    )
+    """Derive the 28 string columns of the on-time layout from the joined rows.
+
+    Shared intermediate values (ship date, delays, cancellation/diversion flags)
+    are computed once in their own projections and the string columns refer to
+    them; besides avoiding repeated work this keeps each generated method
+    small enough for the JIT compiler.
+    """
+    h = joined.selectExpr(*_HELPERS).selectExpr(*_HELPERS_2).selectExpr(*_HELPERS_3)
+    return h.selectExpr(*_COLUMNS)
 
 
 def flight_view(spark: SparkSession, sf_dir: str) -> DataFrame:

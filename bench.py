@@ -49,8 +49,9 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [a for a in sys.argv[1:] if a in QUERIES]
     names = only or [n for n in HEADLINE if n in QUERIES]
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=cpus * 2,
-                        extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")}
+    extra.update(json.loads(os.environ.get("BENCH_EXTRA_CONF", "{}")))
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=cpus * 2, extra=extra)
     out = {}
     for name in names:
         run_once(spark, name, sf)  # warm-up

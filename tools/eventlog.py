@@ -22,8 +22,13 @@ def main(path: str) -> None:
             ev = e["Event"]
             if ev == "SparkListenerStageCompleted":
                 si = e["Stage Info"]
-                stages[si["Stage ID"]] = (si["Stage Name"][:50], si["Number of Tasks"],
-                                          (si["Completion Time"] - si["Submission Time"]) / 1000.0)
+                acc = {a["Name"]: a.get("Value") for a in si.get("Accumulables", [])}
+                stages[si["Stage ID"]] = (si["Number of Tasks"],
+                                          (si["Completion Time"] - si["Submission Time"]) / 1000.0,
+                                          "run", round(float(acc.get("internal.metrics.executorRunTime", 0)) / 1000, 2),
+                                          "cpu", round(float(acc.get("internal.metrics.executorCpuTime", 0)) / 1e9, 2),
+                                          "gc", round(float(acc.get("internal.metrics.jvmGCTime", 0)) / 1000, 2),
+                                          "deser", round(float(acc.get("internal.metrics.executorDeserializeTime", 0)) / 1000, 2))
             elif ev == "SparkListenerJobStart":
                 jobs[e["Job ID"]] = [e["Submission Time"], e["Stage IDs"], None]
             elif ev == "SparkListenerJobEnd":
