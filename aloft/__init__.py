@@ -1,0 +1 @@
+"""aloft: flight-disruption analytics on Spark (DataFrame/SQL + Spark ML)."""

@@ -30,12 +30,20 @@ def _rate(num: str, den: str = "total_flights") -> Column:
     return safe_ratio(F.col(num), F.col(den))
 
 
-def minmax_norm(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+def minmax_norm(df: DataFrame, columns: dict[str, str], materialize: bool = False) -> DataFrame:
     """Add ``out = (x - min) / (max - min)`` over the whole frame; 0 when the range is 0.
 
     ``columns`` maps source column -> output column.  Min and max come from one
     global aggregate (a single row) broadcast back to the rows.
+
+    With ``materialize`` the frame is first checkpointed (eagerly, to the shared
+    checkpoint folder).  Use it for a per-key summary: the statistics branch and
+    the row branch then read that small table instead of each re-aggregating
+    the whole input (column pruning makes the two upstream aggregates differ,
+    so their shuffles would not be shared).
     """
+    if materialize:
+        df = df.checkpoint(eager=True)
     stats = df.agg(*[a for src in columns for a in
                      (F.min(src).alias(f"__mn_{src}"), F.max(src).alias(f"__mx_{src}"))])
     joined = df.crossJoin(F.broadcast(stats))
@@ -61,7 +69,7 @@ def airport_fragility(df: DataFrame) -> DataFrame:
     """Airport summary + four normalised components + the fragility index (AFI)."""
     s = minmax_norm(airport_summary(df), {
         "disruption_rate": "norm_disruption", "avg_dep_delay": "norm_delay",
-        "cancellation_rate": "norm_cancel", "diversion_rate": "norm_divert"})
+        "cancellation_rate": "norm_cancel", "diversion_rate": "norm_divert"}, materialize=True)
     score = None
     for name, weight in fixed.AFI_WEIGHTS:
         term = F.col(name) * F.lit(weight)
@@ -81,7 +89,7 @@ def route_summary(df: DataFrame) -> DataFrame:
 
 def route_reliability(df: DataFrame) -> DataFrame:
     """Route summary + delay penalty + route reliability score (RRS, 0..100)."""
-    s = minmax_norm(route_summary(df), {"avg_dep_delay": "__norm_delay"})
+    s = minmax_norm(route_summary(df), {"avg_dep_delay": "__norm_delay"}, materialize=True)
     s = s.withColumn("delay_penalty", F.col("__norm_delay") * F.lit(fixed.RRS_DELAY_WEIGHT))
     raw = (F.lit(1.0) - F.col("disruption_rate") - F.col("delay_penalty")) * F.lit(100.0)
     clipped = F.when(raw.isNotNull(), F.greatest(F.least(raw, F.lit(100.0)), F.lit(0.0)))

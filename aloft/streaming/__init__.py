@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The system this engine re-implements processes monthly files in batch; it has
+no streaming source, watermark, window or state.  Monthly arrivals are handled
+by re-running the batch job (see :mod:`aloft.plans.pipeline`), which stages
+its input once and overwrites each served table atomically.
+"""
