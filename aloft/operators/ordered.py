@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aloft.session import ensure_checkpoint_dir
+
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
 
@@ -32,6 +34,7 @@ def _stage(df: DataFrame, order: Sequence[str | Column], num_partitions: int | N
     n = _partitions(df, num_partitions)
     staged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
                 .withColumn("__mid", F.monotonically_increasing_id()))
+    ensure_checkpoint_dir(df.sparkSession)
     return staged.checkpoint(eager=True)
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from aloft.functions import fixed
 from aloft.functions.columns import label_lookup, np_round, safe_ratio
+from aloft.session import ensure_checkpoint_dir
 
 
 def _total() -> Column:
@@ -43,6 +44,7 @@ def minmax_norm(df: DataFrame, columns: dict[str, str], materialize: bool = Fals
     so their shuffles would not be shared).
     """
     if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
     stats = df.agg(*[a for src in columns for a in
                      (F.min(src).alias(f"__mn_{src}"), F.max(src).alias(f"__mx_{src}"))])
