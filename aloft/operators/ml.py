@@ -21,7 +21,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -119,21 +118,24 @@ def standard_scale(df: DataFrame, stats: DataFrame, cols: Sequence[str] = NUMERI
                                for c in cols}).drop(*[f"__sd_{c}" for c in cols])
 
 
-def fit_indexers(train: DataFrame, cols: Sequence[str] = fixed.ML_CATEGORICAL) -> PipelineModel:
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep",
-                            stringOrderType="alphabetAsc") for c in cols]
-    return Pipeline(stages=stages).fit(train)
+def fit_indexers(train: DataFrame, cols: Sequence[str] = fixed.ML_CATEGORICAL):
+    """One StringIndexer over all categorical columns: a single pass over ``train``."""
+    return StringIndexer(inputCols=list(cols), outputCols=[f"{c}__idx" for c in cols],
+                         handleInvalid="keep", stringOrderType="alphabetAsc").fit(train)
 
 
-def one_hot_long(df: DataFrame, indexers: PipelineModel, keys: Sequence[str],
+def _labels(indexers) -> list[list[str]]:
+    return [list(x) for x in indexers.labelsArray]
+
+
+def one_hot_long(df: DataFrame, indexers, keys: Sequence[str],
                  cols: Sequence[str] = fixed.ML_CATEGORICAL) -> DataFrame:
     """Long form of the one-hot encoding: one (keys.., feature) row per active entry.
 
     A value not seen in training has no active entry (all-zero block)."""
     indexed = indexers.transform(df)
     parts = []
-    for c, model in zip(cols, indexers.stages):
-        labels = list(model.labels)
+    for c, labels in zip(cols, _labels(indexers)):
         idx = F.col(f"{c}__idx").cast("int")
         names = F.array(*[F.lit(f"{c}_{v}") for v in labels]) if labels else F.array().cast("array<string>")
         feat = F.when(idx < len(labels), F.element_at(names, idx + 1))
@@ -144,11 +146,11 @@ def one_hot_long(df: DataFrame, indexers: PipelineModel, keys: Sequence[str],
     return out.withColumn("value", F.lit(1.0))
 
 
-def feature_names(indexers: PipelineModel, num: Sequence[str] = NUMERIC,
+def feature_names(indexers, num: Sequence[str] = NUMERIC,
                   cols: Sequence[str] = fixed.ML_CATEGORICAL) -> list[str]:
     names = list(num)
-    for c, model in zip(cols, indexers.stages):
-        names += [f"{c}_{v}" for v in model.labels]
+    for c, labels in zip(cols, _labels(indexers)):
+        names += [f"{c}_{v}" for v in labels]
     return names
 
 
@@ -156,7 +158,7 @@ def feature_names(indexers: PipelineModel, num: Sequence[str] = NUMERIC,
 class Prepared:
     train: DataFrame
     test: DataFrame
-    indexers: PipelineModel
+    indexers: object
     names: list[str]
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,11 +32,20 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def _stage(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
+    """Range-partition + sort + number the rows, then checkpoint (eagerly).
+
+    The input is persisted only while the checkpoint is written: the range
+    partitioner's sampling job and the shuffle then share one evaluation of it.
+    """
     n = _partitions(df, num_partitions)
-    staged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                .withColumn("__mid", F.monotonically_increasing_id()))
     ensure_checkpoint_dir(df.sparkSession)
-    return staged.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        staged = (cached.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                        .withColumn("__mid", F.monotonically_increasing_id()))
+        return staged.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
 
 
 def _offsets(totals: DataFrame, total_col: str) -> DataFrame:

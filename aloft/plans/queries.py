@@ -166,26 +166,38 @@ def _one_hot(spark: SparkSession, sf: str) -> DataFrame:
     return M.one_hot_long(split, indexers, [*M.KEYS, "split"])
 
 
-def _prepared(spark: SparkSession, sf: str) -> M.Prepared:
-    prep = M.prepare(_split(spark, sf))
+
+def _prepared(spark: SparkSession, sf: str):
+    """Split + fitted preprocessing; the split and the training vectors are persisted
+    while estimators are fitted (callers unpersist them with ``_release``)."""
+    split = _split(spark, sf).persist()
+    prep = M.prepare(split)
     prep.train = prep.train.persist()  # iterative training re-reads it many times
-    return prep
+    return prep, split
+
+
+def _release(*frames: DataFrame) -> None:
+    for f in frames:
+        f.unpersist()
 
 
 def _train(spark: SparkSession, sf: str, which: str) -> DataFrame:
-    prep = _prepared(spark, sf)
-    out = []
+    prep, split = _prepared(spark, sf)
+    models = []
     if which in ("lr", "both"):
-        out.append(M.binary_metrics(M.scored(M.logistic(prep.train), prep.test), "Logistic Regression"))
+        models.append(("Logistic Regression", M.logistic(prep.train)))
     if which in ("rf", "both"):
-        out.append(M.binary_metrics(M.scored(M.forest(prep.train), prep.test), "Random Forest"))
-    res = out[0] if len(out) == 1 else out[0].unionByName(out[1])
-    return res
+        models.append(("Random Forest", M.forest(prep.train)))
+    _release(prep.train, split)  # fitting is done; the metrics below are lazy
+    out = [M.binary_metrics(M.scored(m, prep.test), name) for name, m in models]
+    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
 
 def _rf_importance(spark: SparkSession, sf: str) -> DataFrame:
-    prep = _prepared(spark, sf)
-    return M.importances(spark, M.forest(prep.train), prep.names)
+    prep, split = _prepared(spark, sf)
+    model = M.forest(prep.train)
+    _release(prep.train, split)
+    return M.importances(spark, model, prep.names)
 
 
 def _year(df: DataFrame):
