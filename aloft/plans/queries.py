@@ -273,7 +273,3 @@ def _pk_violations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = _registry()
-
-
-def with_key(df: DataFrame, name: str) -> DataFrame:  # pragma: no cover - debugging aid
-    return df.withColumn("__query", F.lit(name))
