@@ -83,15 +83,22 @@ def column_medians(df: DataFrame, columns: Sequence[str] = fixed.MEDIAN_COLUMNS)
     return df.agg(*[F.median(c).alias(c) for c in cols])
 
 
-def median_fill(df: DataFrame, columns: Sequence[str] = fixed.MEDIAN_COLUMNS) -> DataFrame:
+def median_fill(df: DataFrame, columns: Sequence[str] = fixed.MEDIAN_COLUMNS,
+                eager: bool = False) -> DataFrame:
     """Replace NULLs by the exact global median of the column (one aggregate job).
 
-    The medians are a single row (size proven), broadcast to every task and
-    applied with ``coalesce``.
+    Lazy form: the medians are a single row (size proven), broadcast to every
+    task and applied with ``coalesce``.  Eager form: the single row is fetched
+    once and the values are filled as literals, so plans that are evaluated
+    several times (one per served table) do not repeat the median pass.
     """
     cols = present(df, columns)
     if not cols:
         return df
+    if eager:
+        row = column_medians(df, cols).first()
+        values = {c: row[c] for c in cols if row[c] is not None}
+        return df.fillna(values) if values else df
     meds = df.agg(*[F.median(c).alias(f"__median_{c}") for c in cols])
     joined = df.crossJoin(F.broadcast(meds))
     return joined.selectExpr(*[f"coalesce({sql_ident(c)}, `__median_{c}`) AS {sql_ident(c)}" if c in cols
@@ -117,10 +124,10 @@ def coerce_raw(raw: DataFrame, tokens: Sequence[str] | None = fixed.NULL_TOKENS)
     return coerce_numeric(df)
 
 
-def finish_cleaning(coerced: DataFrame) -> DataFrame:
+def finish_cleaning(coerced: DataFrame, eager_medians: bool = False) -> DataFrame:
     """Imputation and key filter on an already coerced frame (medians before the drop)."""
     df = fill_causes_zero(coerced)
-    df = median_fill(df)
+    df = median_fill(df, eager=eager_medians)
     df = fill_flags(df)
     return drop_missing_keys(df)
 
