@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aloft.llm import decontaminate, langid, mixing, tokens, url_filter
+from aloft.llm import debruijn, decontaminate, langid, lyndon, mixing, tokens, url_filter
 from aloft.llm.common import table
 
 
@@ -28,6 +28,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.report(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.report(table(spark, sf_dir, "documents"))
+
+
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lyndon.report(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, url_filter.rule_table(spark)).select(
@@ -39,6 +47,8 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op9_url_filter": op9_url_filter,
 }
 
