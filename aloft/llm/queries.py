@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aloft.llm import debruijn, decontaminate, langid, lyndon, mixing, tokens, url_filter
+from aloft.llm import debruijn, decontaminate, langid, lyndon, mixing, near_dedup, tokens, url_filter
 from aloft.llm.common import table
 
 
@@ -36,6 +36,10 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lyndon.report(table(spark, sf_dir, "documents"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, url_filter.rule_table(spark)).select(
@@ -49,6 +53,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_url_filter": op9_url_filter,
 }
 
