@@ -36,7 +36,7 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 SEED = 42
 #: documents aimed at in one bucket of the prefix sums
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 2_000
 
 
 def word_count(text: Column) -> Column:
