@@ -7,10 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aloft.llm import debruijn, decontaminate, langid, lyndon, mixing, near_dedup, tokens, url_filter
+from aloft.llm import debruijn, decontaminate, langid, lyndon, mixing, near_dedup, nn_descent, tokens, url_filter
 from aloft.llm.common import table
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.report(table(spark, sf_dir, "embeddings"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,6 +51,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_decontamination": op2_decontamination,
     "op3_mixing": op3_mixing,
     "op4_language_id": op4_language_id,
