@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aloft.llm import debruijn, decontaminate, langid, lyndon, mixing, near_dedup, nn_descent, tokens, url_filter
+from aloft.llm import debruijn, decontaminate, langid, line_dedup, lyndon, mixing, near_dedup, nn_descent, tokens, url_filter
 from aloft.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_decontamination": op2_decontamination,
@@ -60,6 +64,7 @@ QUERIES = {
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_url_filter": op9_url_filter,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
