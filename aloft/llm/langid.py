@@ -4,8 +4,8 @@ A text is a normalised TF-IDF vector of hashed character 1-, 2- and 3-grams
 (lower-cased, everything but letters is one space).  Every language has several
 centroids, found by spherical k-means on a sample of its labelled documents.
 The language of the nearest centroid by cosine is the prediction; a text farther
-from it than ``reject_factor`` times that language's own farthest per cent is
-rejected.
+from it than ``reject_factor`` times that language's own farthest per cent (and than
+``REJECT_FROM``, so that short texts stay) is rejected.
 
 * Document frequencies count all training documents.  Only the clustering is
   fitted on a bounded sample: about ``sample_per_lang`` documents of a language
@@ -37,7 +37,9 @@ from aloft.llm.common import free_name
 DIM = 4096
 CENTROIDS = 4
 SAMPLE_PER_LANG = 1500
-REJECT_FACTOR = 1.5
+REJECT_FACTOR = 2.0
+#: no text nearer than this is rejected
+REJECT_FROM = 0.9
 ROUNDS = 12
 UND = "und"
 
@@ -116,7 +118,7 @@ class Model:
             best = cosine.argmax(axis=1)
             for k, ok in enumerate(has):
                 c = float(min(1.0, max(0.0, cosine[k, best[k]])))
-                far = 1.0 - c > min(0.999, reject_factor * self.farthest[best[k]])
+                far = 1.0 - c > max(REJECT_FROM, reject_factor * self.farthest[best[k]])
                 out.append((self.languages[best[k]], c, bool(far)) if ok else (UND, 0.0, True))
         return out
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aloft.llm import debruijn, decontaminate, langid, line_dedup, lyndon, mixing, near_dedup, nn_descent, tokens, url_filter
 from aloft.llm.common import table
+from aloft.llm.oracle_sql import ORACLE_SQL
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,4 +68,4 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]

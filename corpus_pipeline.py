@@ -11,31 +11,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from aloft.llm import decontaminate, langid, line_dedup, mixing, near_dedup
-from aloft.llm.common import stage, table
+from aloft.llm.common import importable, stage, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognised language go."""
+    importable(spark)
     return langid.keep_identified(docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of line runs are deleted from the texts; emptied documents go."""
+    importable(spark)
     return line_dedup.dedup(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays."""
+    importable(spark)
     return near_dedup.dedup(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages go."""
+    importable(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the source mix takes, and how much of them."""
+    importable(spark)
     return mixing.mixed_documents(docs)
 
 
