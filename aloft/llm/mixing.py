@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aloft.llm.common import free_name, stage
+from aloft.llm.minimizers import text_hash
 from aloft.operators.ordered import global_row_number
 
 #: fixed values: weights of the sources in code-point order, repeating
@@ -74,14 +75,15 @@ def source_targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS,
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX_REPEAT, seed: int = SEED,
         bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Rows (doc_id, source, size, source_size, target, taken), one per document.
+    """Rows (doc_id, th, source, size, source_size, target, taken), one per document.
 
-    ``taken`` counts the words the mix takes from the document over all epochs.
+    ``th`` is the text's hash; ``taken`` counts the words the mix takes from the document over
+    all epochs.
     """
     mix_key = F.left(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("text"))),
                      F.lit(16))
-    sized = stage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                              mix_key.alias("mix_key")), "mix-sizes")
+    sized = stage(docs.select("doc_id", text_hash(F.col("text")).alias("th"), "source",
+                              word_count(F.col("text")).alias("size"), mix_key.alias("mix_key")), "mix-sizes")
     counts = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     targets = source_targets(counts, weights, max_repeat)
     n = sized.count()
@@ -105,7 +107,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: int = MAX
     epochs, rest = F.col("epochs"), F.col("budget") - F.col("epochs") * F.col("source_size")
     before = F.col("before_bucket") + F.col("upto") - F.col("size")
     part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), rest - before))
-    return placed.select("doc_id", "source", "size", "source_size", "target",
+    return placed.select("doc_id", "th", "source", "size", "source_size", "target",
                          (epochs * F.col("size") + part).alias("taken"))
 
 
@@ -115,13 +117,12 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Identical rows share what they take equally, rounded down.
     """
-    key, taken, size = free_name(docs, "mix_id", "taken_words", "size_words")
-    named = F.struct("doc_id", "source", F.xxhash64("text").alias("h"))
-    plan = mix(docs.select(named.alias("doc_id"), "source", "text"), **options)
-    plan = plan.groupBy(F.col("doc_id").alias(key)).agg(
+    doc, th, source, taken, size = free_name(docs, "mix_doc", "mix_th", "mix_source", "mix_taken", "mix_size")
+    plan = mix(docs, **options).groupBy(F.col("doc_id").alias(doc), F.col("th").alias(th),
+                                        F.col("source").alias(source)).agg(
         F.max("size").alias(size), F.expr("sum(taken) div count(1)").alias(taken))
-    out = docs.withColumn(key, named)
-    out = out.join(plan, out[key].eqNullSafe(plan[key])).where(F.col(taken) > 0)
+    out = docs.join(plan, (text_hash(docs["text"]) == F.col(th)) & docs["doc_id"].eqNullSafe(F.col(doc))
+                    & docs["source"].eqNullSafe(F.col(source))).where(F.col(taken) > 0)
     return out.select(*[docs[c] for c in docs.columns if c not in ("taken", "epochs", "part_words")],
                       F.col(taken).alias("taken"), F.expr(f"{taken} div {size}").alias("epochs"),
                       F.pmod(F.col(taken), F.col(size)).alias("part_words"))
