@@ -94,9 +94,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> Data
     # branching: several classes of one key
     several = stage(classes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"),
                     "graph-branching")
-    firsts = chains.select("key", "dig", "doc_id", "th", "start", "n_win").join(
+    # staged: behind a stage of its own the join may split a class with very many chains
+    firsts = stage(chains.select("key", "dig", "doc_id", "th", "start", "n_win").join(
         classes.join(several, "key").select("key", "dig", "least"), ["key", "dig"]).where(
-        F.col("doc_id") == F.col("least"))
+        F.col("doc_id") == F.col("least")), "graph-firsts")
     opened = stage(edges_of_chains(docs, firsts.select("doc_id", "th", "start", "n_win", "key", "dig"), window)
                    .select("key", "dig", "doc", "word", "pos", "edge", "check"), "graph-edges")
     sources = stage(opened.groupBy("key", "edge", "check").agg(
