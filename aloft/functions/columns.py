@@ -33,34 +33,13 @@ def null_if_token(c: str | Column, tokens: Iterable[str] = fixed.NULL_TOKENS) ->
     return F.when(c.isin(list(tokens)), F.lit(None).cast("string")).otherwise(c)
 
 
-def finite_or_null(c: Column) -> Column:
-    """NaN and +/-infinity become NULL; NaN would otherwise sort as the largest value."""
-    return F.when(F.isnan(c) | (F.abs(c) == float("inf")), F.lit(None).cast("double")).otherwise(c)
-
-
 # Whitespace that ``\s`` matches in NUMBER_PATTERN, and the only characters a
 # plain number may contain once that whitespace is trimmed.
 _SPACE = " \t\n\x0b\f\r"
 _NUMBER_CHARS = "0123456789+-.eE"
 
 
-def to_double(c: str | Column, dtype: T.DataType | None = None) -> Column:
-    """Lenient numeric coercion: anything that is not a plain number becomes NULL.
-
-    Equivalent to ``rlike(NUMBER_PATTERN) ? cast : NULL`` but without a regex per
-    value: over the alphabet ``[0-9+-.eE]`` the string->double cast accepts exactly
-    the decimal literals the pattern describes, so it suffices to check that no
-    other character is left after trimming (``translate`` deletes the allowed ones).
-    """
-    c = col_of(c)
-    if dtype is not None and isinstance(dtype, _NUMERIC_TYPES):
-        return finite_or_null(c.cast("double"))
-    s = F.btrim(c.cast("string"), F.lit(_SPACE))
-    plain = F.translate(s, _NUMBER_CHARS, "") == F.lit("")
-    return finite_or_null(F.when(plain, s.try_cast("double")))
-
-
-# --- the same expressions as SQL text --------------------------------------------------------
+# --- expressions as SQL text -----------------------------------------------------------------
 # Wide projections are built with ``selectExpr`` from these strings: one call to
 # the JVM per stage instead of one per literal and function (28+ columns).
 
@@ -80,25 +59,35 @@ def null_if_token_sql(c: str, tokens: Iterable[str] = fixed.NULL_TOKENS) -> str:
     return f"CASE WHEN {col} IN ({', '.join(sql_str(t) for t in tokens)}) THEN NULL ELSE {col} END"
 
 
-def finite_or_null_sql(x: str) -> str:
-    return f"CASE WHEN isnan({x}) OR abs({x}) = double('inf') THEN CAST(NULL AS DOUBLE) ELSE {x} END"
-
-
 def to_double_sql(c: str, numeric_input: bool = False) -> str:
+    """Lenient numeric coercion: anything that is not a plain number becomes NULL.
+
+    Equivalent to ``rlike(NUMBER_PATTERN) ? cast : NULL`` but without a regex per
+    value: over the alphabet ``[0-9+-.eE]`` the string->double cast accepts exactly
+    the decimal literals the pattern describes, so it suffices to check that no
+    other character is left after trimming (``translate`` deletes the allowed ones).
+    Text of these characters can be infinite only by overflow (``1e999``).
+    """
     col = sql_ident(c)
     if numeric_input:
-        return finite_or_null_sql(f"CAST({col} AS DOUBLE)")
+        x = f"CAST({col} AS DOUBLE)"
+        return f"CASE WHEN isnan({x}) OR abs({x}) = double('inf') THEN CAST(NULL AS DOUBLE) ELSE {x} END"
     s = f"btrim(CAST({col} AS STRING), {_SPACE_SQL})"
-    parsed = (f"CASE WHEN translate({s}, '{_NUMBER_CHARS}', '') = '' "
-              f"THEN try_cast({s} AS DOUBLE) END")
-    return finite_or_null_sql(parsed)
+    parsed = f"try_cast({s} AS DOUBLE)"
+    return (f"CASE WHEN translate({s}, '{_NUMBER_CHARS}', '') = '' AND abs({parsed}) <> double('inf') "
+            f"THEN {parsed} END")
+
+
+def to_double(c: str, dtype: T.DataType | None = None) -> Column:
+    """``to_double_sql`` of a column by name."""
+    return F.expr(to_double_sql(c, is_numeric_type(dtype)))
 
 
 def is_numeric_type(dtype: T.DataType) -> bool:
     return isinstance(dtype, _NUMERIC_TYPES)
 
 
-def to_int_half_even(c: str | Column, dtype: T.DataType | None = None,
+def to_int_half_even(c: str, dtype: T.DataType | None = None,
                      target: str = "smallint") -> Column:
     """Coerce, round half-to-even to a whole number, keep NULL for unparseable values."""
     return F.bround(to_double(c, dtype), 0).cast(target)

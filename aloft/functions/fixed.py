@@ -71,4 +71,3 @@ RF_TREES = 150
 RF_MAX_DEPTH = 12
 TOP_FEATURES = 20
 TOP_AIRPORTS_CHART = 15
-SERVED_ROW_CAP = 200_000

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from aloft.functions import fixed
 from aloft.functions.columns import is_numeric_type, null_if_token_sql, sql_ident, to_double_sql
+from aloft.operators.ordered import global_running_sum
 
 
 class MissingColumnsError(ValueError):
@@ -55,16 +56,10 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str] = fixed.NUMERIC_COLUMNS
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     dbl, ints = set(present(df, columns)), set(present(df, integer_columns))
-    out = []
-    for c in df.columns:
-        if c in dbl:
-            out.append(f"{to_double_sql(c, is_numeric_type(types[c]))} AS {sql_ident(c)}")
-        elif c in ints:
-            out.append(f"CAST(bround({to_double_sql(c, is_numeric_type(types[c]))}, 0) AS INT) "
-                       f"AS {sql_ident(c)}")
-        else:
-            out.append(sql_ident(c))
-    return df.selectExpr(*out)
+    parsed = df.selectExpr(*[f"{to_double_sql(c, is_numeric_type(types[c]))} AS {sql_ident(c)}"
+                             if c in dbl | ints else sql_ident(c) for c in df.columns])
+    return parsed.selectExpr(*[f"CAST(bround({sql_ident(c)}, 0) AS INT) AS {sql_ident(c)}" if c in ints
+                               else sql_ident(c) for c in df.columns])
 
 
 def fill_causes_zero(df: DataFrame, columns: Sequence[str] = fixed.CAUSE_COLUMNS) -> DataFrame:
@@ -74,23 +69,35 @@ def fill_causes_zero(df: DataFrame, columns: Sequence[str] = fixed.CAUSE_COLUMNS
 def column_medians(df: DataFrame, columns: Sequence[str] = fixed.MEDIAN_COLUMNS) -> DataFrame:
     """One-row frame with the exact (interpolated) median of each column.
 
-    ``median`` is the exact ``percentile(x, 0.5)``: each task keeps a
-    value->count map, merged map-side before the single final merge, so the
-    shuffle carries one small map per partition.  Delays and distances are
-    whole numbers in practice, which keeps those maps small at any scale.
+    One pass counts the (column, value) pairs with partial aggregation; a distributed
+    running sum over their order tells which values hold the middle places.  No task
+    sees all values of a column, however many distinct ones there are.
     """
     cols = present(df, columns)
-    return df.agg(*[F.median(c).alias(c) for c in cols])
+    pair = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+                               for i, c in enumerate(cols)]))
+    counts = (df.select(pair.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull())
+              .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")))
+    run = global_running_sum(counts, ["c", "v"], {"n": "upto"})
+    totals = run.groupBy("c").agg(F.sum("n").alias("total"), F.max("upto").alias("last"))  # one row a column
+    first = F.col("upto") - F.col("n") - (F.col("last") - F.col("total"))  # places before the value, in its column
+    place = run.join(F.broadcast(totals), "c").select(
+        "c", "v", first.alias("first"), (first + F.col("n")).alias("end"),
+        F.expr("(total - 1) div 2").alias("low"), F.expr("total div 2").alias("high"))
+    holds = lambda x: (F.col("first") <= F.col(x)) & (F.col(x) < F.col("end"))
+    low = [F.max(F.when((F.col("c") == i) & holds("low"), F.col("v"))) for i in range(len(cols))]
+    high = [F.max(F.when((F.col("c") == i) & holds("high"), F.col("v"))) for i in range(len(cols))]
+    return place.agg(*[(a + (b - a) * F.lit(0.5)).alias(c) for a, b, c in zip(low, high, cols)])
 
 
 def median_fill(df: DataFrame, columns: Sequence[str] = fixed.MEDIAN_COLUMNS,
                 eager: bool = False) -> DataFrame:
     """Replace NULLs by the exact global median of the column (one aggregate job).
 
-    Lazy form: the medians are a single row (size proven), broadcast to every
-    task and applied with ``coalesce``.  Eager form: the single row is fetched
-    once and the values are filled as literals, so plans that are evaluated
-    several times (one per served table) do not repeat the median pass.
+    The medians are a single row, broadcast to every task and applied with
+    ``coalesce``; with ``eager`` that row is fetched and its values are filled as
+    literals.  Counting the values evaluates ``df`` once more, so give a staged frame
+    where that is expensive.
     """
     cols = present(df, columns)
     if not cols:
@@ -99,7 +106,7 @@ def median_fill(df: DataFrame, columns: Sequence[str] = fixed.MEDIAN_COLUMNS,
         row = column_medians(df, cols).first()
         values = {c: row[c] for c in cols if row[c] is not None}
         return df.fillna(values) if values else df
-    meds = df.agg(*[F.median(c).alias(f"__median_{c}") for c in cols])
+    meds = column_medians(df, cols).toDF(*[f"__median_{c}" for c in cols])
     joined = df.crossJoin(F.broadcast(meds))
     return joined.selectExpr(*[f"coalesce({sql_ident(c)}, `__median_{c}`) AS {sql_ident(c)}" if c in cols
                                else sql_ident(c) for c in df.columns])

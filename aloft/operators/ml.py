@@ -3,8 +3,9 @@
 * feature frame: ten pre-departure features + label, rows with any NULL dropped;
 * exact stratified 80/20 split: per class, rows ordered by ``md5(seed | key)``
   and the first ``test_c`` of each class go to test, where ``test_c`` follows the
-  largest-remainder allocation of a stratified shuffle split.  The per-class
-  rank is a distributed row number (no single-partition window);
+  largest-remainder allocation of a stratified shuffle split.  A histogram of hash
+  prefixes gives each class's threshold; only the rows of the prefix on which it
+  falls are put in order;
 * scaling by the population standard deviation (no centring; divisor 1 for a
   constant column), fitted on train;
 * one-hot encoding, categories learnt on train in alphabetical order, an
@@ -29,12 +30,16 @@ from pyspark.sql import functions as F
 
 from aloft.functions import fixed
 from aloft.functions.columns import np_round
-from aloft.operators.ordered import global_row_number, global_running_sum
+from aloft.operators.ordered import global_running_sum, written
 
 KEYS = ("OP_CARRIER_FL_NUM", "TAIL_NUM", "FL_DATE")
 NUMERIC = tuple(c for c in fixed.ML_FEATURES if c not in fixed.ML_CATEGORICAL)
 LABEL = fixed.ML_TARGET
-LR_TOL = 1e-4  # the reference solver's default stopping tolerance
+#: relative change of the objective at which the solver stops; small enough that the
+#: gradient's norm at the solution is below 1e-4 (tested)
+LR_TOL = 1e-12
+#: hex digits of the hash prefix in the split's histogram
+SPLIT_PREFIX = 4
 
 
 def ml_frame(enriched: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -72,16 +77,22 @@ def stratified_split(frame: DataFrame, keys: Sequence[str] = KEYS, label: str =
                      test_fraction: float = fixed.ML_TEST_FRACTION,
                      seed: int = fixed.ML_SEED) -> DataFrame:
     """Add ``split`` in {'train', 'test'}: exact per-class test counts, hash-ordered choice."""
-    alloc = test_allocation(frame, label, test_fraction)
-    offsets = alloc.select(label, "test_c", F.coalesce(F.sum("n_c").over(
-        Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"))
-    hashed = frame.withColumn("__h", split_hash(seed, keys))
-    order = [label, "__h", *keys, *[c for c in frame.columns if c not in keys and c != label]]
-    numbered = global_row_number(hashed, order, "__rn")
-    out = numbered.join(F.broadcast(offsets), label)
-    rank = F.col("__rn") - F.col("__off")
-    return (out.withColumn("split", F.when(rank <= F.col("test_c"), "test").otherwise("train"))
-               .drop("__h", "__rn", "__off", "test_c"))
+    frame = written(frame.withColumn("__h", split_hash(seed, keys)), "split")
+    alloc = test_allocation(frame, label, test_fraction).select(label, "test_c")
+    prefix = F.left("__h", F.lit(SPLIT_PREFIX))
+    counts = frame.groupBy(label, prefix.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    upto = F.sum("__n").over(Window.partitionBy(label).orderBy("__p"))  # at most 16 ** SPLIT_PREFIX rows a class
+    edge = (counts.withColumn("__upto", upto).join(F.broadcast(alloc), label)
+            .where((F.col("__upto") >= F.col("test_c")) & (F.col("__upto") - F.col("__n") < F.col("test_c")))
+            .select(label, F.col("__p").alias("__edge"), (F.col("test_c") - F.col("__upto") + F.col("__n")).alias("__take")))
+    near = frame.join(F.broadcast(edge), label, "left").withColumn("__p", prefix)
+    place = Window.partitionBy(label).orderBy("__h", *keys, *[c for c in frame.columns if c not in (*keys, label, "__h")])
+    on_edge = near.where(F.col("__p") == F.col("__edge"))
+    ranked = on_edge.withColumn("split", F.when(F.row_number().over(place) <= F.col("__take"), "test")
+                                .otherwise("train"))
+    rest = near.where(F.col("__edge").isNull() | (F.col("__p") != F.col("__edge"))).withColumn(
+        "split", F.when(F.col("__p") < F.col("__edge"), "test").otherwise("train"))
+    return rest.unionByName(ranked).drop("__h", "__p", "__edge", "__take")
 
 
 def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
@@ -92,23 +103,10 @@ def class_weights(train: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def scale_stats(train: DataFrame, cols: Sequence[str] = NUMERIC) -> DataFrame:
-    """One row: population std of each column; 1.0 where it is 0 or undefined.
-
-    Computed from the moment sums (n, sum x, sum x^2) of one aggregate: for
-    whole-number features these sums are exact, so the result does not depend on
-    how rows are spread over tasks."""
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.sum(x).alias(f"__s_{c}"), F.sum(x * x).alias(f"__q_{c}")]
-    sums = train.agg(*aggs)
-    out = []
-    for c in cols:
-        n = F.col("__n").cast("double")
-        var = (F.col(f"__q_{c}") - F.col(f"__s_{c}") * F.col(f"__s_{c}") / n) / n
-        sd = F.sqrt(F.greatest(var, F.lit(0.0)))
-        out.append(F.coalesce(F.when(sd != 0, sd), F.lit(1.0)).alias(f"__sd_{c}"))
-    return sums.select(*out)
+    """One row: population std of each column; 1.0 where the column is constant or empty."""
+    return train.agg(*[
+        F.coalesce(F.when(F.max(c) != F.min(c), F.stddev_pop(F.col(c).cast("double"))), F.lit(1.0)).alias(f"__sd_{c}")
+        for c in cols])
 
 
 def standard_scale(df: DataFrame, stats: DataFrame, cols: Sequence[str] = NUMERIC,
@@ -134,16 +132,12 @@ def one_hot_long(df: DataFrame, indexers, keys: Sequence[str],
 
     A value not seen in training has no active entry (all-zero block)."""
     indexed = indexers.transform(df)
-    parts = []
+    active = []
     for c, labels in zip(cols, _labels(indexers)):
         idx = F.col(f"{c}__idx").cast("int")
-        names = F.array(*[F.lit(f"{c}_{v}") for v in labels]) if labels else F.array().cast("array<string>")
-        feat = F.when(idx < len(labels), F.element_at(names, idx + 1))
-        parts.append(indexed.select(*keys, feat.alias("feature")).where(F.col("feature").isNotNull()))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("value", F.lit(1.0))
+        active.append(F.when(idx < len(labels), F.concat(F.lit(f"{c}_"), F.col(c))).cast("string"))
+    out = indexed.select(*keys, F.explode(F.array(*active)).alias("feature"))
+    return out.where(F.col("feature").isNotNull()).withColumn("value", F.lit(1.0))
 
 
 def feature_names(indexers, num: Sequence[str] = NUMERIC,
@@ -209,33 +203,44 @@ def scored(model, test: DataFrame) -> DataFrame:
 
 
 def confusion(pred: DataFrame) -> DataFrame:
-    """One row: tp, fp, fn, tn (label and pred are 0/1)."""
-    l, p = F.col("label"), F.col("pred")
-    return pred.agg(F.count_if((l == 1) & (p == 1)).alias("tp"), F.count_if((l == 0) & (p == 1)).alias("fp"),
-                    F.count_if((l == 1) & (p == 0)).alias("fn"), F.count_if((l == 0) & (p == 0)).alias("tn"))
+    """One row: tp, fp, fn, tn (label and pred are 0/1; column ``n``, if there, counts equal rows)."""
+    n = F.col("n") if "n" in pred.columns else F.lit(1)
+    hit = lambda label, p: F.coalesce(F.sum(F.when((F.col("label") == label) & (F.col("pred") == p), n)),
+                                      F.lit(0)).cast("bigint")
+    return pred.agg(hit(1, 1).alias("tp"), hit(0, 1).alias("fp"), hit(1, 0).alias("fn"), hit(0, 0).alias("tn"))
 
 
 def _div0(a: Column, b: Column) -> Column:
     return F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b.cast("double"))
 
 
+def score_counts(pred: DataFrame) -> DataFrame:
+    """(label, pred, score, n), staged: everything the metrics need, scored once."""
+    return written(pred.groupBy("label", "pred", "score").agg(F.count(F.lit(1)).alias("n")), "scores")
+
+
 def exact_auc(pred: DataFrame) -> DataFrame:
     """One row ``roc_auc``: P(score_pos > score_neg) + 0.5 P(equal), exactly.
 
     Rows collapse to one per distinct score first (partial aggregation), then a
     distributed running sum of negatives over the score order gives, for every
-    score, the negatives ranked below it.
+    score, the negatives ranked below it.  Products are doubles: the number of
+    pairs passes a long's range at a few billion rows.
     """
-    per_score = pred.groupBy("score").agg(F.count_if(F.col("label") == 1).alias("pos"),
-                                          F.count_if(F.col("label") == 0).alias("neg"))
+    n = F.col("n") if "n" in pred.columns else F.lit(1)
+    per_score = pred.groupBy("score").agg(
+        F.sum(F.when(F.col("label") == 1, n).otherwise(0)).cast("bigint").alias("pos"),
+        F.sum(F.when(F.col("label") == 0, n).otherwise(0)).cast("bigint").alias("neg"))
     run = global_running_sum(per_score, ["score"], {"neg": "neg_upto"})
     part = run.select((F.col("pos").cast("double")
                        * ((F.col("neg_upto") - F.col("neg")).cast("double") + F.col("neg") * 0.5))
                       .alias("u"), "pos", "neg")
-    return part.agg(_div0(F.sum("u"), F.sum("pos") * F.sum("neg")).alias("roc_auc"))
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return part.agg(_div0(F.sum("u"), pairs).alias("roc_auc"))
 
 
 def binary_metrics(pred: DataFrame, model_name: str | None = None) -> DataFrame:
+    pred = pred if "n" in pred.columns else score_counts(pred)
     c = confusion(pred)
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
     metrics = c.crossJoin(exact_auc(pred)).select(
@@ -279,15 +284,6 @@ def classification_report(pred: DataFrame) -> DataFrame:
     return out.withColumn("support", F.col("support").cast("bigint")).orderBy("ord").drop("ord")
 
 
-def closed_form_score(df: DataFrame) -> DataFrame:
-    """A fixed, model-free score per flight used to check the metric code:
-    ((origin number mod 12) * 8 + distance mod 10) / 100, positive above 0.5."""
-    origin_no = F.substring("ORIGIN", 2, 2).cast("int")
-    score = ((origin_no % 12) * 8 + F.col("DISTANCE").cast("int") % 10) / F.lit(100.0)
-    return df.select(F.col(LABEL).alias("label"), score.alias("score")) \
-             .withColumn("pred", (F.col("score") > 0.5).cast("int"))
-
-
 def importances(spark, model, names: Sequence[str], top: int = fixed.TOP_FEATURES) -> DataFrame:
     """Top-``top`` feature importances with readable names.
 

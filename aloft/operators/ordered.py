@@ -7,45 +7,41 @@ count/total of every partition, a window over those few rows turns them into
 offsets, and the offsets are broadcast back (size bounded by the number of
 partitions).
 
-The staged, sorted frame is checkpointed to the shared checkpoint folder so
-the counting pass and the numbering pass see identical partitions even if
-executors are lost in between.
+The sorted frame is staged as Parquet in the shared checkpoint folder together
+with its partition and place, so the counting pass and the numbering pass see
+the same rows even if executors are lost in between.  The number of partitions
+is the session's, never fixed here.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aloft.session import ensure_checkpoint_dir
+from aloft.session import scratch_path
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder: evaluated once, lineage cut."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _stage(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
-    """Range-partition + sort + number the rows, then checkpoint (eagerly).
+    """Range-partition + sort + number the rows, then write them.
 
-    The input is persisted only while the checkpoint is written: the range
-    partitioner's sampling job and the shuffle then share one evaluation of it.
+    The input is written first: the range partitioner's sampling job and the shuffle
+    then read one evaluation of it.
     """
-    n = _partitions(df, num_partitions)
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        staged = (cached.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                        .withColumn("__mid", F.monotonically_increasing_id()))
-        return staged.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+    df = written(df, "unsorted")
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    return written(ranged.sortWithinPartitions(*order).withColumn("__mid", F.monotonically_increasing_id()), "sorted")
 
 
 def _offsets(totals: DataFrame, total_col: str) -> DataFrame:

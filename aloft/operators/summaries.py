@@ -69,9 +69,13 @@ def airport_summary(df: DataFrame) -> DataFrame:
 
 def airport_fragility(df: DataFrame) -> DataFrame:
     """Airport summary + four normalised components + the fragility index (AFI)."""
-    s = minmax_norm(airport_summary(df), {
+    return fragility_of(airport_summary(df), materialize=True)
+
+
+def fragility_of(airports: DataFrame, materialize: bool = False) -> DataFrame:
+    s = minmax_norm(airports, {
         "disruption_rate": "norm_disruption", "avg_dep_delay": "norm_delay",
-        "cancellation_rate": "norm_cancel", "diversion_rate": "norm_divert"}, materialize=True)
+        "cancellation_rate": "norm_cancel", "diversion_rate": "norm_divert"}, materialize=materialize)
     score = None
     for name, weight in fixed.AFI_WEIGHTS:
         term = F.col(name) * F.lit(weight)
@@ -91,7 +95,11 @@ def route_summary(df: DataFrame) -> DataFrame:
 
 def route_reliability(df: DataFrame) -> DataFrame:
     """Route summary + delay penalty + route reliability score (RRS, 0..100)."""
-    s = minmax_norm(route_summary(df), {"avg_dep_delay": "__norm_delay"}, materialize=True)
+    return reliability_of(route_summary(df), materialize=True)
+
+
+def reliability_of(routes: DataFrame, materialize: bool = False) -> DataFrame:
+    s = minmax_norm(routes, {"avg_dep_delay": "__norm_delay"}, materialize=materialize)
     s = s.withColumn("delay_penalty", F.col("__norm_delay") * F.lit(fixed.RRS_DELAY_WEIGHT))
     raw = (F.lit(1.0) - F.col("disruption_rate") - F.col("delay_penalty")) * F.lit(100.0)
     clipped = F.when(raw.isNotNull(), F.greatest(F.least(raw, F.lit(100.0)), F.lit(0.0)))
@@ -172,17 +180,23 @@ def dow_trend(df: DataFrame) -> DataFrame:
              .orderBy("DAY_OF_WEEK"))
 
 
+#: grouping keys and the sets (grains) of the combined aggregate
+GRAIN_KEYS = ("ORIGIN", "route", "OP_UNIQUE_CARRIER", "YEAR", "MONTH", "DAY_OF_WEEK")
+GRAINS = (("ORIGIN",), ("route",), ("OP_UNIQUE_CARRIER",), ("YEAR", "MONTH"), ("DAY_OF_WEEK",))
+
+
+def grain_id(keys: Sequence[str]) -> int:
+    """``grouping_id()`` of a grain: a bit for every grouping key that it leaves out."""
+    return sum(1 << (len(GRAIN_KEYS) - 1 - i) for i, k in enumerate(GRAIN_KEYS) if k not in keys)
+
+
 def all_summaries_grouping_sets(df: DataFrame) -> DataFrame:
     """Airport, route, carrier, year-month and weekday aggregates in ONE scan.
 
-    An alternative to five separate aggregations over a persisted frame: the
-    ``Expand`` feeds five grouping sets into one partial aggregate and
-    ``grain`` (the grouping id) tells the rows apart.  Use it when the enriched
-    frame is too large to keep between the five jobs.
+    ``Expand`` feeds five grouping sets into one partial aggregate and ``grain``
+    (the grouping id) tells the rows apart.  Rows whose own key is NULL form no group.
     """
-    keys = ["ORIGIN", "route", "OP_UNIQUE_CARRIER", "YEAR", "MONTH", "DAY_OF_WEEK"]
-    sets = [["ORIGIN"], ["route"], ["OP_UNIQUE_CARRIER"], ["YEAR", "MONTH"], ["DAY_OF_WEEK"]]
-    return df.groupingSets(sets, *keys).agg(
+    out = df.groupingSets([list(g) for g in GRAINS], *GRAIN_KEYS).agg(
         F.grouping_id().alias("grain"),
         _total(), _disrupted(),
         F.avg("DEP_DELAY").alias("avg_dep_delay"),
@@ -190,3 +204,44 @@ def all_summaries_grouping_sets(df: DataFrame) -> DataFrame:
         F.avg("DISTANCE").alias("avg_distance"),
         F.sum("CANCELLED").cast("bigint").alias("cancellations"),
         F.sum("DIVERTED").cast("bigint").alias("diversions"))
+    known = None
+    for g in GRAINS:
+        p = F.col("grain") == grain_id(g)
+        for k in g:
+            p = p & F.col(k).isNotNull()
+        known = p if known is None else known | p
+    return out.where(known)
+
+
+def grain(summaries: DataFrame, *keys: str) -> DataFrame:
+    """The rows of one grain of ``all_summaries_grouping_sets``."""
+    return summaries.where(F.col("grain") == grain_id(keys)).drop(
+        "grain", *[k for k in GRAIN_KEYS if k not in keys])
+
+
+def airport_summary_of(summaries: DataFrame) -> DataFrame:
+    n = F.col("total_flights")
+    return grain(summaries, "ORIGIN").select(
+        "ORIGIN", "total_flights", "disrupted_flights", "avg_dep_delay", "avg_arr_delay",
+        safe_ratio(F.col("cancellations"), n).alias("cancellation_rate"),
+        safe_ratio(F.col("diversions"), n).alias("diversion_rate"), _rate("disrupted_flights").alias("disruption_rate"))
+
+
+def route_summary_of(summaries: DataFrame) -> DataFrame:
+    return grain(summaries, "route").select(
+        "route", "total_flights", "disrupted_flights", "avg_dep_delay", "avg_arr_delay", "avg_distance",
+        _rate("disrupted_flights").alias("disruption_rate"))
+
+
+def carrier_summary_of(summaries: DataFrame) -> DataFrame:
+    g = grain(summaries, "OP_UNIQUE_CARRIER").select(
+        F.col("OP_UNIQUE_CARRIER").alias("carrier"), "total_flights", "disrupted_flights", "avg_dep_delay",
+        "avg_arr_delay", "cancellations", "diversions")
+    return (g.withColumns({"disruption_rate": _rate("disrupted_flights"), "cancellation_rate": _rate("cancellations")})
+             .orderBy(F.col("disruption_rate").desc_nulls_last(), F.col("carrier")))
+
+
+def monthly_summary_of(summaries: DataFrame) -> DataFrame:
+    return grain(summaries, "YEAR", "MONTH").select(
+        "YEAR", "MONTH", "total_flights", "disrupted_flights", "avg_dep_delay", "cancellations",
+        _rate("disrupted_flights").alias("disruption_rate")).orderBy("YEAR", "MONTH")

@@ -67,9 +67,10 @@ flights_raw AS (
     CAST(year(sd) AS VARCHAR) AS "YEAR",
     CAST(month(sd) AS VARCHAR) AS "MONTH",
     CAST(isodow(sd) AS VARCHAR) AS "DAY_OF_WEEK",
-    strftime(sd, '%Y-%m-%d') AS "FL_DATE",
+    CASE WHEN pk % 17 = 0 THEN month(sd) || '/' || day(sd) || '/' || year(sd) || ' 12:00:00 AM'
+         WHEN pk % 23 = 0 THEN NULL WHEN pk % 29 = 0 THEN 'unknown' ELSE strftime(sd, '%Y-%m-%d') END AS "FL_DATE",
     'C' || CAST(sk % 12 AS VARCHAR) AS "OP_UNIQUE_CARRIER",
-    'N' || CAST(pk AS VARCHAR) || 'S' || CAST(sk AS VARCHAR) AS "TAIL_NUM",
+    'N' || CAST(pk % 100000 AS VARCHAR) || 'S' || CAST(sk % 1000 AS VARCHAR) AS "TAIL_NUM",
     CAST(ok * 10 + ln AS VARCHAR) AS "OP_CARRIER_FL_NUM",
     CASE WHEN pk % 211 <> 0 THEN 'A' || lpad(CAST(sn AS VARCHAR), 2, '0') END AS "ORIGIN",
     'A' || lpad(CAST(cn AS VARCHAR), 2, '0') || ' ' AS "DEST",
@@ -77,7 +78,7 @@ flights_raw AS (
     CAST(CASE WHEN NOT canc THEN pk % 25 * 100 + (sk + 7) % 60 END AS VARCHAR) AS "DEP_TIME",
     CASE WHEN NOT canc THEN CASE WHEN pk % 97 = 0 THEN 'N/A' ELSE CAST(dd AS VARCHAR) END END AS "DEP_DELAY",
     CAST(CASE WHEN NOT canc THEN CASE WHEN dd >= 15 THEN 1 ELSE 0 END END AS VARCHAR) AS "DEP_DEL15",
-    CAST(CASE WHEN NOT canc THEN 10 + ok % 20 END AS VARCHAR) AS "TAXI_OUT",
+    CASE WHEN NOT canc THEN (10 + ok % 20) || CASE WHEN ln % 2 = 0 THEN '.5' ELSE '' END END AS "TAXI_OUT",
     CAST(CASE WHEN NOT gone THEN 4 + pk % 9 END AS VARCHAR) AS "TAXI_IN",
     CAST((pk + 3 + ln) % 25 * 100 + ok % 60 AS VARCHAR) AS "CRS_ARR_TIME",
     CAST(CASE WHEN NOT gone THEN (pk + 3 + ln) % 25 * 100 + (ok + 5) % 60 END AS VARCHAR) AS "ARR_TIME",
@@ -86,7 +87,7 @@ flights_raw AS (
     CAST(CASE WHEN canc THEN 1 ELSE 0 END AS VARCHAR) AS "CANCELLED",
     CAST(CASE WHEN dvt THEN 1 ELSE 0 END AS VARCHAR) AS "DIVERTED",
     CAST(CASE WHEN NOT gone THEN 30 + pk % 300 END AS VARCHAR) AS "AIR_TIME",
-    CAST(200 + pk % 2300 AS VARCHAR) AS "DISTANCE",
+    (200 + pk % 2300) || CASE WHEN sk % 3 = 0 THEN '.5' ELSE '' END AS "DISTANCE",
     CAST(CASE WHEN late THEN CASE WHEN ln IN (1, 2) THEN ad ELSE 0 END END AS VARCHAR) AS "CARRIER_DELAY",
     CAST(CASE WHEN late THEN CASE WHEN ln = 3 THEN ad ELSE 0 END END AS VARCHAR) AS "WEATHER_DELAY",
     CAST(CASE WHEN late THEN CASE WHEN ln = 4 THEN ad ELSE 0 END END AS VARCHAR) AS "NAS_DELAY",
@@ -359,8 +360,8 @@ flights_prep AS (
   SELECT
     CAST(round_even(CAST("YEAR" AS DOUBLE), 0) AS SMALLINT) AS year,
     CAST(round_even(CAST("MONTH" AS DOUBLE), 0) AS SMALLINT) AS month,
-    CAST(isodow(TRY_CAST("FL_DATE" AS DATE)) AS SMALLINT) AS day_of_week,
-    TRY_CAST("FL_DATE" AS DATE) AS fl_date,
+    CAST(isodow(coalesce(TRY_CAST(try_strptime("FL_DATE", '%Y-%m-%d') AS DATE), TRY_CAST(try_strptime("FL_DATE", '%m/%d/%Y %I:%M:%S %p') AS DATE))) AS SMALLINT) AS day_of_week,
+    coalesce(TRY_CAST(try_strptime("FL_DATE", '%Y-%m-%d') AS DATE), TRY_CAST(try_strptime("FL_DATE", '%m/%d/%Y %I:%M:%S %p') AS DATE)) AS fl_date,
     "OP_UNIQUE_CARRIER" AS op_unique_carrier, "TAIL_NUM" AS tail_num, "OP_CARRIER_FL_NUM" AS flight_num,
     "ORIGIN" AS origin, "DEST" AS dest, route,
     CAST(round_even("CRS_DEP_TIME", 0) AS SMALLINT) AS crs_dep_time,
@@ -389,7 +390,7 @@ flights_typed AS (
          CAST(nas_delay AS DECIMAL(6,1)) AS nas_delay, CAST(security_delay AS DECIMAL(6,1)) AS security_delay,
          CAST(late_aircraft_delay AS DECIMAL(6,1)) AS late_aircraft_delay,
          disrupted, is_weekend, dep_hour, arr_hour, time_block,
-         row_number() OVER (ORDER BY fl_date, flight_num, tail_num, origin, dest, crs_dep_time, crs_arr_time,
+         row_number() OVER (ORDER BY fl_date NULLS FIRST, flight_num, tail_num, origin, dest, crs_dep_time, crs_arr_time,
                                      op_unique_carrier, year, month, day_of_week, route, dep_time, dep_delay,
                                      dep_del15, taxi_out, taxi_in, arr_time, arr_delay, arr_del15, cancelled,
                                      diverted, air_time, distance, carrier_delay, weather_delay, nas_delay,
@@ -435,7 +436,12 @@ def _warehouse_sql() -> dict[str, str]:
     o["iso_day_of_week"] = "SELECT flight_num, fl_date, day_of_week FROM flights_prep"
     o["load_flights_cleaned"] = f"SELECT {FLIGHT_COLS} FROM flights_typed"
     o["surrogate_key"] = "SELECT flight_id, fl_date, flight_num, tail_num, origin, dest FROM flights_typed"
-    o["row_cap"] = f"SELECT {FLIGHT_COLS} FROM flights_typed WHERE flight_id <= {fixed.SERVED_ROW_CAP}"
+    counts = ["SELECT 'flights_cleaned' AS table_name, count(*) AS n FROM flights_typed"]
+    counts += [f"SELECT '{t}', count(*) FROM {src}" for t, src in (
+        ("airport_summary", "airport_t"), ("route_summary", "route_t"), ("carrier_summary", "carrier_t"),
+        ("monthly_summary", "monthly_t"), ("delay_cause_summary", "cause_t"))]
+    o["load_status"] = ("SELECT table_name, CAST(n AS BIGINT) AS rows, 'loaded' AS status, '' AS error FROM ("
+                        + " UNION ALL ".join(counts) + ")")
     pk = []
     for t, key in (("airport_summary", "origin"), ("route_summary", "route"),
                    ("carrier_summary", "op_unique_carrier"), ("monthly_summary", "year, month"),
@@ -514,7 +520,9 @@ def _warehouse_sql() -> dict[str, str]:
         'avg("DEP_DELAY") AS avg_dep_delay, avg("ARR_DELAY") AS avg_arr_delay, avg("DISTANCE") AS avg_distance, '
         'CAST(sum("CANCELLED") AS BIGINT) AS cancellations, CAST(sum("DIVERTED") AS BIGINT) AS diversions '
         'FROM feat GROUP BY GROUPING SETS (("ORIGIN"), (route), ("OP_UNIQUE_CARRIER"), ("YEAR", "MONTH"), '
-        '("DAY_OF_WEEK"))')
+        '("DAY_OF_WEEK")) HAVING CASE grouping_id("ORIGIN", route, "OP_UNIQUE_CARRIER", "YEAR", "MONTH", "DAY_OF_WEEK") '
+        'WHEN 31 THEN "ORIGIN" IS NOT NULL WHEN 47 THEN route IS NOT NULL WHEN 55 THEN "OP_UNIQUE_CARRIER" IS NOT NULL '
+        'WHEN 57 THEN "YEAR" IS NOT NULL AND "MONTH" IS NOT NULL ELSE "DAY_OF_WEEK" IS NOT NULL END')
     o.update(_ml_sql())
     o["chart_top_airports"] = ('SELECT "ORIGIN", disruption_rate, "AFI" FROM airport_afi '
                                'ORDER BY "AFI" DESC NULLS LAST, "ORIGIN" LIMIT 15')
@@ -556,10 +564,7 @@ ml_split AS (
 ml_train AS (SELECT * FROM ml_split WHERE split = 'train'),
 ml_sd AS (
   SELECT """ + ", ".join(
-    f"COALESCE(CASE WHEN sqrt(greatest((sum(CAST({q(c)} AS DOUBLE) * CAST({q(c)} AS DOUBLE)) - sum(CAST({q(c)} AS DOUBLE)) "
-    f"* sum(CAST({q(c)} AS DOUBLE)) / CAST(count(*) AS DOUBLE)) / CAST(count(*) AS DOUBLE), 0.0)) <> 0 THEN "
-    f"sqrt(greatest((sum(CAST({q(c)} AS DOUBLE) * CAST({q(c)} AS DOUBLE)) - sum(CAST({q(c)} AS DOUBLE)) "
-    f"* sum(CAST({q(c)} AS DOUBLE)) / CAST(count(*) AS DOUBLE)) / CAST(count(*) AS DOUBLE), 0.0)) END, 1.0) AS {q('sd_' + c)}"
+    f"CASE WHEN max({q(c)}) <> min({q(c)}) THEN stddev_pop(CAST({q(c)} AS DOUBLE)) ELSE 1.0 END AS {q('sd_' + c)}"
     for c in ML_NUM) + """ FROM ml_train
 ),
 closed AS (
@@ -599,7 +604,7 @@ def _ml_sql() -> dict[str, str]:
                           "CAST(count(*) OVER () * n_c AS DOUBLE) AS weight "
                           "FROM (SELECT disrupted, CAST(count(*) AS BIGINT) AS n_c FROM ml_train GROUP BY disrupted)")
     o["standard_scale"] = (f"SELECT {ML_KEYS}, split, " + ", ".join(
-        f"CAST({q(c)} AS DOUBLE) / {q('sd_' + c)} AS {q(c)}" for c in ML_NUM) + " FROM ml_split CROSS JOIN ml_sd")
+        f"round(CAST({q(c)} AS DOUBLE) / {q('sd_' + c)}, 6) AS {q(c)}" for c in ML_NUM) + " FROM ml_split CROSS JOIN ml_sd")
     parts = []
     for c in ML_CAT:
         parts.append(f"SELECT {ML_KEYS}, split, '{c}_' || {q(c)} AS feature, 1.0::DOUBLE AS value FROM ml_split "

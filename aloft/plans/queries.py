@@ -16,11 +16,12 @@ from aloft.operators import clean as C
 from aloft.operators import features as FE
 from aloft.operators import ml as M
 from aloft.operators import summaries as S
+from aloft.operators.ordered import written
 from aloft.plans import pipeline as P
 from aloft.plans import views as V
 from aloft.sources import csv_folder as CF
 from aloft.sources import warehouse as W
-from aloft.sources.flightview import flight_view
+from aloft.sources.flightview import closed_form_score, flight_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,8 +40,13 @@ def coerced(spark: SparkSession, sf: str) -> DataFrame:
     return C.coerce_numeric(tokened(spark, sf))
 
 
+def staged(spark: SparkSession, sf: str) -> DataFrame:
+    """The coerced frame, parsed and joined once."""
+    return written(coerced(spark, sf), "coerced")
+
+
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return C.clean_flights(raw(spark, sf))
+    return C.finish_cleaning(staged(spark, sf), eager_medians=True)
 
 
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
@@ -54,8 +60,8 @@ def _registry() -> dict[str, Query]:
     q["null_tokens"] = tokened
     q["coerce_numeric"] = coerced
     q["fill_causes_zero"] = lambda s, sf: C.fill_causes_zero(coerced(s, sf)).select(ID, *fixed.CAUSE_COLUMNS)
-    q["column_medians"] = lambda s, sf: C.column_medians(coerced(s, sf))
-    q["median_fill"] = lambda s, sf: C.median_fill(coerced(s, sf)).select(ID, *fixed.MEDIAN_COLUMNS)
+    q["column_medians"] = lambda s, sf: C.column_medians(staged(s, sf))
+    q["median_fill"] = lambda s, sf: C.median_fill(staged(s, sf)).select(ID, *fixed.MEDIAN_COLUMNS)
     q["fill_flags"] = lambda s, sf: C.fill_flags(coerced(s, sf)).select(ID, *fixed.FLAG_COLUMNS)
     q["drop_missing_keys"] = lambda s, sf: C.drop_missing_keys(tokened(s, sf)).select(ID, *fixed.KEY_COLUMNS)
     q["clean_flights"] = cleaned
@@ -101,7 +107,6 @@ def _registry() -> dict[str, Query]:
     q["load_flights_cleaned"] = lambda s, sf: W.load_flights(enriched(s, sf))
     q["surrogate_key"] = lambda s, sf: W.load_flights(enriched(s, sf)).select(
         "flight_id", "fl_date", "flight_num", "tail_num", "origin", "dest")
-    q["row_cap"] = lambda s, sf: W.load_flights(enriched(s, sf), row_cap=fixed.SERVED_ROW_CAP)
     q["pk_violations"] = _pk_violations
 
     # --- reporting views over the typed tables --------------------------------------
@@ -140,9 +145,9 @@ def _registry() -> dict[str, Query]:
     q["class_weights"] = lambda s, sf: M.class_weights(_split(s, sf).where(F.col("split") == "train"))
     q["standard_scale"] = _standard_scale
     q["one_hot"] = _one_hot
-    q["binary_metrics"] = lambda s, sf: M.binary_metrics(M.closed_form_score(M.ml_frame(enriched(s, sf))))
+    q["binary_metrics"] = lambda s, sf: M.binary_metrics(closed_form_score(M.ml_frame(enriched(s, sf))))
     q["classification_report"] = lambda s, sf: M.classification_report(
-        M.closed_form_score(M.ml_frame(enriched(s, sf))))
+        closed_form_score(M.ml_frame(enriched(s, sf))))
     q["train_logistic"] = lambda s, sf: _train(s, sf, "lr")
     q["train_forest"] = lambda s, sf: _train(s, sf, "rf")
     q["model_comparison"] = lambda s, sf: _train(s, sf, "both")
@@ -155,48 +160,39 @@ def _split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _standard_scale(spark: SparkSession, sf: str) -> DataFrame:
-    split = _split(spark, sf)
-    stats = M.scale_stats(split.where(F.col("split") == "train"))
-    return M.standard_scale(split, stats).select(*M.KEYS, "split", *M.NUMERIC)
+    """Scaled features; rounded here, as a standard deviation's last digits depend on the order of rows."""
+    split = written(_split(spark, sf), "split")
+    scaled = M.standard_scale(split, M.scale_stats(split.where(F.col("split") == "train")))
+    return scaled.select(*M.KEYS, "split", *[F.round(c, 6).alias(c) for c in M.NUMERIC])
 
 
 def _one_hot(spark: SparkSession, sf: str) -> DataFrame:
-    split = _split(spark, sf)
+    split = written(_split(spark, sf), "split")
     indexers = M.fit_indexers(split.where(F.col("split") == "train"))
     return M.one_hot_long(split, indexers, [*M.KEYS, "split"])
 
 
-
-def _prepared(spark: SparkSession, sf: str):
-    """Split + fitted preprocessing; the split and the training vectors are persisted
-    while estimators are fitted (callers unpersist them with ``_release``)."""
-    split = _split(spark, sf).persist()
-    prep = M.prepare(split)
-    prep.train = prep.train.persist()  # iterative training re-reads it many times
-    return prep, split
-
-
-def _release(*frames: DataFrame) -> None:
-    for f in frames:
-        f.unpersist()
+def _prepared(spark: SparkSession, sf: str) -> M.Prepared:
+    """Split + fitted preprocessing; the training vectors are staged, as solvers read them many times."""
+    prep = M.prepare(written(_split(spark, sf), "split"))
+    prep.train = written(prep.train, "train")
+    return prep
 
 
 def _train(spark: SparkSession, sf: str, which: str) -> DataFrame:
-    prep, split = _prepared(spark, sf)
+    prep = _prepared(spark, sf)
     models = []
     if which in ("lr", "both"):
         models.append(("Logistic Regression", M.logistic(prep.train)))
     if which in ("rf", "both"):
         models.append(("Random Forest", M.forest(prep.train)))
-    _release(prep.train, split)  # fitting is done; the metrics below are lazy
     out = [M.binary_metrics(M.scored(m, prep.test), name) for name, m in models]
     return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
 
 def _rf_importance(spark: SparkSession, sf: str) -> DataFrame:
-    prep, split = _prepared(spark, sf)
+    prep = _prepared(spark, sf)
     model = M.forest(prep.train)
-    _release(prep.train, split)
     return M.importances(spark, model, prep.names)
 
 
@@ -238,7 +234,7 @@ def _union_by_name(spark: SparkSession, sf: str) -> DataFrame:
 def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     exported = W.export_rename(S.airport_fragility(enriched(spark, sf)))
     path = P.new_scratch(spark, "csv-airports")
-    W.write_csv(exported, path, single_file=True)
+    W.write_csv(exported, path)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in exported.schema.fields)
     return W.read_csv(spark, path, schema=schema)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 
@@ -19,8 +20,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.exchange.reuse": "true",
     # No broadcast from static size estimates (a parquet file's size says little
-    # about its decoded size): joins broadcast only behind an explicit, checked hint
-    # (see aloft.plans.broadcast) or when AQE has *measured* a shuffle side small.
+    # about its decoded size): a side is broadcast when AQE has *measured* it small,
+    # or when it is a one-row aggregate.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # When AQE demotes a sort-merge join to a broadcast join, read the already
@@ -29,6 +30,7 @@ BASE_CONF = {
     # everything downstream.
     "spark.sql.adaptive.localShuffleReader.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Wide projections (28+ columns with nested CASE/cast chains) generate Java
     # methods above HotSpot's 8 KB JIT limit; without this flag they would run
     # interpreted, several times slower.
@@ -37,12 +39,13 @@ BASE_CONF = {
 }
 
 
-def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def get_session(master: str = "local[8]", shuffle_partitions: int | None = None,
                 app: str = "aloft", extra: dict | None = None) -> SparkSession:
+    """``shuffle_partitions``: 8 on one machine; on a cluster the caller's or the cluster's own setting."""
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master.startswith("local"):
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
         # one machine: favour parallelism over partition size
         conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "128KB"
         cores = master[len("local["):-1] if master.startswith("local[") else "1"
@@ -52,6 +55,8 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
         # a busy cluster: fewer, larger post-shuffle partitions (~128 MB each)
         conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
         conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = "128MB"
+        if shuffle_partitions is not None:
+            conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -84,7 +89,58 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/aloft-{spark.sparkContext.applicationId}"
+
+
+_RELEASE_AT_EXIT: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for staged tables."""
-    base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name
+    """A sub-folder for staged tables, in this application's own part of the shared checkpoint folder.
+
+    Staged tables back the frames that were built on them, so they stay until
+    ``release_scratch`` or the end of the driver process.
+    """
+    root = _scratch_root(spark)
+    if root not in _RELEASE_AT_EXIT:
+        _RELEASE_AT_EXIT.add(root)
+        atexit.register(_release_quietly, spark)
+    return f"{root}/{name}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete this application's staged tables (and nothing else in the checkpoint folder)."""
+    delete_path(spark, _scratch_root(spark))
+
+
+def _release_quietly(spark: SparkSession) -> None:
+    try:
+        if spark.sparkContext._jsc is not None:
+            release_scratch(spark)
+    except Exception:  # the driver is going down: the gateway may be gone already
+        pass
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def replace_path(spark: SparkSession, new: str, path: str) -> None:
+    """Put the finished folder ``new`` in the place of ``path``; the old one goes last."""
+    fs, target = _file_system(spark, path)
+    _, source = _file_system(spark, new)
+    _, old = _file_system(spark, new + ".old")
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        fs.rename(old, target)
+        raise OSError(f"cannot move {new} to {path}")
+    fs.delete(old, True)

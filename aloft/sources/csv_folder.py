@@ -27,6 +27,7 @@ from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aloft.functions import fixed
 from aloft.operators.clean import replace_null_tokens
@@ -57,13 +58,19 @@ def list_csv_files(spark: SparkSession, folders: str | Sequence[str], pattern: s
 
 
 def read_header(spark: SparkSession, file: str) -> tuple[str, ...]:
-    """First line of ``file`` parsed as a CSV record (only that line is read)."""
+    """First record of ``file`` parsed as CSV (only its lines are read; a quoted name may
+    hold a line end)."""
     jvm = spark.sparkContext._jvm
     fs, p = _fs_and_path(spark, file)
     stream = fs.open(p)
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
         line = reader.readLine() or ""
+        while line.count('"') % 2:
+            more = reader.readLine()
+            if more is None:
+                break
+            line += "\n" + more
     finally:
         stream.close()
     line = line.lstrip("﻿")
@@ -86,21 +93,32 @@ def group_by_header(spark: SparkSession, files: Iterable[str],
 
 
 def read_group(spark: SparkSession, files: list[str], header: tuple[str, ...],
-               multiline: bool = False) -> DataFrame:
+               multiline: bool = True) -> DataFrame:
     """One scan for all files sharing ``header``; columns renamed by position from the
-    probed header, normalised, blank-header columns dropped."""
-    df = (spark.read.option("header", True).option("inferSchema", False)
-          .option("multiLine", multiline).option("mode", "PERMISSIVE").csv(files))
+    probed header, normalised, blank-header columns dropped.
+
+    Fields are RFC 4180 text: quotes are doubled inside quotes and, with ``multiline``, a
+    quoted field may hold line ends (files are then not split; turn it off for huge files
+    without such fields).  A record of fewer fields ends in NULLs; one of more fields
+    is an error that names its file, never a silent loss.
+    """
     names = [normalise_header(h) for h in header]
-    if len(names) != len(df.columns):
-        raise ValueError(f"header of {files[0]} has {len(names)} fields, parser saw {len(df.columns)}")
     keep = [(i, n) for i, n in enumerate(names) if n]
     seen = [n for _, n in keep]
     dupes = sorted({n for n in seen if seen.count(n) > 1})
     if dupes:
         raise ValueError(f"{files[0]}: duplicate columns after normalisation: {dupes}")
-    renamed = df.toDF(*[f"__c{i}" for i in range(len(df.columns))])
-    return renamed.select(*[renamed[f"__c{i}"].alias(n) for i, n in keep])
+    schema = ", ".join([*(f"__c{i} STRING" for i in range(len(names))), "__record STRING"])
+    df = (spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multiline)
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "__record")
+          .option("columnPruning", False).csv(files))
+    # __record holds the text of records whose number of fields differs from the header's
+    bare = F.regexp_replace("__record", '"([^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    message = F.concat(F.lit("more fields than the header in "), F.col("_metadata.file_path"), F.lit(": "),
+                       F.left("__record", F.lit(200)))
+    checked = df.where(F.when(fields > len(names), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return checked.select(*[F.col(f"__c{i}").alias(n) for i, n in keep])
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -113,7 +131,7 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
 
 def read_csv_folder(spark: SparkSession, folders: str | Sequence[str], pattern: str = "*.csv",
                     tokens: Sequence[str] | None = fixed.NULL_TOKENS,
-                    multiline: bool = False) -> DataFrame:
+                    multiline: bool = True) -> DataFrame:
     """All CSV files of ``folders`` as one all-string frame, aligned by (normalised) name."""
     files = list_csv_files(spark, folders, pattern)
     if not files:
@@ -125,7 +143,8 @@ def read_csv_folder(spark: SparkSession, folders: str | Sequence[str], pattern:
 
 
 def write_csv_folder(df: DataFrame, path: str) -> None:
-    """CSV sink that keeps surrounding blanks of values (the writer trims them by default)."""
-    (df.write.mode("overwrite").option("header", True)
+    """CSV sink that keeps surrounding blanks of values (the writer trims them by default) and
+    doubles quotes inside quotes."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))

@@ -7,11 +7,14 @@ deterministically, one 28-column string row per ``lineitem`` row so that the
 pipeline can be run, checked and benchmarked on them.  Every value is a
 string, exactly as a CSV scan without schema inference would deliver it.
 
-Plan shape: ``orders`` is joined to the customer nation first (narrow two
-column side, broadcast only when its row count is proven small), then the
-order side is shuffle-joined to ``lineitem`` on the order key, then the
-supplier nation is attached the same way as the customer nation.  Only the
-columns used are read (the parquet scans show a pruned ``ReadSchema``).
+Plan shape: ``orders`` is joined to the customer nation first, then the
+order side is joined to ``lineitem`` on the order key, then the supplier nation
+is attached.  There are no hints: adaptive execution turns a shuffle join into a
+broadcast join where it has measured a side small.  Only the columns used are
+read (the parquet scans show a pruned ``ReadSchema``).
+
+A few values are deliberately awkward, as real files are: delays spelled
+``N/A``, half minutes and half miles, dates in a second format or missing.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.plans.broadcast import broadcast_if_small_source
+from aloft.functions import fixed
 
 # Only the columns the view needs; a declared read schema also skips footer-based
 # schema inference.
@@ -44,8 +47,8 @@ def flight_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Joined narrow inputs: one row per lineitem with the two nation keys."""
     li = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders")
-    supp = broadcast_if_small_source(_table(spark, sf_dir, "supplier"), _path(sf_dir, "supplier"))
-    cust = broadcast_if_small_source(_table(spark, sf_dir, "customer"), _path(sf_dir, "customer"))
+    supp = _table(spark, sf_dir, "supplier")
+    cust = _table(spark, sf_dir, "customer")
 
     order_nation = (orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
                     .select("o_orderkey", "c_nationkey"))
@@ -75,9 +78,10 @@ _COLUMNS = (
     "CAST(year(sd) AS STRING) AS YEAR",
     "CAST(month(sd) AS STRING) AS MONTH",
     "CAST(weekday(sd) + 1 AS STRING) AS DAY_OF_WEEK",
-    "CAST(sd AS STRING) AS FL_DATE",
+    "CASE WHEN pk % 17 = 0 THEN concat(month(sd), '/', day(sd), '/', year(sd), ' 12:00:00 AM') "
+    "WHEN pk % 23 = 0 THEN NULL WHEN pk % 29 = 0 THEN 'unknown' ELSE CAST(sd AS STRING) END AS FL_DATE",
     "concat('C', CAST(sk % 12 AS STRING)) AS OP_UNIQUE_CARRIER",
-    "concat('N', CAST(pk AS STRING), 'S', CAST(sk AS STRING)) AS TAIL_NUM",
+    "concat('N', CAST(pk % 100000 AS STRING), 'S', CAST(sk % 1000 AS STRING)) AS TAIL_NUM",
     "CAST(ok * 10 + ln AS STRING) AS OP_CARRIER_FL_NUM",
     "CASE WHEN pk % 211 <> 0 THEN concat('A', lpad(CAST(sn AS STRING), 2, '0')) END AS ORIGIN",
     "concat('A', lpad(CAST(cn AS STRING), 2, '0'), ' ') AS DEST",
@@ -85,7 +89,7 @@ _COLUMNS = (
     "CAST(CASE WHEN NOT canc THEN pk % 25 * 100 + (sk + 7) % 60 END AS STRING) AS DEP_TIME",
     "CASE WHEN NOT canc THEN CASE WHEN pk % 97 = 0 THEN 'N/A' ELSE CAST(dd AS STRING) END END AS DEP_DELAY",
     "CAST(CASE WHEN NOT canc THEN CASE WHEN dd >= 15 THEN 1 ELSE 0 END END AS STRING) AS DEP_DEL15",
-    "CAST(CASE WHEN NOT canc THEN 10 + ok % 20 END AS STRING) AS TAXI_OUT",
+    "CASE WHEN NOT canc THEN concat(10 + ok % 20, CASE WHEN ln % 2 = 0 THEN '.5' ELSE '' END) END AS TAXI_OUT",
     "CAST(CASE WHEN NOT gone THEN 4 + pk % 9 END AS STRING) AS TAXI_IN",
     "CAST((pk + 3 + ln) % 25 * 100 + ok % 60 AS STRING) AS CRS_ARR_TIME",
     "CAST(CASE WHEN NOT gone THEN (pk + 3 + ln) % 25 * 100 + (ok + 5) % 60 END AS STRING) AS ARR_TIME",
@@ -94,7 +98,7 @@ _COLUMNS = (
     "CAST(CASE WHEN canc THEN 1 ELSE 0 END AS STRING) AS CANCELLED",
     "CAST(CASE WHEN dvt THEN 1 ELSE 0 END AS STRING) AS DIVERTED",
     "CAST(CASE WHEN NOT gone THEN 30 + pk % 300 END AS STRING) AS AIR_TIME",
-    "CAST(200 + pk % 2300 AS STRING) AS DISTANCE",
+    "concat(200 + pk % 2300, CASE WHEN sk % 3 = 0 THEN '.5' ELSE '' END) AS DISTANCE",
     _cause("1, 2") + " AS CARRIER_DELAY",
     _cause("3") + " AS WEATHER_DELAY",
     _cause("4") + " AS NAS_DELAY",
@@ -118,3 +122,12 @@ def flight_rows(joined: DataFrame) -> DataFrame:
 def flight_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """28-column, all-string flight frame derived from the tables in ``sf_dir``."""
     return flight_rows(flight_source(spark, sf_dir))
+
+
+def closed_form_score(df: DataFrame) -> DataFrame:
+    """A fixed, model-free score per flight of this view, used to check the metric code:
+    ((origin number mod 12) * 8 + distance mod 10) / 100, positive above 0.5."""
+    origin_no = F.substring("ORIGIN", 2, 2).cast("int")
+    score = ((origin_no % 12) * 8 + F.col("DISTANCE").cast("int") % 10) / F.lit(100.0)
+    return df.select(F.col(fixed.ML_TARGET).alias("label"), score.alias("score")) \
+             .withColumn("pred", (F.col("score") > 0.5).cast("int"))

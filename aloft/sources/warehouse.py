@@ -10,6 +10,7 @@ what a typed database load does.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from aloft.functions import fixed
 from aloft.functions.columns import iso_day_of_week, parse_date, to_double, to_int_half_even
 from aloft.operators.ordered import global_row_number
+from aloft.session import delete_path, replace_path
 
 
 @dataclass(frozen=True)
@@ -95,12 +97,8 @@ SUMMARY_CONTRACTS = (AIRPORT, ROUTE, CARRIER, MONTHLY, CAUSE)
 # loader-side rename of the exported carrier column onto the warehouse name
 LOAD_RENAMES = {"carrier": "op_unique_carrier"}
 # columns the flights load re-types as whole numbers (half-to-even), and as decimals
-FLIGHT_SMALLINT = ("year", "month", "day_of_week", "crs_dep_time", "dep_time", "crs_arr_time",
-                   "arr_time", "dep_del15", "arr_del15", "cancelled", "diverted", "disrupted",
-                   "is_weekend", "dep_hour", "arr_hour")
-FLIGHT_DECIMAL = ("dep_delay", "arr_delay", "taxi_out", "taxi_in", "air_time", "distance",
-                  "carrier_delay", "weather_delay", "nas_delay", "security_delay",
-                  "late_aircraft_delay")
+FLIGHT_SMALLINT = tuple(c for c, t in FLIGHTS.columns if t == "SMALLINT")
+FLIGHT_DECIMAL = tuple(c for c, t in FLIGHTS.columns if t.startswith("DECIMAL"))
 # deterministic stand-in for file order when numbering flights
 FLIGHT_ORDER = ("fl_date", "flight_num", "tail_num", "origin", "dest", "crs_dep_time",
                 "crs_arr_time", "op_unique_carrier")
@@ -179,9 +177,15 @@ def conform(df: DataFrame, contract: Contract, strict: bool = True) -> DataFrame
     return df.select(*cols)
 
 
+def missing_columns(df: DataFrame, contract: Contract) -> list[str]:
+    """Contract columns (but the surrogate key) that an exported frame does not have."""
+    return [c for c in contract_projection(export_rename(df), contract)[1] if c != "flight_id"]
+
+
 def load_summary(summary: DataFrame, contract: Contract) -> DataFrame:
-    """Exported summary frame -> typed warehouse table (contract projection + casts)."""
-    projected, missing = contract_projection(export_rename(summary), contract)
+    """Exported summary frame -> typed warehouse table (contract projection + casts); a missing
+    column is NULL (``missing_columns`` reports it)."""
+    projected, _ = contract_projection(export_rename(summary), contract)
     return conform(projected, contract, strict=False)
 
 
@@ -203,19 +207,15 @@ def prepare_flights(enriched: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
-def load_flights(enriched: DataFrame, row_cap: int | None = None,
-                 order: Sequence[str] = FLIGHT_ORDER) -> DataFrame:
+def load_flights(enriched: DataFrame, order: Sequence[str] = FLIGHT_ORDER) -> DataFrame:
     """Typed ``flights_cleaned`` with a consecutive ``flight_id`` (1..n).
 
     The key is a distributed row number (range partitioning + per-partition
-    offsets), never a single-partition window.  ``row_cap`` keeps the first N
-    flights in key order as a plain filter on the key.
+    offsets), never a single-partition window.
     """
     prepared = prepare_flights(enriched)
     keyed = global_row_number(prepared, list(order) + [c for c in prepared.columns
                                                         if c not in order], "flight_id")
-    if row_cap is not None:
-        keyed = keyed.where(F.col("flight_id") <= row_cap)
     return conform(keyed, FLIGHTS, strict=False)
 
 
@@ -239,19 +239,18 @@ def pk_violations(table: DataFrame, contract: Contract) -> DataFrame:
         .alias("duplicate_keys"))
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV sink with a header; NULL is written as an empty field.  ``single_file``
-    is meant for the small summaries only."""
-    out = df.coalesce(1) if single_file else df
-    (out.write.mode("overwrite").option("header", True)
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .csv(path))
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV sink with a header; NULL is written as an empty field.  The result is a folder of part
+    files, which readers take as a whole."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+       .csv(path))
 
 
 def read_csv(spark: SparkSession, path: str, contract: Contract | None = None,
              schema: str | None = None) -> DataFrame:
     """Re-scan an exported CSV with an explicit schema (from a contract or given)."""
-    reader = spark.read.option("header", True)
+    reader = spark.read.option("header", True).option("escape", '"')
     if contract is not None:
         schema = ", ".join(f"{c} {_csv_type(t)}" for c, t in contract.columns)
     if schema is not None:
@@ -285,12 +284,20 @@ def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     Rows are range-partitioned on (partition, sort, tiebreak) columns rather than
     hashed on the partition columns: a month holding a third of all flights is
     then written by many tasks, not one.
+
+    The files go to a new folder, which takes the table's place when it is complete; a
+    failed write leaves the old table.
     """
     out = df
     keys = [*partition_by, *sort_by, *tiebreak]
     if keys:
         out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    w = out.write.mode("overwrite")
+    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
+    w = out.write
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    try:
+        w.parquet(new)
+        replace_path(df.sparkSession, new, path)
+    finally:
+        delete_path(df.sparkSession, new)

@@ -3,7 +3,6 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from aloft.functions.columns import NUMBER_PATTERN, to_double
 
@@ -37,5 +36,5 @@ def test_matches_pattern(spark, values):
 
 def test_numeric_input_passthrough(spark):
     df = spark.createDataFrame([(1.5,), (float("nan"),), (float("inf"),), (None,)], "v double")
-    got = [r[0] for r in df.select(to_double(F.col("v"), df.schema["v"].dataType)).collect()]
+    got = [r[0] for r in df.select(to_double("v", df.schema["v"].dataType)).collect()]
     assert got == [1.5, None, None, None]

@@ -1,7 +1,8 @@
 import os
-import tempfile
 
-from aloft.sources.csv_folder import read_csv_folder
+import pytest
+
+from aloft.sources.csv_folder import NoCsvFilesError, read_csv_folder
 
 
 def _write(folder, name, text):
@@ -9,23 +10,44 @@ def _write(folder, name, text):
         f.write(text)
 
 
-def test_header_drift_aligned_by_name(spark):
-    folder = tempfile.mkdtemp(prefix="csvdrift-", dir="/tmp")
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_header_drift_aligned_by_name(spark, tmp_path):
+    folder = str(tmp_path)
     _write(folder, "a.csv", "A,B\n1,2\n3,4\n")
     _write(folder, "b.csv", "B,A,C\n20,10,x\n")
     _write(folder, "c.csv", " a ,B,\n100,200,\nNA,N/A,junk\n")
     _write(folder, "notes.txt", "ignored\n")
     df = read_csv_folder(spark, folder)
     assert df.columns == ["A", "B", "C"]
-    rows = sorted((tuple(r) for r in df.collect()), key=lambda t: str(t))
-    assert rows == sorted([("1", "2", None), ("3", "4", None), ("10", "20", "x"), ("100", "200", None),
-                           (None, None, None)], key=lambda t: str(t))
+    assert _rows(df) == sorted([("1", "2", None), ("3", "4", None), ("10", "20", "x"), ("100", "200", None),
+                                (None, None, None)], key=str)
+
+
+def test_quotes_and_line_ends_inside_fields(spark, tmp_path):
+    _write(str(tmp_path), "a.csv", 'A,"B ""b"""\n"two\nlines",5\n"x ""q"" y","1,2"\n7\n')
+    df = read_csv_folder(spark, str(tmp_path))
+    assert df.columns == ["A", 'B "B"']
+    assert _rows(df) == sorted([("two\nlines", "5"), ('x "q" y', "1,2"), ("7", None)], key=str)
+
+
+def test_header_with_a_line_end(spark, tmp_path):
+    _write(str(tmp_path), "a.csv", '"A\na",B\n1,2\n')
+    df = read_csv_folder(spark, str(tmp_path))
+    assert df.columns == ["A\nA", "B"] and _rows(df) == [("1", "2")]
+
 
+@pytest.mark.parametrize("record", ["2,3,EXTRA", "2,3,", '2,"3,4",EXTRA', "2,3,,x"])
+def test_surplus_fields_are_an_error_that_names_the_file(spark, tmp_path, record):
+    _write(str(tmp_path), "good.csv", "A,B\n1,2\n")
+    _write(str(tmp_path), "surplus.csv", f"A,B\n1,2\n{record}\n")
+    df = read_csv_folder(spark, str(tmp_path))
+    with pytest.raises(Exception, match="more fields than the header in .*surplus.csv"):
+        df.select("A").collect()
 
-def test_empty_folder_raises(spark):
-    import pytest
 
-    from aloft.sources.csv_folder import NoCsvFilesError
-    folder = tempfile.mkdtemp(prefix="csvempty-", dir="/tmp")
+def test_empty_folder_raises(spark, tmp_path):
     with pytest.raises(NoCsvFilesError):
-        read_csv_folder(spark, folder)
+        read_csv_folder(spark, str(tmp_path))
