@@ -10,14 +10,16 @@ similarity of 0.75 or more; groups are the connected components of the links.
 2. Classes that share a band key are candidates.  A bucket first compares every class
    with the bucket's first one; sizes and odd sketches reject what cannot reach the
    threshold, full shingle sets confirm the rest.
-3. Where a bucket still holds several components, its classes of different components
-   are compared with each other, in blocks: a task holds the sketches of two blocks
-   of one bucket and passes on the pairs whose sketches are near enough, which full
-   sets confirm.  Pairs of one component need no comparison.  Nothing is capped.
+3. Where a bucket still holds several components, its classes get a finer odd sketch of
+   more samples, and those of different components are compared with each other, in
+   blocks: a task holds the sketches of two blocks of one bucket.  First every class
+   passes on its nearest one of another component, which merges most components; then
+   all pairs of still different components whose sketches are near enough go on.  Full
+   sets confirm them.  Pairs of one component need no comparison.  Nothing is capped.
 
 A pair of exactly the threshold shares no band with probability
-(1 - 0.75**4)**32 = 5e-6; an odd sketch rejects below an estimate of ``REJECT``, five
-standard deviations under the threshold.
+(1 - 0.75**4)**32 = 5e-6; odd sketches reject below estimates of ``REJECT`` and
+``FINE_REJECT``, five standard deviations under the threshold.
 
 A text of fewer than five words, but not none, is one shingle; a null text or one
 without words is linked with nothing.  The smallest id of a group is its
@@ -50,13 +52,17 @@ ROWS = 4
 BITS = 512
 #: estimated similarity below which a pair is not compared in full
 REJECT = 0.55
+#: the finer sketch of classes whose bucket holds several components
+FINE_SAMPLES = 512
+FINE_BITS = 2048
+FINE_REJECT = 0.65
 #: classes in one block of a bucket, members compared with one copy of a leader's text
 BLOCK = 1024
 MEMBERS = 256
 
 _K = BANDS * ROWS
-_A = textops.mix(np.arange(1, _K + 1, dtype=textops.U64)) | textops.U64(1)
-_B = textops.mix(np.arange(1001, 1001 + _K, dtype=textops.U64))
+_A = textops.mix(np.arange(1, FINE_SAMPLES + 1, dtype=textops.U64)) | textops.U64(1)
+_B = textops.mix(np.arange(1001, 1001 + FINE_SAMPLES, dtype=textops.U64))
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,10 +92,10 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(shingles(raw, np.array([0, len(raw)]))[0])
 
 
-def samples(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """MinHash samples (rows x K) of rows that are not empty."""
-    out = np.empty((len(first) - 1, _K), dtype=textops.U64)
-    for i in range(_K):
+def samples(values: np.ndarray, first: np.ndarray, k: int = _K) -> np.ndarray:
+    """MinHash samples (rows x k) of rows that are not empty."""
+    out = np.empty((len(first) - 1, k), dtype=textops.U64)
+    for i in range(k):
         out[:, i] = np.minimum.reduceat(values * _A[i] + _B[i], first[:-1])
     return out
 
@@ -101,16 +107,21 @@ def band_keys(sample: np.ndarray) -> np.ndarray:
     return textops.mix(key)
 
 
-def odd_sketches(sample: np.ndarray) -> np.ndarray:
-    """Parity bitmaps (rows x BITS / 64 words): sample i with value v flips bit h(i, v)."""
-    bit = (textops.mix(sample ^ _A[None, :]) % textops.U64(BITS)).astype(np.int64)
-    flips = np.bincount((bit + np.arange(len(sample))[:, None] * BITS).ravel(), minlength=len(sample) * BITS) & 1
-    return np.packbits(flips.reshape(len(sample), BITS).astype(np.uint8), axis=1).view(np.uint64)
+def odd_sketches(sample: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """Parity bitmaps (rows x bits / 64 words): sample i with value v flips bit h(i, v)."""
+    bit = (textops.mix(sample ^ _A[None, :sample.shape[1]]) % textops.U64(bits)).astype(np.int64)
+    flips = np.bincount((bit + np.arange(len(sample))[:, None] * bits).ravel(), minlength=len(sample) * bits) & 1
+    return np.packbits(flips.reshape(len(sample), bits).astype(np.uint8), axis=1).view(np.uint64)
 
 
-#: estimated similarity for each population count of the XOR of two sketches
-_Z = np.minimum(np.arange(BITS + 1), BITS // 2 - 1)
-ESTIMATE = np.clip(1 - np.log(1 - 2 * _Z / BITS) / np.log(1 - 2 / BITS) / (2 * _K), 0, 1)
+def estimates(k: int, bits: int) -> np.ndarray:
+    """Estimated similarity for each population count of the XOR of two sketches of k samples."""
+    z = np.minimum(np.arange(bits + 1), bits // 2 - 1)
+    return np.clip(1 - np.log(1 - 2 * z / bits) / np.log(1 - 2 / bits) / (2 * k), 0, 1)
+
+
+ESTIMATE = estimates(_K, BITS)
+FINE_ESTIMATE = estimates(FINE_SAMPLES, FINE_BITS)
 
 
 def sketch_documents(docs: DataFrame) -> DataFrame:
@@ -196,26 +207,45 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             .sortWithinPartitions("a", "share", F.col("b").asc_nulls_first()).mapInArrow(run, "a long, b long"))
 
 
-def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, cid, comp, size) of the buckets (key, cid) that hold several components."""
+    named = stage(buckets.join(labels, buckets["cid"] == labels["node"], "left").select(
+        "key", "cid", F.coalesce("component", "cid").alias("comp")), "named")
+    several = stage(named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
+                                             F.count(F.lit(1)).alias("size")).where("x < y").select("key", "size"),
+                    "several")
+    return stage(named.join(several, "key"), "mixed")
+
+
+def _fine_sketches(texts: DataFrame, mixed: DataFrame) -> DataFrame:
+    """(cid, fine): the finer odd sketch of the classes in mixed buckets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for text in b.column(1).to_pylist():
+                own = shingle_set(text)
+                out.append(odd_sketches(samples(own, np.array([0, len(own)]), FINE_SAMPLES), FINE_BITS)[0].tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["cid", "fine"])
+
+    return texts.join(mixed.select("cid").distinct(), "cid").select("cid", "text").mapInArrow(
+        run, "cid long, fine binary")
+
+
+def _across(mixed: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
     """Pairs of classes in one bucket, but different components, with near sketches.
 
-    ``buckets``: (key, cid) of shared band keys.  A bucket is cut into blocks; a pair of
-    blocks is one group, whose task compares sketches as matrices.
+    A bucket is cut into blocks; a pair of blocks is one group, whose task compares sketches
+    as matrices.  With ``nearest`` a class passes on only its nearest one in the other block.
     """
-    named = buckets.join(labels, buckets["cid"] == labels["node"], "left").select(
-        "key", "cid", F.coalesce("component", "cid").alias("comp"))
-    mixed = stage(named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                           F.count(F.lit(1)).alias("size")).where("x < y").select("key", "size"),
-                  "mixed")
-    rows = named.join(mixed, "key").withColumn("blocks", F.expr(f"(size + {BLOCK} - 1) div {BLOCK}"))
+    rows = mixed.withColumn("blocks", F.expr(f"(size + {BLOCK} - 1) div {BLOCK}"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     # every pair of blocks (i <= j): a row goes to all pairs that have its block
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "comp")
-    dealt = dealt.join(classes.select("cid", "n", "sketch"), "cid")
+    dealt = dealt.join(sketches, "cid")
 
     def compare(x: list, y: list, same: bool) -> tuple[np.ndarray, np.ndarray]:
-        (cx, px, nx, sx), (cy, py, ny, sy) = x, y
+        (cx, px, nx, sx, fx), (cy, py, ny, sy, fy) = x, y
         far = np.zeros((len(cx), len(cy)), dtype=np.int64)
         for w in range(sx.shape[1]):
             far += np.bitwise_count(sx[:, w][:, None] ^ sy[:, w][None, :])
@@ -224,32 +254,45 @@ def _across(buckets: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFr
         if same:
             ok &= cx[:, None] < cy[None, :]
         u, v = np.nonzero(ok)
+        likely = np.empty(len(u))
+        for s in range(0, len(u), 1 << 15):
+            e = s + (1 << 15)
+            likely[s:e] = FINE_ESTIMATE[np.bitwise_count(fx[u[s:e]] ^ fy[v[s:e]]).sum(axis=1, dtype=np.int64)]
+        near = likely >= FINE_REJECT
+        u, v, likely = u[near], v[near], likely[near]
+        if nearest and len(u):
+            order = np.argsort(-likely, kind="stable")
+            keep = np.union1d(order[np.unique(u[order], return_index=True)[1]],
+                              order[np.unique(v[order], return_index=True)[1]])
+            u, v = u[keep], v[keep]
         return np.minimum(cx[u], cy[v]), np.maximum(cx[u], cy[v])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: dict[int, list] = {}
         at = None
 
+        def bitmaps(rows_: list, k: int) -> np.ndarray:
+            return np.frombuffer(b"".join(r[k] for r in rows_), dtype=np.uint64).reshape(len(rows_), -1)
+
         def solve() -> Iterator[pa.RecordBatch]:
             sides = [[np.array([r[0] for r in g]), np.array([r[1] for r in g]), np.array([r[2] for r in g]),
-                      np.frombuffer(b"".join(r[3] for r in g), dtype=np.uint64).reshape(len(g), -1)]
-                     for g in group.values()]
+                      bitmaps(g, 3), bitmaps(g, 4)] for g in group.values()]
             if len(sides) == 2 or (len(sides) == 1 and at[1] == at[2]):
                 a, b = compare(sides[0], sides[-1], len(sides) == 1)
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         for t in batches:
-            for key, i, j, block, cid, comp, n, sketch in zip(*(c.to_pylist() for c in t.columns)):
+            for key, i, j, block, cid, comp, n, sketch, fine in zip(*(c.to_pylist() for c in t.columns)):
                 if at != (key, i, j):
                     if group:
                         yield from solve()
                     at, group = (key, i, j), {}
-                group.setdefault(block, []).append((cid, comp, n, sketch))
+                group.setdefault(block, []).append((cid, comp, n, sketch, fine))
         if group:
             yield from solve()
 
-    return (dealt.select("key", "i", "j", "block", "cid", "comp", "n", "sketch")
+    return (dealt.select("key", "i", "j", "block", "cid", "comp", "n", "sketch", "fine")
             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(run, "a long, b long").distinct())
 
@@ -276,10 +319,13 @@ def group_documents(docs: DataFrame) -> DataFrame:
 
     star = stage(_near(star, classes), "near")
     links = stage(_confirm(star, texts), "links")
-    labels = stage(components(links), "labels")
-    more = stage(_across(buckets.select("key", "cid"), classes, labels), "across")
-    links = links.unionByName(_confirm(more, texts))
-    labels = components(links)
+    mixed = _mixed(buckets.select("key", "cid"), components(links))
+    sketches = stage(classes.select("cid", "n", "sketch").join(_fine_sketches(texts, mixed), "cid"), "fine")
+    tried = stage(_across(mixed, sketches, nearest=True), "nearest")
+    links = stage(links.unionByName(_confirm(tried, texts)), "links")
+    mixed = _mixed(mixed.select("key", "cid"), components(links))
+    rest = stage(_across(mixed, sketches, nearest=False).join(tried, ["a", "b"], "left_anti"), "across")
+    labels = components(links.unionByName(_confirm(rest, texts)))
 
     grouped = classes.join(labels, classes["cid"] == labels["node"], "left").select(
         "cls", F.coalesce("component", "cid").alias("component"), "doc_id", "th")
