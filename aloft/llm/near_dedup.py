@@ -221,11 +221,13 @@ def _fine_sketches(texts: DataFrame, mixed: DataFrame) -> DataFrame:
     """(cid, fine): the finer odd sketch of the classes in mixed buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for text in b.column(1).to_pylist():
-                own = shingle_set(text)
-                out.append(odd_sketches(samples(own, np.array([0, len(own)]), FINE_SAMPLES), FINE_BITS)[0].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["cid", "fine"])
+            data, offsets = textops.utf8(b.column(1))
+            for i, j in textops.chunks(offsets):
+                base = offsets[i]
+                values, first = shingles(data[base:offsets[j]], offsets[i:j + 1] - base)  # no text is without words
+                bits = odd_sketches(samples(values, first, FINE_SAMPLES), FINE_BITS)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(i, j - i), pa.array([x.tobytes() for x in bits], pa.binary())], ["cid", "fine"])
 
     return texts.join(mixed.select("cid").distinct(), "cid").select("cid", "text").mapInArrow(
         run, "cid long, fine binary")
