@@ -77,7 +77,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = GRAM) -> Data
     """Spans to remove: (doc_id, th, from_word, to_word, source_doc, source_word); the source is
     where the same words stand in a document with a smaller id (null for whole chains,
     whose source is the first document of their class, in ``source_doc``)."""
-    records = minimizers.records(docs, minimizers.word_units, window, k)
+    records = minimizers.records(docs, minimizers.word_units, window, k).drop("anchor")
     keys = stage(records.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
                  .where(F.col("a") < F.col("b")).select("key"), "graph-keys")
     chains = stage(records.join(keys, "key"), "graph-chains")

@@ -6,15 +6,20 @@ anywhere else, in the same document or another; strings are judged on the input.
 1. Strings are dealt by minimizer (see ``minimizers``) as super windows; keys that
    occur once are done.  Equal super windows form a class; all strings in a class of
    two or more occurrences are repeated, without a comparison.
-2. Where a key has several classes, their strings may be equal in part.  The classes'
-   segments of text, one per class, make a small text collection, whose suffix array is
-   built by Lyndon grouping (``suffix_order``): suffixes with the same Lyndon prefix are
+2. Where a key has several classes, their strings may be equal in part.  Strings of one
+   key can only be equal if the minimizer stands at the same place in them, so a class is
+   cut into bins of ``BIN`` places.  All strings of a bin share its core, the bytes that
+   each of them holds; parts of classes are dealt by key, bin and core, and again parts
+   that are equal are counted, not compared.
+3. Parts that share a core, but differ, make a small text collection, whose suffix array
+   is built by Lyndon grouping (``suffix_order``): suffixes with the same Lyndon prefix are
    a group, the groups stand in the order of these words, and a group's suffixes stand in
    the order of the suffixes that follow their Lyndon prefixes, so one ascending pass
    over the array emits every group in order, without renaming or recursion.
    Neighbours in the array that share ``window`` bytes are repeated strings.
-3. A key with more than ``hot`` classes is not sorted in one task: its strings are counted
-   by two independent hashes with an ordinary group-by, which partial aggregation spreads.
+4. A core with more than ``hot`` different parts is not sorted in one task: its strings are
+   counted by two independent hashes with an ordinary group-by, which partial aggregation
+   spreads.
 
 A null text is empty.  Matches never cross documents.  Repeated rows are rows of
 their own, so each removes from the other; null and repeated ids are fine, rows are
@@ -39,8 +44,10 @@ from aloft.llm.common import stage
 WINDOW = 200
 #: bytes of a minimizer
 GRAM = 32
-#: classes of one key that are sorted in one task
-HOT = 1000
+#: places of the minimizer in one bin
+BIN = 32
+#: different parts of one core that are sorted in one task
+HOT = 500
 
 
 def lyndon_ends(text: bytes) -> list[int]:
@@ -129,36 +136,64 @@ def repeated_starts(segments: list[bytes], n_win: list[int], window: int) -> lis
     return out
 
 
+def parts_of(values: np.ndarray, start: np.ndarray, n_win: np.ndarray, anchor: np.ndarray, key: np.ndarray,
+             window: int):
+    """(class, core, dig, first, m) of the parts of classes in one text: the number of the class,
+    hashes of key, bin and core and of the part's bytes, and its m strings from first."""
+    low, high = (anchor - n_win + 1) // BIN, anchor // BIN
+    n = high - low + 1
+    of = np.repeat(np.arange(len(start)), n)
+    b = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    first = np.maximum(0, anchor[of] - (b + 1) * BIN + 1)
+    last = np.minimum(n_win[of] - 1, anchor[of] - b * BIN)
+    m = last - first + 1
+    first = start[of] + first
+    at = start[of] + anchor[of]
+    core = textops.span_hash(values, at - b * BIN, at - (b + 1) * BIN + 1 + window)
+    core = textops.mix(core ^ (key[of].view(textops.U64) + b.astype(textops.U64) * textops.MULT_B))
+    dig = textops.span_hash(values, first, first + m + window - 1, textops.MULT_B)
+    return of, core, dig, first, m
+
+
 def _segments(docs: DataFrame, chosen: DataFrame, window: int) -> DataFrame:
-    """(key, dig, n, n_win, doc_id, th, start) with the text of the super window, ``seg``."""
+    """(key, dig, n, doc_id, th, start, seg, parts): classes with the text of their super window and
+    their parts (core, part, first, m)."""
     lists = chosen.groupBy(F.col("doc_id").alias("l_doc"), F.col("th").alias("l_th")).agg(
-        F.collect_list(F.struct("key", "dig", "n", "start", "n_win", "hot")).alias("items"))
+        F.collect_list(F.struct("key", "dig", "n", "start", "n_win", "anchor")).alias("items"))
+    part = T.StructType([T.StructField("core", T.LongType()), T.StructField("part", T.LongType()),
+                         T.StructField("first", T.LongType()), T.StructField("m", T.LongType())])
     schema = T.StructType([
         T.StructField("key", T.LongType()), T.StructField("dig", T.LongType()), T.StructField("n", T.LongType()),
         T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("th", T.LongType()),
-        T.StructField("start", T.LongType()), T.StructField("n_win", T.IntegerType()),
-        T.StructField("hot", T.BooleanType()), T.StructField("seg", T.BinaryType())])
+        T.StructField("start", T.LongType()), T.StructField("seg", T.BinaryType()),
+        T.StructField("parts", T.ArrayType(part))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = textops.utf8(b.column(2))
             for r in range(b.num_rows):
-                text = data[offsets[r]:offsets[r + 1]].tobytes()
+                raw = data[offsets[r]:offsets[r + 1]]
+                text = raw.tobytes()
                 items = b.column(3)[r].as_py()
+                key, dig, n, start, n_win, anchor = (
+                    np.array([x[c] for x in items], dtype=np.int64) for c in ("key", "dig", "n", "start", "n_win", "anchor"))
+                of, core, part_dig, first, m = parts_of(textops.byte_values(raw), start, n_win, anchor, key, window)
+                flat = pa.StructArray.from_arrays(
+                    [pa.array(textops.signed(core)), pa.array(textops.signed(part_dig)), pa.array(first), pa.array(m)],
+                    ["core", "part", "first", "m"])
+                parts = pa.ListArray.from_arrays(
+                    pa.array(np.searchsorted(of, np.arange(len(items) + 1)).astype(np.int32)), flat)
                 rows = pa.array(np.full(len(items), r))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x["key"] for x in items]), pa.array([x["dig"] for x in items]),
-                     pa.array([x["n"] for x in items], pa.int64()), b.column(0).take(rows), b.column(1).take(rows),
-                     pa.array([x["start"] for x in items], pa.int64()),
-                     pa.array([x["n_win"] for x in items], pa.int32()), pa.array([x["hot"] for x in items]),
-                     pa.array([text[x["start"]:x["start"] + x["n_win"] + window - 1] for x in items], pa.binary())],
-                    schema.names)
+                    [pa.array(key), pa.array(dig), pa.array(n), b.column(0).take(rows), b.column(1).take(rows),
+                     pa.array(start), pa.array([text[s:s + w + window - 1] for s, w in zip(start, n_win)], pa.binary()),
+                     parts], schema.names)
 
     return minimizers.of_rows(docs, lists).select("doc_id", "th", "text", "items").mapInArrow(run, schema)
 
 
 def _sorted_groups(segments: DataFrame, window: int) -> DataFrame:
-    """Runs of repeated strings in the classes of one occurrence, by suffix array of each key."""
+    """Runs of repeated strings in the parts of one occurrence, by suffix array of each core."""
     schema = T.StructType([segments.schema["doc_id"], segments.schema["th"],
                            T.StructField("from_byte", T.LongType()), T.StructField("to_byte", T.LongType())])
 
@@ -181,7 +216,7 @@ def _sorted_groups(segments: DataFrame, window: int) -> DataFrame:
         for b in batches:
             id_type = b.schema.field("doc_id").type
             for x in b.to_pylist():
-                if group and group[0]["key"] != x["key"]:
+                if group and group[0]["core"] != x["core"]:
                     rows.extend(solve(group))
                     group = []
                 group.append(x)
@@ -193,34 +228,34 @@ def _sorted_groups(segments: DataFrame, window: int) -> DataFrame:
         if id_type is not None:
             yield out(rows)
 
-    return segments.repartition("key").sortWithinPartitions("key").mapInArrow(run, schema)
+    return segments.repartition("core").sortWithinPartitions("core").mapInArrow(run, schema)
 
 
 def _counted_strings(segments: DataFrame, window: int) -> DataFrame:
-    """The same runs for hot keys: strings counted by two hashes beside the key."""
+    """The same runs for hot cores: strings counted by two hashes beside the core."""
     id_type = segments.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("one", T.LongType()),
+    schema = T.StructType([T.StructField("core", T.LongType()), T.StructField("one", T.LongType()),
                            T.StructField("two", T.LongType()), T.StructField("n", T.LongType()),
                            T.StructField("doc_id", id_type), T.StructField("th", T.LongType()),
                            T.StructField("at", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for r, x in enumerate(b.select(["key", "n", "start", "seg"]).to_pylist()):
+            for r, x in enumerate(b.select(["core", "n", "start", "seg"]).to_pylist()):
                 v = textops.byte_values(np.frombuffer(x["seg"], dtype=np.uint8))
                 one = textops.window_hash(v, window, textops.MULT_B)
                 two = textops.window_hash(textops.mix(v), window, textops.MULT_A)
                 m = len(one)
                 rows = pa.array(np.full(m, r))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(m, x["key"])), pa.array(textops.signed(one)), pa.array(textops.signed(two)),
+                    [pa.array(np.full(m, x["core"])), pa.array(textops.signed(one)), pa.array(textops.signed(two)),
                      pa.array(np.full(m, x["n"])), b.column("doc_id").take(rows), b.column("th").take(rows),
                      pa.array(x["start"] + np.arange(m))], schema.names)
 
     strings = stage(segments.mapInArrow(run, schema), "bytes-hot")
-    twice = stage(strings.groupBy("key", "one", "two").agg(F.sum("n").alias("c")).where("c > 1")
-                  .select("key", "one", "two"), "bytes-hot-twice")
-    return strings.where("n = 1").join(twice, ["key", "one", "two"]).select(
+    twice = stage(strings.groupBy("core", "one", "two").agg(F.sum("n").alias("c")).where("c > 1")
+                  .select("core", "one", "two"), "bytes-hot-twice")
+    return strings.where("n = 1").join(twice, ["core", "one", "two"]).select(
         "doc_id", "th", F.col("at").alias("from_byte"), (F.col("at") + window).alias("to_byte"))
 
 
@@ -230,7 +265,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = GRAM, hot: in
     keys = stage(records.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "bytes-keys")
     found = stage(records.join(keys, "key"), "bytes-found")
     classes = stage(found.groupBy("key", "dig").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "start", "n_win")).alias("first")),
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "start", "n_win", "anchor")).alias("first")),
         "bytes-classes")
     whole = found.join(classes.where("n > 1").select("key", "dig"), ["key", "dig"]).select(
         "doc_id", "th", F.col("start").alias("from_byte"),
@@ -238,12 +273,25 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, k: int = GRAM, hot: in
 
     # several classes of one key, of which at least one occurs only once
     several = stage(classes.groupBy("key").agg(F.count(F.lit(1)).alias("n_classes"), F.min("n").alias("least"))
-                    .where("n_classes > 1 and least = 1").select("key", (F.col("n_classes") > hot).alias("hot")),
-                    "bytes-branching")
-    chosen = classes.join(several, "key").select("key", "dig", "n", "first.*", "hot")
+                    .where("n_classes > 1 and least = 1").select("key"), "bytes-branching")
+    chosen = classes.join(several, "key").select("key", "dig", "n", "first.*")
     segments = stage(_segments(docs, chosen, window), "bytes-segments")
-    return (whole.unionByName(_sorted_groups(segments.where(~F.col("hot")), window))
-            .unionByName(_counted_strings(segments.where("hot"), window)))
+    parts = segments.select("key", "dig", "n", "doc_id", "th", F.inline("parts"))
+    equal = stage(parts.groupBy("core", "part").agg(
+        F.sum("n").alias("n"), F.min(F.struct("key", "dig", "first", "m")).alias("r")), "bytes-parts")
+    equal_parts = parts.where("n = 1").join(equal.where("n > 1").select("core", "part"), ["core", "part"]).select(
+        "doc_id", "th", F.col("first").alias("from_byte"), (F.col("first") + F.col("m") + window - 1).alias("to_byte"))
+
+    cores = stage(equal.groupBy("core").agg(F.count(F.lit(1)).alias("n_parts"), F.min("n").alias("least"))
+                  .where("n_parts > 1 and least = 1").select("core", (F.col("n_parts") > hot).alias("hot")), "bytes-cores")
+    compared = equal.join(cores, "core").select("core", "n", "r.*", "hot").join(
+        segments.select("key", "dig", "doc_id", "th", "start", "seg"), ["key", "dig"])
+    compared = stage(compared.select(
+        "core", "n", "doc_id", "th", F.col("first").alias("start"), F.col("m").cast("int").alias("n_win"), "hot",
+        F.substring("seg", (F.col("first") - F.col("start") + 1).cast("int"), (F.col("m") + window - 1).cast("int"))
+        .alias("seg")), "bytes-compared")
+    return (whole.unionByName(equal_parts).unionByName(_sorted_groups(compared.where(~F.col("hot")), window))
+            .unionByName(_counted_strings(compared.where("hot"), window)))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, k: int = GRAM, hot: int = HOT,

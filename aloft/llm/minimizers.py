@@ -42,7 +42,8 @@ Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def super_windows(values: np.ndarray, offsets: np.ndarray, window: int, k: int):
-    """(row, start in row, windows, key, digest) of all super windows of the rows."""
+    """(row, start in row, windows, key, digest, place of the minimizer behind the start) of all
+    super windows of the rows."""
     parts = []
     ends = offsets[1:]
     for a in range(0, max(1, len(values)), PIECE):
@@ -61,10 +62,10 @@ def super_windows(values: np.ndarray, offsets: np.ndarray, window: int, k: int):
         n = e - s
         start = at[s]
         digest = textops.span_hash(piece, start - a, start - a + n + window - 1, textops.MULT_B)
-        parts.append((row[s], start - offsets[row[s]], n, grams[best[s]], digest))
+        parts.append((row[s], start - offsets[row[s]], n, grams[best[s]], digest, best[s] + a - start))
     if not parts:
         z = np.zeros(0, np.int64)
-        return z, z, z, z.view(textops.U64), z.view(textops.U64)
+        return z, z, z, z.view(textops.U64), z.view(textops.U64), z
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
@@ -73,7 +74,8 @@ def text_hash(text: Column) -> Column:
 
 
 def records(docs: DataFrame, units: Units, window: int, k: int) -> DataFrame:
-    """Rows (doc_id, th, key, dig, start, n_win), one per super window of every text.
+    """Rows (doc_id, th, key, dig, start, n_win, anchor), one per super window of every text;
+    anchor: the minimizer's place behind start.
 
     (doc_id, th) names a row by its content, so that rows which share an id stay apart.
     A pure function of the input: computed again where it is read twice.
@@ -81,7 +83,8 @@ def records(docs: DataFrame, units: Units, window: int, k: int) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("th", T.LongType()),
                            T.StructField("key", T.LongType()), T.StructField("dig", T.LongType()),
-                           T.StructField("start", T.LongType()), T.StructField("n_win", T.IntegerType())])
+                           T.StructField("start", T.LongType()), T.StructField("n_win", T.IntegerType()),
+                           T.StructField("anchor", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -89,13 +92,14 @@ def records(docs: DataFrame, units: Units, window: int, k: int) -> DataFrame:
             for i, j in textops.chunks(offsets):
                 base = offsets[i]
                 values, first = units(data[base:offsets[j]], offsets[i:j + 1] - base)
-                row, start, n, key, dig = super_windows(values, first, window, k)
+                row, start, n, key, dig, anchor = super_windows(values, first, window, k)
                 if not len(row):
                     continue
                 rows = pa.array(row + i)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(rows), b.column(1).take(rows), pa.array(textops.signed(key)),
-                     pa.array(textops.signed(dig)), pa.array(start), pa.array(n.astype(np.int32))],
+                     pa.array(textops.signed(dig)), pa.array(start), pa.array(n.astype(np.int32)),
+                     pa.array(anchor.astype(np.int32))],
                     schema.names)
 
     return docs.select("doc_id", text_hash(F.col("text")).alias("th"), "text").mapInArrow(run, schema)

@@ -74,9 +74,12 @@ def test_repeated_starts(texts):
 def test_super_windows_cover_every_window_once(rows):
     values = textops.mix(np.array([x for r in rows for x in r], dtype=np.uint64) + np.uint64(9))
     offsets = np.cumsum([0, *map(len, rows)])
-    row, start, n, key, dig = minimizers.super_windows(values, offsets, 6, 3)
+    row, start, n, key, dig, anchor = minimizers.super_windows(values, offsets, 6, 3)
     windows = sorted((r, s + i) for r, s, m in zip(row.tolist(), start.tolist(), n.tolist()) for i in range(m))
     assert windows == sorted((r, i) for r in range(len(rows)) for i in range(len(rows[r]) - 5))
+    assert all(values[offsets[r] + s + a:][:3].tolist() for r, s, a in zip(row, start, anchor))
+    grams = textops.window_hash(values, 3)
+    assert [int(grams[offsets[r] + s + a]) for r, s, a in zip(row, start, anchor)] == key.tolist()
     # equal windows have the same key
     of = {}
     for r, s, m, k in zip(row.tolist(), start.tolist(), n.tolist(), key.tolist()):
