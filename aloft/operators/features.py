@@ -6,6 +6,8 @@ Python function runs per row.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,12 +37,12 @@ def weekend_flag() -> Column:
     return F.coalesce(F.col("DAY_OF_WEEK").isin(*fixed.WEEKEND_DAYS), F.lit(False)).cast("int")
 
 
-def engineer_features(df: DataFrame) -> DataFrame:
-    require_columns(df, FEATURE_INPUTS, "engineer_features")
-    return df.withColumns({
-        "disrupted": disrupted_flag(),
-        "route": route_key(),
-        "is_weekend": weekend_flag(),
-        "dep_hour": hour_of("CRS_DEP_TIME"),
-        "arr_hour": hour_of("CRS_ARR_TIME"),
-    }).withColumn("time_block", time_block("dep_hour"))
+def engineer_features(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
+    """All features, or only the named ones (then only their own inputs need to be there)."""
+    if features is None:
+        require_columns(df, FEATURE_INPUTS, "engineer_features")
+    build = {"disrupted": disrupted_flag, "route": route_key, "is_weekend": weekend_flag,
+             "dep_hour": lambda: hour_of("CRS_DEP_TIME"), "arr_hour": lambda: hour_of("CRS_ARR_TIME")}
+    wanted = [*build, "time_block"] if features is None else features
+    out = df.withColumns({f: build[f]() for f in build if f in wanted})
+    return out.withColumn("time_block", time_block("dep_hour")) if "time_block" in wanted else out

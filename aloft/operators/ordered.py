@@ -33,14 +33,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _stage(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None) -> DataFrame:
+def _stage(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None,
+           range_columns: int | None = None, staged: bool = False) -> DataFrame:
     """Range-partition + sort + number the rows, then write them.
 
-    The input is written first: the range partitioner's sampling job and the shuffle
-    then read one evaluation of it.
+    The input is written first, unless it is ``staged`` already: the range partitioner's sampling
+    job and the shuffle then read one evaluation of it.  ``range_columns``: how many columns
+    of ``order`` spread the rows well enough.
     """
-    df = written(df, "unsorted")
-    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    df = df if staged else written(df, "unsorted")
+    by = order[:range_columns] if range_columns else order
+    ranged = df.repartitionByRange(num_partitions, *by) if num_partitions else df.repartitionByRange(*by)
     return written(ranged.sortWithinPartitions(*order).withColumn("__mid", F.monotonically_increasing_id()), "sorted")
 
 
@@ -50,9 +53,10 @@ def _offsets(totals: DataFrame, total_col: str) -> DataFrame:
 
 
 def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str,
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, range_columns: int | None = None,
+                      staged: bool = False) -> DataFrame:
     """Consecutive 1..n in ``order`` (ties broken arbitrarily; make ``order`` total)."""
-    staged = _stage(df, order, num_partitions).withColumns({
+    staged = _stage(df, order, num_partitions, range_columns, staged).withColumns({
         "__pid": F.shiftright("__mid", _LOCAL_BITS),
         "__pos": F.col("__mid").bitwiseAND((1 << _LOCAL_BITS) - 1)})
     counts = staged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))

@@ -78,9 +78,9 @@ def _message(exc: Exception) -> str:
     return ((str(exc) or type(exc).__name__).splitlines() or [""])[0][:500]
 
 
-def _load_flights(spark: SparkSession, exported: DataFrame, out_dir: str) -> LoadResult:
+def _load_flights(spark: SparkSession, exported: DataFrame, out_dir: str, staged: bool = False) -> LoadResult:
     path = f"{out_dir}/{W.FLIGHTS.name}"
-    W.save_table(W.load_flights(exported), path, partition_by=FLIGHT_PARTITIONS, sort_by=FLIGHT_CLUSTER,
+    W.save_table(W.load_flights(exported, staged=staged), path, partition_by=FLIGHT_PARTITIONS, sort_by=FLIGHT_CLUSTER,
                  tiebreak=("flight_id",))
     return LoadResult(W.FLIGHTS.name, spark.read.parquet(path).count(), "loaded",
                       _missing(W.missing_columns(exported, W.FLIGHTS)))
@@ -103,7 +103,7 @@ def load_tables(spark: SparkSession, enriched: DataFrame, out_dir: str) -> list[
     The flights table is written first; a failure there is fatal (raised).  Each summary is
     loaded on its own: one failing summary is reported and the others still load.
     """
-    results = [_load_flights(spark, enriched, out_dir)]
+    results = [_load_flights(spark, enriched, out_dir, staged=True)]
     frames = summaries(enriched)
     for contract in W.SUMMARY_CONTRACTS:
         try:

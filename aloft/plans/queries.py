@@ -6,7 +6,7 @@ flight-shaped view) and runs over all of their rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,19 +40,53 @@ def coerced(spark: SparkSession, sf: str) -> DataFrame:
     return C.coerce_numeric(tokened(spark, sf))
 
 
-def staged(spark: SparkSession, sf: str) -> DataFrame:
-    """The coerced frame, parsed and joined once."""
-    return written(coerced(spark, sf), "coerced")
+def staged(spark: SparkSession, sf: str, columns: Sequence[str] = fixed.RAW_COLUMNS) -> DataFrame:
+    """The coerced frame (the columns asked for), parsed and joined once."""
+    return written(coerced(spark, sf).select(*columns), "coerced")
 
 
-def cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return C.finish_cleaning(staged(spark, sf), eager_medians=True)
+def cleaned(spark: SparkSession, sf: str, columns: Sequence[str] = fixed.RAW_COLUMNS) -> DataFrame:
+    return C.finish_cleaning(staged(spark, sf, columns), eager_medians=True)
 
 
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
     return FE.engineer_features(cleaned(spark, sf))
 
 
+#: what the disruption label and the key filter need
+LABEL_COLUMNS = (*fixed.KEY_COLUMNS, "DEP_DELAY", "ARR_DELAY", "CANCELLED", "DIVERTED")
+
+
+def labelled(spark: SparkSession, sf: str, *columns: str, features: Sequence[str] = ()) -> DataFrame:
+    """The label with the raw columns and features that a query reads, and nothing else."""
+    frame = cleaned(spark, sf, (*LABEL_COLUMNS, *columns))
+    return FE.engineer_features(frame, ("disrupted", *features))
+
+
+def causes(spark: SparkSession, sf: str) -> DataFrame:
+    """Delay causes of the kept flights: no column of it needs a median, so nothing is staged."""
+    frame = coerced(spark, sf).select(*fixed.KEY_COLUMNS, *fixed.CAUSE_COLUMNS)
+    return C.drop_missing_keys(C.fill_causes_zero(frame))
+
+
+def routes(spark: SparkSession, sf: str) -> DataFrame:
+    return labelled(spark, sf, "DISTANCE", features=("route",))
+
+
+def months(spark: SparkSession, sf: str) -> DataFrame:
+    return labelled(spark, sf, "YEAR", "MONTH")
+
+
+def all_grains(spark: SparkSession, sf: str) -> DataFrame:
+    return labelled(spark, sf, "DISTANCE", "YEAR", "MONTH", "DAY_OF_WEEK", features=("route",))
+
+
+def ml_input(spark: SparkSession, sf: str, keys: Sequence[str] = ()) -> DataFrame:
+    raw_features = [c for c in fixed.ML_FEATURES if c in fixed.RAW_COLUMNS and c not in LABEL_COLUMNS]
+    frame = labelled(spark, sf, *raw_features, *keys, features=("is_weekend", "dep_hour", "time_block"))
+    return M.ml_frame(frame, keys)
+
+
 def _registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
 
@@ -77,26 +111,26 @@ def _registry() -> dict[str, Query]:
     q["engineer_features"] = enriched
 
     # --- summaries ----------------------------------------------------------------
-    q["airport_summary"] = lambda s, sf: S.airport_summary(enriched(s, sf))
+    q["airport_summary"] = lambda s, sf: S.airport_summary(labelled(s, sf))
     q["minmax_norm"] = lambda s, sf: S.minmax_norm(
-        S.airport_summary(enriched(s, sf)), {"avg_arr_delay": "norm_arr_delay"}).select(
+        S.airport_summary(labelled(s, sf)), {"avg_arr_delay": "norm_arr_delay"}).select(
         "ORIGIN", "avg_arr_delay", "norm_arr_delay")
-    q["airport_fragility"] = lambda s, sf: S.airport_fragility(enriched(s, sf))
-    q["route_summary"] = lambda s, sf: S.route_summary(enriched(s, sf))
-    q["route_reliability"] = lambda s, sf: S.route_reliability(enriched(s, sf))
-    q["carrier_summary"] = lambda s, sf: S.carrier_summary(enriched(s, sf))
-    q["monthly_summary"] = lambda s, sf: S.monthly_summary(enriched(s, sf))
-    q["delay_cause_summary"] = lambda s, sf: S.delay_cause_summary(enriched(s, sf))
-    q["overall_rate"] = lambda s, sf: S.overall_rate(enriched(s, sf))
-    q["month_trend"] = lambda s, sf: S.month_trend(S.monthly_summary(enriched(s, sf)))
-    q["dow_trend"] = lambda s, sf: S.dow_trend(enriched(s, sf))
+    q["airport_fragility"] = lambda s, sf: S.airport_fragility(labelled(s, sf))
+    q["route_summary"] = lambda s, sf: S.route_summary(routes(s, sf))
+    q["route_reliability"] = lambda s, sf: S.route_reliability(routes(s, sf))
+    q["carrier_summary"] = lambda s, sf: S.carrier_summary(labelled(s, sf))
+    q["monthly_summary"] = lambda s, sf: S.monthly_summary(months(s, sf))
+    q["delay_cause_summary"] = lambda s, sf: S.delay_cause_summary(causes(s, sf))
+    q["overall_rate"] = lambda s, sf: S.overall_rate(labelled(s, sf))
+    q["month_trend"] = lambda s, sf: S.month_trend(S.monthly_summary(months(s, sf)))
+    q["dow_trend"] = lambda s, sf: S.dow_trend(labelled(s, sf, "DAY_OF_WEEK"))
 
     # --- warehouse: export naming, contracts, typed loads -------------------------
     q["export_rename"] = lambda s, sf: W.export_rename(enriched(s, sf))
     q["contract_projection"] = lambda s, sf: W.contract_projection(
-        W.export_rename(S.route_reliability(enriched(s, sf))), W.ROUTE)[0]
+        W.export_rename(S.route_reliability(routes(s, sf))), W.ROUTE)[0]
     for name, build, contract in _SUMMARY_LOADS:
-        q[f"load_{name}"] = (lambda b, c: lambda s, sf: W.load_summary(b(enriched(s, sf)), c))(build, contract)
+        q[f"load_{name}"] = (lambda b, c: lambda s, sf: W.load_summary(b(s, sf), c))(build, contract)
     q["typed_cast_flights"] = lambda s, sf: W.conform(
         W.prepare_flights(enriched(s, sf)), W.FLIGHTS, strict=False).drop("flight_id")
     q["coerce_smallint"] = lambda s, sf: W.prepare_flights(enriched(s, sf)).select(
@@ -104,27 +138,27 @@ def _registry() -> dict[str, Query]:
     q["parse_fl_date"] = lambda s, sf: W.prepare_flights(enriched(s, sf)).select("flight_num", "fl_date")
     q["iso_day_of_week"] = lambda s, sf: W.prepare_flights(enriched(s, sf)).select(
         "flight_num", "fl_date", "day_of_week")
-    q["load_flights_cleaned"] = lambda s, sf: W.load_flights(enriched(s, sf))
-    q["surrogate_key"] = lambda s, sf: W.load_flights(enriched(s, sf)).select(
+    q["load_flights_cleaned"] = lambda s, sf: W.load_flights(enriched(s, sf), staged=True)
+    q["surrogate_key"] = lambda s, sf: W.load_flights(enriched(s, sf), staged=True).select(
         "flight_id", "fl_date", "flight_num", "tail_num", "origin", "dest")
     q["pk_violations"] = _pk_violations
 
     # --- reporting views over the typed tables --------------------------------------
     q["view_top_disrupted_airports"] = lambda s, sf: V.top_disrupted_airports(_airport_table(s, sf))
     q["view_unstable_routes"] = lambda s, sf: V.unstable_routes(
-        W.load_summary(S.route_reliability(enriched(s, sf)), W.ROUTE))
+        W.load_summary(S.route_reliability(routes(s, sf)), W.ROUTE))
     q["view_carrier_disruption"] = lambda s, sf: V.carrier_disruption(
-        W.load_summary(S.carrier_summary(enriched(s, sf)), W.CARRIER))
+        W.load_summary(S.carrier_summary(labelled(s, sf)), W.CARRIER))
     q["view_monthly_trend"] = lambda s, sf: V.monthly_trend(
-        W.load_summary(S.monthly_summary(enriched(s, sf)), W.MONTHLY))
+        W.load_summary(S.monthly_summary(months(s, sf)), W.MONTHLY))
     q["view_root_causes"] = lambda s, sf: V.root_causes(
-        W.load_summary(S.delay_cause_summary(enriched(s, sf)), W.CAUSE))
+        W.load_summary(S.delay_cause_summary(causes(s, sf)), W.CAUSE))
     q["view_top_cancel_airports"] = lambda s, sf: V.top_cancel_airports(_airport_table(s, sf))
     q["view_top_arrival_delay"] = lambda s, sf: V.top_arrival_delay(_airport_table(s, sf))
 
     # --- chart tables ---------------------------------------------------------------
     q["chart_top_airports"] = lambda s, sf: (
-        S.airport_fragility(enriched(s, sf)).select("ORIGIN", "disruption_rate", "AFI")
+        S.airport_fragility(labelled(s, sf)).select("ORIGIN", "disruption_rate", "AFI")
         .orderBy(F.col("AFI").desc_nulls_last(), F.col("ORIGIN")).limit(fixed.TOP_AIRPORTS_CHART))
 
     # --- sources and sinks: CSV folder with header drift, CSV round trip, layout -----
@@ -137,17 +171,17 @@ def _registry() -> dict[str, Query]:
     q["load_status"] = lambda s, sf: P.status_frame(
         s, P.load_tables(s, enriched(s, sf), P.new_scratch(s, "tables")))
     q["stage_counts"] = lambda s, sf: P.stage_counts(raw(s, sf))
-    q["all_summaries_grouping_sets"] = lambda s, sf: S.all_summaries_grouping_sets(enriched(s, sf))
+    q["all_summaries_grouping_sets"] = lambda s, sf: S.all_summaries_grouping_sets(all_grains(s, sf))
 
     # --- machine learning -------------------------------------------------------------
-    q["ml_frame"] = lambda s, sf: M.ml_frame(enriched(s, sf))
+    q["ml_frame"] = lambda s, sf: ml_input(s, sf)
     q["stratified_split"] = lambda s, sf: _split(s, sf).select(*M.KEYS, M.LABEL, "split")
     q["class_weights"] = lambda s, sf: M.class_weights(_split(s, sf).where(F.col("split") == "train"))
     q["standard_scale"] = _standard_scale
     q["one_hot"] = _one_hot
-    q["binary_metrics"] = lambda s, sf: M.binary_metrics(closed_form_score(M.ml_frame(enriched(s, sf))))
+    q["binary_metrics"] = lambda s, sf: M.binary_metrics(closed_form_score(ml_input(s, sf)))
     q["classification_report"] = lambda s, sf: M.classification_report(
-        closed_form_score(M.ml_frame(enriched(s, sf))))
+        closed_form_score(ml_input(s, sf)))
     q["train_logistic"] = lambda s, sf: _train(s, sf, "lr")
     q["train_forest"] = lambda s, sf: _train(s, sf, "rf")
     q["model_comparison"] = lambda s, sf: _train(s, sf, "both")
@@ -156,7 +190,7 @@ def _registry() -> dict[str, Query]:
 
 
 def _split(spark: SparkSession, sf: str) -> DataFrame:
-    return M.stratified_split(M.ml_frame(enriched(spark, sf), M.KEYS))
+    return M.stratified_split(ml_input(spark, sf, M.KEYS))
 
 
 def _standard_scale(spark: SparkSession, sf: str) -> DataFrame:
@@ -232,7 +266,7 @@ def _union_by_name(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    exported = W.export_rename(S.airport_fragility(enriched(spark, sf)))
+    exported = W.export_rename(S.airport_fragility(labelled(spark, sf)))
     path = P.new_scratch(spark, "csv-airports")
     W.write_csv(exported, path)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in exported.schema.fields)
@@ -241,29 +275,29 @@ def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def _partitioned_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = P.new_scratch(spark, "flights-layout")
-    W.save_table(W.load_flights(enriched(spark, sf)), path, partition_by=P.FLIGHT_PARTITIONS,
+    W.save_table(W.load_flights(enriched(spark, sf), staged=True), path, partition_by=P.FLIGHT_PARTITIONS,
                  sort_by=P.FLIGHT_CLUSTER, tiebreak=("flight_id",))
     return W.read_table(spark, path, W.FLIGHTS)
 
 
 _SUMMARY_LOADS = (
-    ("airport_summary", S.airport_fragility, W.AIRPORT),
-    ("route_summary", S.route_reliability, W.ROUTE),
-    ("carrier_summary", S.carrier_summary, W.CARRIER),
-    ("monthly_summary", S.monthly_summary, W.MONTHLY),
-    ("delay_cause_summary", S.delay_cause_summary, W.CAUSE),
+    ("airport_summary", lambda s, sf: S.airport_fragility(labelled(s, sf)), W.AIRPORT),
+    ("route_summary", lambda s, sf: S.route_reliability(routes(s, sf)), W.ROUTE),
+    ("carrier_summary", lambda s, sf: S.carrier_summary(labelled(s, sf)), W.CARRIER),
+    ("monthly_summary", lambda s, sf: S.monthly_summary(months(s, sf)), W.MONTHLY),
+    ("delay_cause_summary", lambda s, sf: S.delay_cause_summary(causes(s, sf)), W.CAUSE),
 )
 
 
 def _airport_table(spark: SparkSession, sf: str) -> DataFrame:
-    return W.load_summary(S.airport_fragility(enriched(spark, sf)), W.AIRPORT)
+    return W.load_summary(S.airport_fragility(labelled(spark, sf)), W.AIRPORT)
 
 
 def _pk_violations(spark: SparkSession, sf: str) -> DataFrame:
-    df = enriched(spark, sf)
+    frames = P.summaries(enriched(spark, sf))
     out = None
-    for _, build, contract in _SUMMARY_LOADS:
-        part = W.pk_violations(W.load_summary(build(df), contract), contract)
+    for contract in W.SUMMARY_CONTRACTS:
+        part = W.pk_violations(W.load_summary(frames[contract.name], contract), contract)
         out = part if out is None else out.unionByName(part)
     return out
 

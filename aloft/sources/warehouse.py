@@ -207,15 +207,16 @@ def prepare_flights(enriched: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
-def load_flights(enriched: DataFrame, order: Sequence[str] = FLIGHT_ORDER) -> DataFrame:
+def load_flights(enriched: DataFrame, order: Sequence[str] = FLIGHT_ORDER, staged: bool = False) -> DataFrame:
     """Typed ``flights_cleaned`` with a consecutive ``flight_id`` (1..n).
 
     The key is a distributed row number (range partitioning + per-partition
-    offsets), never a single-partition window.
+    offsets), never a single-partition window.  ``staged``: the input is cheap to read twice.
     """
     prepared = prepare_flights(enriched)
     keyed = global_row_number(prepared, list(order) + [c for c in prepared.columns
-                                                        if c not in order], "flight_id")
+                                                        if c not in order], "flight_id",
+                              range_columns=3, staged=staged)
     return conform(keyed, FLIGHTS, strict=False)
 
 

@@ -49,7 +49,7 @@ def _noop(df) -> None:
 
 def five_summaries_persisted(spark, sf: str) -> None:
     """Airport/route/carrier/month/weekday aggregates over one persisted enriched frame."""
-    enriched = Q.enriched(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    enriched = Q.all_grains(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for build in (S.airport_summary, S.route_summary, S.carrier_summary, S.monthly_summary,
                       S.dow_trend):
@@ -60,7 +60,7 @@ def five_summaries_persisted(spark, sf: str) -> None:
 
 def five_summaries_grouping_sets(spark, sf: str) -> None:
     """The same five aggregates from one scan with GROUPING SETS."""
-    _noop(S.all_summaries_grouping_sets(Q.enriched(spark, sf)))
+    _noop(S.all_summaries_grouping_sets(Q.all_grains(spark, sf)))
 
 
 JOBS = {"five_summaries_persisted": five_summaries_persisted,

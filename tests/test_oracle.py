@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from aloft.functions import fixed
 from aloft.plans import queries as Q
 from aloft.plans.oracle_sql import ORACLE
 from aloft.plans.queries import QUERIES
@@ -40,7 +41,13 @@ def duck():
 def one_staged_frame():
     """All queries of this module share one staged coerced frame."""
     made, build = {}, Q.staged
-    Q.staged = lambda s, sf: made.setdefault(sf, None) or made.__setitem__(sf, build(s, sf)) or made[sf]
+
+    def once(spark, sf, columns=fixed.RAW_COLUMNS):
+        if sf not in made:
+            made[sf] = build(spark, sf)
+        return made[sf].select(*columns)
+
+    Q.staged = once
     yield
     Q.staged = build
 
