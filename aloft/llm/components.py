@@ -32,17 +32,18 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every node hangs on one centre, and no centre hangs on another."""
+    twice = links.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
+    chained = links.join(links.select(F.col("b").alias("a")), "a", "left_semi").select("a")
+    return twice.unionByName(chained).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of the links (a, b); component: its smallest node."""
     links = stage(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                   .distinct(), "links")
-    mark = None
-    while True:
-        seen = links.agg(F.count(F.lit(1)).alias("n"),
-                         F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        if (seen["n"], seen["s"]) == mark or not seen["n"]:
-            break
-        mark = (seen["n"], seen["s"])
+    while not _stars(links):
         links = stage(_small_star(_large_star(links)), "links")
     return (links.select(F.col("a").alias("node"), F.col("b").alias("component"))
             .unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()))

@@ -12,7 +12,8 @@ similarity of 0.75 or more; groups are the connected components of the links.
    threshold, full shingle sets confirm the rest.
 3. Where a bucket still holds several components, its classes get a finer odd sketch of
    more samples, and those of different components are compared with each other, in
-   blocks: a task holds the sketches of two blocks of one bucket.  First every class
+   blocks: a task holds the sketches of two blocks of one bucket, and answers for the
+   pairs whose first common bucket it is.  First every class
    passes on its nearest one of another component, which merges most components; then
    all pairs of still different components whose sketches are near enough go on.  Full
    sets confirm them.  Pairs of one component need no comparison.  Nothing is capped.
@@ -191,16 +192,21 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, own = None, None
         for t in batches:
+            data, offsets = textops.utf8(t.column(3))
+            rows = list(zip(*(t.column(k).to_pylist() for k in range(3))))
             found_a, found_b = [], []
-            for a, share_, b, text in zip(*(t.column(i).to_pylist() for i in range(4))):
-                got = shingle_set(text)
-                if b is None:
-                    at, own = (a, share_), got
-                    continue
-                assert at == (a, share_)
-                common = len(np.intersect1d(own, got, assume_unique=True))
-                if 100 * common >= PERCENT * (len(own) + len(got) - common):
-                    found_a.append(a), found_b.append(b)
+            for i, j in textops.chunks(offsets):
+                base = offsets[i]
+                values, first = shingles(data[base:offsets[j]], offsets[i:j + 1] - base)
+                for r, (a, share_, b) in enumerate(rows[i:j]):
+                    got = np.unique(values[first[r]:first[r + 1]])
+                    if b is None:
+                        at, own = (a, share_), got
+                        continue
+                    assert at == (a, share_)
+                    common = len(np.intersect1d(own, got, assume_unique=True))
+                    if 100 * common >= PERCENT * (len(own) + len(got) - common):
+                        found_a.append(a), found_b.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["a", "b"])
 
     return (members.unionByName(leaders).repartition("a", "share")
@@ -218,19 +224,22 @@ def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _fine_sketches(texts: DataFrame, mixed: DataFrame) -> DataFrame:
-    """(cid, fine): the finer odd sketch of the classes in mixed buckets."""
+    """(cid, fine, short): the finer odd sketch of the classes in mixed buckets, and the lower 32
+    bits of all their band keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = textops.utf8(b.column(1))
             for i, j in textops.chunks(offsets):
                 base = offsets[i]
                 values, first = shingles(data[base:offsets[j]], offsets[i:j + 1] - base)  # no text is without words
-                bits = odd_sketches(samples(values, first, FINE_SAMPLES), FINE_BITS)
+                sample = samples(values, first, FINE_SAMPLES)
+                bits, keys = odd_sketches(sample, FINE_BITS), band_keys(sample[:, :_K]).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, j - i), pa.array([x.tobytes() for x in bits], pa.binary())], ["cid", "fine"])
+                    [b.column(0).slice(i, j - i), pa.array([x.tobytes() for x in bits], pa.binary()),
+                     pa.array([x.tobytes() for x in keys], pa.binary())], ["cid", "fine", "short"])
 
     return texts.join(mixed.select("cid").distinct(), "cid").select("cid", "text").mapInArrow(
-        run, "cid long, fine binary")
+        run, "cid long, fine binary, short binary")
 
 
 def _across(mixed: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
@@ -246,8 +255,8 @@ def _across(mixed: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
         "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "comp")
     dealt = dealt.join(sketches, "cid")
 
-    def compare(x: list, y: list, same: bool) -> tuple[np.ndarray, np.ndarray]:
-        (cx, px, nx, sx, fx), (cy, py, ny, sy, fy) = x, y
+    def compare(x: list, y: list, same: bool, band: int) -> tuple[np.ndarray, np.ndarray]:
+        (cx, px, nx, sx, fx, bx), (cy, py, ny, sy, fy, by) = x, y
         far = np.zeros((len(cx), len(cy)), dtype=np.int64)
         for w in range(sx.shape[1]):
             far += np.bitwise_count(sx[:, w][:, None] ^ sy[:, w][None, :])
@@ -256,6 +265,11 @@ def _across(mixed: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
         if same:
             ok &= cx[:, None] < cy[None, :]
         u, v = np.nonzero(ok)
+        here = np.zeros(len(u), dtype=bool)  # no earlier band is common: another task answers for the rest
+        for s in range(0, len(u), 1 << 15):
+            e = s + (1 << 15)
+            here[s:e] = (bx[u[s:e]] == by[v[s:e]]).argmax(axis=1) == band
+        u, v = u[here], v[here]
         likely = np.empty(len(u))
         for s in range(0, len(u), 1 << 15):
             e = s + (1 << 15)
@@ -278,25 +292,27 @@ def _across(mixed: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
 
         def solve() -> Iterator[pa.RecordBatch]:
             sides = [[np.array([r[0] for r in g]), np.array([r[1] for r in g]), np.array([r[2] for r in g]),
-                      bitmaps(g, 3), bitmaps(g, 4)] for g in group.values()]
+                      bitmaps(g, 3), bitmaps(g, 4), bitmaps(g, 5).view(np.uint32).reshape(len(g), -1)]
+                     for g in group.values()]
             if len(sides) == 2 or (len(sides) == 1 and at[1] == at[2]):
-                a, b = compare(sides[0], sides[-1], len(sides) == 1)
+                band = int(np.flatnonzero(sides[0][5][0] == np.uint32(at[0] & 0xFFFFFFFF))[0])
+                a, b = compare(sides[0], sides[-1], len(sides) == 1, band)
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         for t in batches:
-            for key, i, j, block, cid, comp, n, sketch, fine in zip(*(c.to_pylist() for c in t.columns)):
+            for key, i, j, block, *row in zip(*(c.to_pylist() for c in t.columns)):
                 if at != (key, i, j):
                     if group:
                         yield from solve()
                     at, group = (key, i, j), {}
-                group.setdefault(block, []).append((cid, comp, n, sketch, fine))
+                group.setdefault(block, []).append(row)
         if group:
             yield from solve()
 
-    return (dealt.select("key", "i", "j", "block", "cid", "comp", "n", "sketch", "fine")
+    return (dealt.select("key", "i", "j", "block", "cid", "comp", "n", "sketch", "fine", "short")
             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(run, "a long, b long"))
 
 
 def group_documents(docs: DataFrame) -> DataFrame:
@@ -319,15 +335,16 @@ def group_documents(docs: DataFrame) -> DataFrame:
     # identical rows give the same text more than once
     texts = stage(of_rows(docs, involved).select("cid", "text").dropDuplicates(["cid"]), "texts")
 
-    star = stage(_near(star, classes), "near")
-    links = stage(_confirm(star, texts), "links")
-    mixed = _mixed(buckets.select("key", "cid"), components(links))
+    links = _confirm(stage(_near(star, classes), "near"), texts)
+    star = lambda labels: labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    labels = stage(components(links), "labels")
+    mixed = _mixed(buckets.select("key", "cid"), labels)
     sketches = stage(classes.select("cid", "n", "sketch").join(_fine_sketches(texts, mixed), "cid"), "fine")
     tried = stage(_across(mixed, sketches, nearest=True), "nearest")
-    links = stage(links.unionByName(_confirm(tried, texts)), "links")
-    mixed = _mixed(mixed.select("key", "cid"), components(links))
+    labels = stage(components(star(labels).unionByName(_confirm(tried, texts))), "labels")
+    mixed = _mixed(mixed.select("key", "cid"), labels)
     rest = stage(_across(mixed, sketches, nearest=False).join(tried, ["a", "b"], "left_anti"), "across")
-    labels = components(links.unionByName(_confirm(rest, texts)))
+    labels = components(star(labels).unionByName(_confirm(rest, texts)))
 
     grouped = classes.join(labels, classes["cid"] == labels["node"], "left").select(
         "cls", F.coalesce("component", "cid").alias("component"), "doc_id", "th")
