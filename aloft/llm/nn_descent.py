@@ -12,8 +12,11 @@
    scanned once); below ``recall`` further tables and rounds follow.
 5. Edges at the threshold are confirmed in double precision and kept; their connected
    components are the groups.  A list can be saturated (all its entries are links, so more
-   may exist); therefore every component's lists are enlarged to the whole component:
-   its classes are compared in blocks, and each task returns numbers of links, not pairs.
+   may exist): classes with such lists are compared with those of all other components, in
+   cells; a pair of cells is left out only where the angle between their centres less both
+   radii excludes a link.  Links found there join components.
+6. Numbers of links: the classes of a component are compared with one another in blocks,
+   and each task returns numbers, not pairs.
 
 Lists around a class with very many neighbours and large components are cut into
 blocks dealt to different tasks; no group is gathered in one.  Null vec_ids take part
@@ -48,6 +51,10 @@ SETTLED = 0.01
 RECALL = 0.995
 AUDIT = 500
 EXTRA = 3
+#: cells whose centres are compared in one task
+CELLS = 4096
+#: slack (radians) of the bound on cells, far above the rounding of single precision
+SLACK = 2e-3
 
 
 def _matrix(column: pa.Array, dtype) -> np.ndarray:
@@ -227,6 +234,86 @@ def links_of(graph: DataFrame, classes: DataFrame, threshold: float) -> DataFram
     return both.mapInArrow(confirm, "a long, b long")
 
 
+def bridges(graph: DataFrame, classes: DataFrame, labels: DataFrame, dim: int, threshold: float, k: int) -> DataFrame:
+    """Links (a, b) between components, one or more for every two that are linked by classes with saturated lists."""
+    full = graph.where(F.col("s") >= threshold - 1e-4).groupBy("u").agg(F.count(F.lit(1)).alias("n")).where(
+        F.col("n") >= k).select(F.col("u").alias("cid"))
+    found = labels.select(F.col("node").alias("cid"), "component").join(full, "cid")
+    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    rows = found.join(stage(sizes, "nn-full"), "component").join(classes.select("cid", "unit"), "cid")
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes = np.random.default_rng(999).standard_normal((dim, 40))
+        for b in batches:
+            if b.num_rows:
+                bits = np.ceil(np.log2(np.maximum(b.column(1).to_numpy() / BLOCK, 1))).astype(np.int64)
+                side = (_matrix(b.column(3), np.float64) @ planes > 0) & (np.arange(40) < bits[:, None])
+                key = side @ (1 << np.arange(40, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(key), b.column(2), b.column(3)],
+                                                 ["component", "key", "cid", "unit"])
+
+    keyed = stage(rows.select("component", "size", "cid", "unit").mapInArrow(
+        deal, "component long, key long, cid long, unit binary"), "nn-keyed")
+    sizes = keyed.groupBy("component", "key").agg(F.count(F.lit(1)).alias("size"))
+    members = stage(keyed.join(sizes, ["component", "key"]).withColumn(
+        "chunk", F.pmod(F.xxhash64("cid"), F.expr(f"(size + {BLOCK} - 1) div {BLOCK}")))
+        .select(F.xxhash64("component", "key", "chunk").alias("cell"), "component", "cid", "unit"), "nn-members")
+
+    def centre(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _grouped(batches, 1):
+            x = np.frombuffer(b"".join(t.column("unit").to_pylist())).reshape(t.num_rows, -1)
+            c = x.mean(axis=0)
+            c = c / np.linalg.norm(c) if np.linalg.norm(c) > 0 else x[0]
+            radius = float(np.arccos(np.clip((x @ c).min(), -1, 1)))
+            yield pa.RecordBatch.from_arrays(
+                [t.column("cell").combine_chunks()[:1], t.column("component").combine_chunks()[:1],
+                 pa.array([radius]), pa.array([c.astype(np.float32).tobytes()], pa.binary())],
+                ["cell", "component", "radius", "small"])
+
+    cells = stage(members.repartition("cell").sortWithinPartitions("cell").mapInArrow(
+        centre, "cell long, component long, radius double, small binary"), "nn-cells")
+    parts = max(1, -(-cells.count() // CELLS))
+    dealt = cells.withColumn("part", F.pmod(F.col("cell"), F.lit(parts))).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>"))).select(
+        F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "cell", "component",
+        "radius", "small")
+    reach = float(np.arccos(threshold)) + SLACK
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _grouped(batches, 2):
+            cell, comp, radius, part = (_column(t, c) for c in ("cell", "component", "radius", "part"))
+            x = _small(t)
+            i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+            one, two = np.flatnonzero(part == i), np.flatnonzero(part == j)
+            for at in range(0, len(one), BLOCK):
+                a = one[at:at + BLOCK]
+                angle = np.arccos(np.clip(x[a] @ x[two].T, -1, 1))
+                near = (angle <= radius[a][:, None] + radius[two][None, :] + reach) & (
+                    comp[a][:, None] != comp[two][None, :])
+                if i == j:
+                    near &= cell[a][:, None] < cell[two][None, :]
+                r, c = np.nonzero(near)
+                yield pa.RecordBatch.from_arrays([pa.array(cell[a][r]), pa.array(cell[two][c])], ["p", "q"])
+
+    pairs = stage(dealt.repartition("i", "j").sortWithinPartitions("i", "j").mapInArrow(close, "p long, q long"),
+                  "nn-cell-pairs")
+    sides = pairs.select("p", "q", F.col("p").alias("cell")).unionByName(
+        pairs.select("p", "q", F.col("q").alias("cell"))).join(members, "cell")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _grouped(batches, 2):
+            cid, cell, comp = _column(t, "cid"), _column(t, "cell"), _column(t, "component")
+            x = np.frombuffer(b"".join(t.column("unit").to_pylist())).reshape(t.num_rows, -1)
+            one, two = (np.flatnonzero(cell == t.column(c)[0].as_py()) for c in ("p", "q"))
+            r, c = np.nonzero((x[one] @ x[two].T >= threshold) & (comp[one][:, None] != comp[two][None, :]))
+            # one link joins two components; their numbers are counted afterwards
+            _, first = np.unique(np.stack([comp[one][r], comp[two][c]]), axis=1, return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cid[one][r[first]]), pa.array(cid[two][c[first]])], ["a", "b"])
+
+    return (sides.select("p", "q", "cell", "component", "cid", "unit").repartition("p", "q")
+            .sortWithinPartitions("p", "q").mapInArrow(compare, "a long, b long"))
+
+
 def audit(links: DataFrame, labels: DataFrame, classes: DataFrame, n: int, threshold: float,
           sample: int = AUDIT) -> float:
     """Share of a sample's true links (brute force against all) that lie in one component."""
@@ -290,6 +377,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         graph = descend(classes, graph, n, dim, range(turn * TABLES, (turn + 1) * TABLES), k)
         links = links_of(graph, classes, threshold)
         labels = stage(components(links), "nn-labels")
+        more = stage(bridges(graph, classes, labels, dim, threshold, k), "nn-bridges")
+        if not more.isEmpty():
+            labels = stage(components(links.unionByName(more)), "nn-labels")
         share = audit(links, labels, classes, n, threshold)
         if share >= recall:
             break

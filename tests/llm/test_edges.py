@@ -293,6 +293,22 @@ def test_near_vectors(spark):
     assert nn_descent.report(df.where("vec_id >= 400")).count() == len(odd)
 
 
+def test_near_vectors_bridges_between_saturated_groups(spark):
+    import numpy as np
+    rng = np.random.default_rng(11)
+    a, b = np.zeros(64), np.zeros(64)
+    a[0], b[0], b[1] = 1, 0.946, np.sqrt(1 - 0.946 ** 2)
+    x = np.concatenate([c + rng.normal(size=(600, 64)) * 0.004 for c in (a, b, -a)])  # more than a block each
+    x = np.float32(x).astype(np.float64)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = unit @ unit.T >= 0.95
+    np.fill_diagonal(link, False)
+    assert link[:600, 600:1200].any() and not link[:1200, 1200:].any()
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    want = [(i, int(link[i].sum()), 0 if i < 1200 else 1200, i in (0, 1200)) for i in range(1800)]
+    assert sorted(tuple(r) for r in nn_descent.report(df).collect()) == want
+
+
 @pytest.mark.parametrize("run", [debruijn.report, lyndon.report, near_dedup.report, line_dedup.report, tokens.report,
                                  langid.report, mixing.mix, near_dedup.dedup, line_dedup.dedup])
 def test_no_rows(none, run):
