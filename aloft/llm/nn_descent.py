@@ -7,9 +7,12 @@
    nearest ones among a block of its bucket, in several tables.
 3. Each round joins the neighbours of every class (both directions) with one another:
    neighbours of neighbours that are nearer than a list's last entry replace it.
-   Rounds go on until few lists change.
+   Rounds go on until few lists change.  The number of tables follows the number of
+   buckets: a link at the threshold shares a bucket of one of them with chance ``recall``.
 4. Recall is audited against brute force (a bounded sample of classes against all,
-   scanned once); below ``recall`` further tables and rounds follow.
+   scanned once): the mean of each sampled class's share of links found, apart for
+   classes of few and of many links.  Until both reach ``recall`` further tables,
+   blocks dealt anew and rounds follow; past ``MAX_TURNS`` an error is raised.
 5. Edges at the threshold are confirmed in double precision and kept; their connected
    components are the groups.  A list can be saturated (all its entries are links, so more
    may exist): classes with such lists are compared with those of all other components, in
@@ -39,18 +42,17 @@ from aloft.llm.components import components
 THRESHOLD = 0.95
 #: length of a neighbour list
 NEIGHBOURS = 8
-TABLES = 6
 #: rows aimed at in a bucket of a table, and most in a block of one
 BUCKET = 128
 BLOCK = 512
 #: entries of one class's neighbourhood joined in one task
 FAN = 64
-MAX_ROUNDS = 4
 #: rounds end when fewer than this share of the list entries changes
 SETTLED = 0.01
 RECALL = 0.995
 AUDIT = 500
-EXTRA = 3
+#: turns of tables and rounds after which a recall that is still too low is an error
+MAX_TURNS = 30
 #: cells whose centres are compared in one task
 CELLS = 4096
 #: slack (radians) of the bound on cells, far above the rounding of single precision
@@ -127,9 +129,20 @@ def _small(t: pa.Table, name: str = "small") -> np.ndarray:
     return np.frombuffer(b"".join(t.column(name).to_pylist()), dtype=np.float32).reshape(t.num_rows, -1)
 
 
+def _bits(n: int) -> int:
+    """Projection bits of a table over ``n`` classes."""
+    return max(0, (n // BUCKET).bit_length())
+
+
+def tables_for(n: int, threshold: float, recall: float) -> int:
+    """Tables in one of which a link at the threshold shares a bucket with chance ``recall``."""
+    share = (1 - np.arccos(threshold) / np.pi) ** _bits(n)
+    return 1 if share >= recall else int(np.ceil(np.log1p(-recall) / np.log1p(-share)))
+
+
 def _seed(classes: DataFrame, n: int, dim: int, tables: range, k: int) -> DataFrame:
     """Candidate edges (u, v, s) from blocks of projection buckets."""
-    bits = max(0, (n // BUCKET).bit_length())
+    bits = _bits(n)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = [np.random.default_rng(1000 + t).standard_normal((dim, bits)).astype(np.float32) for t in tables]
@@ -138,7 +151,7 @@ def _seed(classes: DataFrame, n: int, dim: int, tables: range, k: int) -> DataFr
             for t, p in zip(tables, planes):
                 key = ((x @ p) > 0) @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(x), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.astype(np.int64) * 64 + t), b.column(0), b.column(1)], ["bucket", "cid", "small"])
+                    [pa.array(key.astype(np.int64) * (1 << 20) + t), b.column(0), b.column(1)], ["bucket", "cid", "small"])
 
     dealt = classes.select("cid", "small").mapInArrow(deal, "bucket long, cid long, small binary")
     sizes = stage(dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "nn-buckets")
@@ -167,8 +180,9 @@ def _nearest(edges: DataFrame, k: int) -> DataFrame:
             .withColumn("place", F.row_number().over(over)).where(F.col("place") <= k).select("u", "v", "s"))
 
 
-def _round(graph: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """Candidates from joining the neighbours of every class with one another."""
+def _round(graph: DataFrame, classes: DataFrame, k: int, deal: int) -> DataFrame:
+    """Candidates from joining the neighbours of every class with one another; ``deal`` numbers the
+    deals of large neighbourhoods into parts."""
     last = graph.groupBy("u").agg(F.min("s").alias("last"), F.count(F.lit(1)).alias("n")).select(
         "u", F.when(F.col("n") < k, -2.0).otherwise(F.col("last")).cast("float").alias("last"))
     around = (graph.select(F.col("u").alias("w"), F.col("v").alias("x"))
@@ -177,7 +191,7 @@ def _round(graph: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     have = stage(classes.select("cid", "small").join(last, F.col("cid") == F.col("u"), "left").select(
         "cid", "small", F.coalesce("last", F.lit(-2.0).cast("float")).alias("last")), "nn-last")
     lists = (around.join(sizes, "w").withColumn(
-        "part", F.pmod(F.xxhash64("w", "x"), F.expr(f"(size + {FAN} - 1) div {FAN}")))
+        "part", F.pmod(F.xxhash64("w", "x", F.lit(deal)), F.expr(f"(size + {FAN} - 1) div {FAN}")))
         .join(have, F.col("x") == F.col("cid")).select("w", "part", "cid", "small", "last"))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,8 +221,10 @@ def descend(classes: DataFrame, graph: DataFrame | None, n: int, dim: int, table
     """The neighbour graph (u, v, s) after seeding ``tables`` and descending until settled."""
     seeds = _seed(classes, n, dim, tables, k)
     graph = stage(_nearest(seeds if graph is None else graph.unionByName(seeds), k), "nn-graph")
-    for _ in range(MAX_ROUNDS):
-        found = _round(graph, classes, k)
+    deal = tables.start * 1000
+    while True:
+        found = _round(graph, classes, k, deal)
+        deal += 1
         new = stage(_nearest(graph.unionByName(found), k), "nn-graph")
         changed = new.join(graph, ["u", "v"], "left_anti").count()
         graph = new
@@ -316,7 +332,8 @@ def bridges(graph: DataFrame, classes: DataFrame, labels: DataFrame, dim: int, t
 
 def audit(links: DataFrame, labels: DataFrame, classes: DataFrame, n: int, threshold: float,
           sample: int = AUDIT) -> float:
-    """Share of a sample's true links (brute force against all) that lie in one component."""
+    """Share of a sample's true links (brute force against all) that lie in one component: the mean of
+    every sampled class's own share, the least of classes of few links and of many (more than a list holds)."""
     place = F.shiftrightunsigned(F.xxhash64(F.lit("audit"), "cid"), 11) / F.lit(float(1 << 53))
     chosen = classes.where(place * n < sample).select("cid", "unit").limit(2 * sample).collect()  # bounded
     if not chosen:
@@ -335,9 +352,10 @@ def audit(links: DataFrame, labels: DataFrame, classes: DataFrame, n: int, thres
 
     true = classes.select("cid", "unit").mapInArrow(scan, "a long, b long")
     label = labels.select("node", "component")
-    got = (true.join(label.toDF("a", "ca"), "a", "left").join(label.toDF("b", "cb"), "b", "left")
-           .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ca") == F.col("cb")).alias("found")).first())
-    return got["found"] / got["n"] if got["n"] else 1.0
+    per = (true.join(label.toDF("a", "ca"), "a", "left").join(label.toDF("b", "cb"), "b", "left").groupBy("b")
+           .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ca") == F.col("cb")).alias("found")))
+    got = per.groupBy((F.col("n") > NEIGHBOURS).alias("many")).agg(F.avg(F.col("found") / F.col("n")).alias("share"))
+    return min((r["share"] for r in got.collect()), default=1.0)
 
 
 def count_links(classes: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
@@ -373,8 +391,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     rows, classes, dim = classes_of(vectors, id_col, vector_col)
     n = classes.count()
     graph, labels, share = None, None, 1.0
-    for turn in range(1 + EXTRA):
-        graph = descend(classes, graph, n, dim, range(turn * TABLES, (turn + 1) * TABLES), k)
+    tables = tables_for(n, threshold, recall)
+    for turn in range(MAX_TURNS):
+        graph = descend(classes, graph, n, dim, range(turn * tables, (turn + 1) * tables), k)
         links = links_of(graph, classes, threshold)
         labels = stage(components(links), "nn-labels")
         more = stage(bridges(graph, classes, labels, dim, threshold, k), "nn-bridges")
@@ -383,6 +402,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         share = audit(links, labels, classes, n, threshold)
         if share >= recall:
             break
+    else:
+        raise RuntimeError(f"near-dedup found {share:.4f} of the sampled links after {MAX_TURNS} turns, not {recall}")
     others = count_links(classes, labels, threshold)
     found = (classes.select("cid", "m").join(labels, F.col("cid") == F.col("node"), "left")
              .join(others, "cid", "left")

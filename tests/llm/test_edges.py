@@ -309,6 +309,31 @@ def test_near_vectors_bridges_between_saturated_groups(spark):
     assert sorted(tuple(r) for r in nn_descent.report(df).collect()) == want
 
 
+def test_near_vectors_audit_sees_lost_pairs_beside_a_large_group(spark):
+    import numpy as np
+    rng = np.random.default_rng(12)
+    large = np.eye(1, 64)[0] + rng.normal(size=(300, 64)) * 0.004
+    one = rng.normal(size=(100, 64))
+    x = np.concatenate([large, one, one + rng.normal(size=(100, 64)) * 0.05])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    rows, classes, _ = nn_descent.classes_of(df)
+    named = rows.toDF("vid", "node")
+    pairs = F.when(F.col("vid") < 400, F.col("vid")).otherwise(F.col("vid") - 100)
+    group = F.when(F.col("vid") < 300, 0)
+    share = {}
+    for name, label in (("all", F.coalesce(group, pairs)), ("lost", F.coalesce(group, F.col("vid")))):
+        labels = named.select("node", label.cast("long").alias("component"))
+        share[name] = nn_descent.audit(None, labels, classes, 500, 0.95)
+    assert share["all"] == 1.0 and share["lost"] == 0.0
+
+
+def test_near_vectors_keeps_looking_until_the_recall_holds(spark, monkeypatch):
+    shares = iter([0.5, 0.9, 0.9, 0.9, 0.9, 1.0])
+    monkeypatch.setattr(nn_descent, "audit", lambda *_: next(shares))
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [0.0, 1.0])], "vec_id long, embedding array<double>")
+    assert {r["recall"] for r in nn_descent.near_vectors(df).collect()} == {1.0}
+
+
 @pytest.mark.parametrize("run", [debruijn.report, lyndon.report, near_dedup.report, line_dedup.report, tokens.report,
                                  langid.report, mixing.mix, near_dedup.dedup, line_dedup.dedup])
 def test_no_rows(none, run):
