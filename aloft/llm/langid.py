@@ -3,11 +3,14 @@
 A text is a normalised TF-IDF vector of hashed character 1-, 2- and 3-grams
 (lower-cased, everything but letters is one space).  Every language has several
 centroids, found by spherical k-means on a sample of its labelled documents.
-The language of the nearest centroid by cosine is the prediction; a text farther
-from it than ``reject_factor`` times that language's own farthest per cent (and than
-``REJECT_FROM``, so that short texts stay) is rejected.
-
-* Document frequencies count all training documents.  Only the clustering is
+The language of the nearest centroid by cosine is the prediction.  Its distance is
+judged against what training texts of that language and of like length (a power of two
+of n-grams) have: a text is rejected where it exceeds their median by more than
+``reject_factor`` times what their farthest per cent does.  A length class of fewer than
+``CLASS_ROWS`` texts takes in the next shorter ones; texts shorter than all that were
+learned have no limit.
+
+* Document frequencies and distances count all training documents.  Only the clustering is
   fitted on a bounded sample: about ``sample_per_lang`` documents of a language
   with the smallest hash of their id (fewer where a language has fewer).
 * The model (idf and centroids) is as large as the number of languages and is
@@ -38,8 +41,10 @@ DIM = 4096
 CENTROIDS = 4
 SAMPLE_PER_LANG = 1500
 REJECT_FACTOR = 2.0
-#: no text nearer than this is rejected
-REJECT_FROM = 0.9
+#: length classes, training texts a class needs, and bins of the distances counted in it
+CLASSES = 40
+CLASS_ROWS = 100
+BINS = 1000
 ROUNDS = 12
 UND = "und"
 
@@ -99,12 +104,34 @@ def vectors(count: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x / np.where(norm > 0, norm, 1)
 
 
+def length_class(count: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(count.sum(axis=1), 1)).astype(np.int64), CLASSES - 1)
+
+
+def distance_places(hist: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Median and farthest per cent of each length class from counts (CLASSES x BINS) of distances
+    (infinite: shorter than every text counted)."""
+    size = hist.sum(axis=1)
+    middle, far = np.full(len(hist), np.inf), np.full(len(hist), np.inf)
+    for c in range(len(hist)):
+        if not size[:c + 1].any():
+            continue
+        low = c
+        while low and size[low:c + 1].sum() < CLASS_ROWS:
+            low -= 1
+        few = size[low:c + 1].sum() < CLASS_ROWS
+        upto = np.cumsum(hist.sum(axis=0) if few else hist[low:c + 1].sum(axis=0))
+        middle[c], far[c] = ((np.searchsorted(upto, q * upto[-1]) + 1) / hist.shape[1] for q in (0.5, 0.99))
+    return middle, far
+
+
 @dataclass
 class Model:
     idf: np.ndarray
     languages: list[str]  # of each centroid
     centroids: np.ndarray  # centroids x dim, unit length
-    farthest: np.ndarray  # of each centroid: its language's distance at the farthest per cent
+    middle: np.ndarray  # centroids x length classes: its language's median distance
+    farthest: np.ndarray  # the same, at the farthest per cent
 
     def predict(self, texts: list[str | None], reject_factor: float):
         """(language, score, rejected) of each text."""
@@ -116,9 +143,13 @@ class Model:
                 continue
             cosine = vectors(count, self.idf) @ self.centroids.T
             best = cosine.argmax(axis=1)
+            middle, far_at = (a[best, length_class(count)] for a in (self.middle, self.farthest))
+            # infinite where the length was not learned
+            limit = np.where(np.isinf(middle), np.inf, middle + reject_factor * (far_at - np.where(
+                np.isinf(middle), 0, middle)))
             for k, ok in enumerate(has):
                 c = float(min(1.0, max(0.0, cosine[k, best[k]])))
-                far = 1.0 - c > max(REJECT_FROM, reject_factor * self.farthest[best[k]])
+                far = 1.0 - c > limit[k]
                 out.append((self.languages[best[k]], c, bool(far)) if ok else (UND, 0.0, True))
         return out
 
@@ -193,18 +224,43 @@ def train(docs: DataFrame, dim: int = DIM, k: int = CENTROIDS, sample_per_lang:
         x = np.stack([np.frombuffer(b, dtype=np.float32) for b in group["v"]])
         x = x[np.linalg.norm(x, axis=1) > 0]
         if not len(x):
-            return pd.DataFrame({"lang": [], "c": [], "far": []})
+            return pd.DataFrame({"lang": [], "c": []})
         c = kmeans(x, k)
-        far = float(np.quantile(1 - (x @ c.T).max(axis=1), 0.99))
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "c": [v.astype(np.float32).tobytes() for v in c],
-                             "far": far})
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "c": [v.astype(np.float32).tobytes() for v in c]})
 
     learned = (sample.select("lang", "doc_id", "text").mapInArrow(embed, "lang string, doc_id long, v binary")
-               .groupBy("lang").applyInPandas(cluster, "lang string, c binary, far double").collect())
+               .groupBy("lang").applyInPandas(cluster, "lang string, c binary").collect())
     learned.sort(key=lambda r: (r["lang"], bytes(r["c"])))  # k rows a language
-    return Model(idf, [r["lang"] for r in learned],
-                 np.stack([np.frombuffer(r["c"], dtype=np.float32) for r in learned])
-                 if learned else np.zeros((0, dim), np.float32), np.array([r["far"] for r in learned]))
+    languages = [r["lang"] for r in learned]
+    centroids = np.stack([np.frombuffer(r["c"], dtype=np.float32) for r in learned]) if learned else np.zeros(
+        (0, dim), np.float32)
+    names = sorted(set(languages))
+    at = np.array([names.index(x) for x in languages], dtype=np.int64)
+    if not names:
+        return Model(idf, languages, centroids, np.zeros((0, CLASSES)), np.zeros((0, CLASSES)))
+    sent = docs.sparkSession.sparkContext.broadcast((idf, centroids, at))
+
+    def distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, centroids, at = sent.value
+        hist = np.zeros(len(names) * CLASSES * BINS, dtype=np.int64)
+        for b in batches:
+            texts = b.column(0).to_pylist()
+            for i, j in _batches(texts):
+                count, has = counts(texts[i:j], dim)
+                cosine = vectors(count, idf) @ centroids.T
+                gap = np.clip(1 - cosine.max(axis=1), 0, 1)
+                place = np.minimum((gap * BINS).astype(np.int64), BINS - 1)
+                place += (at[cosine.argmax(axis=1)] * CLASSES + length_class(count)) * BINS
+                np.add.at(hist, place[has], 1)
+        used = np.flatnonzero(hist)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(hist[used])], ["place", "n"])
+
+    hist = np.zeros(len(names) * CLASSES * BINS, dtype=np.int64)
+    for r in rows.select("text").mapInArrow(distances, "place long, n long").groupBy("place").agg(
+            F.sum("n").alias("n")).collect():  # at most languages x classes x bins
+        hist[r["place"]] = r["n"]
+    places = [distance_places(h) for h in hist.reshape(len(names), CLASSES, BINS)]
+    return Model(idf, languages, centroids, np.stack([places[i][0] for i in at]), np.stack([places[i][1] for i in at]))
 
 
 def identify(docs: DataFrame, model: Model, reject_factor: float = REJECT_FACTOR) -> DataFrame:

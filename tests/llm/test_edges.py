@@ -194,6 +194,21 @@ def test_held_out_accuracy(spark):
     assert sum(r["rejected"] for r in got.values()) <= 0.005 * len(got)
 
 
+def test_foreign_texts_are_rejected_and_held_out_ones_stay(spark):
+    data = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.train(data)
+    scripts = [(0x3B1, 25), (0x430, 32), (0x4E00, 3000), (0xAC00, 3000), None]
+    texts = []
+    for s, script in enumerate(scripts):
+        letters = "qxzjkvwyb" if script is None else "".join(chr(script[0] + i) for i in range(script[1]))
+        for i in range(10):
+            spell = sentence(list(letters), 1000 * s + i, 1500).split()
+            texts.append(" ".join("".join(spell[5 * w:5 * w + 5]) for w in range(300)))
+    assert all(rejected for _, _, rejected in model.predict(texts, langid.REJECT_FACTOR))
+    clean = [r["text"] for r in data.where(langid.held_out(F.col("doc_id"))).select("text").collect()]
+    assert sum(r for _, _, r in model.predict(clean, langid.REJECT_FACTOR)) <= 0.01 * len(clean)
+
+
 def test_decontamination(spark, docs):
     passage = " ".join(sentence(DE, 5, 70).split()[10:40])
     items = spark.createDataFrame([(7, passage), (7, passage), (2, "KURZ"), (3, None), (None, "kurz"), (4, "!!")],
