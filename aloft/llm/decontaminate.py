@@ -2,9 +2,10 @@
 
 The documents are the training text.  Each task takes its documents in shards,
 builds a suffix array of the shard's word sequences and binary-searches every
-suffix of every benchmark item in it.  The search gives the longest verbatim
-match of each item position, all its locations in the shard, and thereby the
-document words that an item's windows cover.
+suffix of every benchmark item in it.  The search gives the locations in the shard
+of the window at each item position, and thereby the document words that an item's
+windows cover.  A match is not followed beyond one window: its full length, and its
+place in the item, are not obtained.
 
 * Words: A-Z lower-cased, runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` (digits,
   letters, anything beyond ASCII), over whole texts.
