@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aloft.llm import debruijn, decontaminate, langid, line_dedup, lyndon, mixing, near_dedup, nn_descent, tokens, url_filter
+from aloft.llm import byte_bpe, debruijn, decontaminate, langid, line_dedup, lyndon, mixing, near_dedup, nn_descent, tokens, url_filter
 from aloft.llm.common import table
 from aloft.llm.oracle_sql import ORACLE_SQL
 
@@ -55,6 +55,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_decontamination": op2_decontamination,
@@ -66,6 +70,7 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_line_dedup": op10_line_dedup,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
