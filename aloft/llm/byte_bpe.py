@@ -37,9 +37,9 @@ from pyspark.sql import types as T
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: the left neighbour of a piece's first token
 BOUNDARY = (1 << 30) - 1
-#: entries of one generation of a task's memory of pieces (two generations are kept), and of pairs
-PIECE_MEMORY = 300_000
-PAIR_MEMORY = 1_000_000
+#: entries of one generation of a task's memories of pieces and of pairs; two generations are kept
+PIECE_MEMORY = 100_000
+PAIR_MEMORY = 250_000
 #: a piece of more characters is encoded, but not remembered
 LONGEST_REMEMBERED = 64
 #: characters behind a piece's end that can have a say in where it ends: contractions ('re) and a
@@ -104,6 +104,7 @@ class PrefixTokenizer:
         self.places = finder.iter
         #: (token before or BOUNDARY, token) as one number -> whether they can stand side by side
         self.pairs: dict[int, bool] = {}
+        self.old_pairs: dict[int, bool] = {}
         self.young: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
 
@@ -131,20 +132,22 @@ class PrefixTokenizer:
 
     def compatible(self, pair: int) -> bool:
         """Whether a token can follow another (or a boundary) in a result."""
+        ok = self.old_pairs.get(pair)
+        if ok is None:
+            before, token = pair >> 32, self.token[pair & 0xFFFFFFFF]
+            if before == BOUNDARY:
+                ok = True  # tokens that no merge makes are not looked for
+            else:
+                left = self.token[before]
+                ok = self.merge(left + token, len(left)) == [left, token] and left + token not in self.ranks
         if len(self.pairs) >= PAIR_MEMORY:
-            self.pairs.clear()
-        before, token = pair >> 32, self.token[pair & 0xFFFFFFFF]
-        if before == BOUNDARY:
-            ok = True  # tokens that no merge makes are not looked for
-        else:
-            left = self.token[before]
-            ok = self.merge(left + token, len(left)) == [left, token] and left + token not in self.ranks
+            self.old_pairs, self.pairs = self.pairs, {}
         self.pairs[pair] = ok
         return ok
 
     def extend(self, piece: bytes, table: array, known: int) -> array:
         """The last tokens of all prefixes of ``piece``, given those of its first ``known`` bytes."""
-        seen = self.pairs.get
+        pairs = self.pairs
         last = table[:known + 1]
         last.extend([-1] * (len(piece) - known))  # -1: not found yet
         base = max(0, known - self.longest + 1)
@@ -152,9 +155,10 @@ class PrefixTokenizer:
             end += base
             if last[end + 1] < 0:
                 pair = last[end - before] << 32 | token
-                ok = seen(pair)
+                ok = pairs.get(pair)
                 if ok is None:
                     ok = self.compatible(pair)
+                    pairs = self.pairs
                 if ok:
                     last[end + 1] = token
         return last
@@ -255,6 +259,7 @@ class PrefixTokenizer:
 
 
 _TOKENIZERS: dict[str, PrefixTokenizer] = {}
+_TOKENS: dict[str, list[bytes]] = {}
 
 
 def tokenizer(vocabulary: str = VOCABULARY) -> PrefixTokenizer:
@@ -264,6 +269,14 @@ def tokenizer(vocabulary: str = VOCABULARY) -> PrefixTokenizer:
     return _TOKENIZERS[vocabulary]
 
 
+def tokens(vocabulary: str = VOCABULARY) -> list[bytes]:
+    """The bytes of every id: all that decoding needs."""
+    if vocabulary not in _TOKENS:
+        ranks = read_ranks(vocabulary_path(vocabulary))
+        _TOKENS[vocabulary] = sorted(ranks, key=ranks.get)
+    return _TOKENS[vocabulary]
+
+
 def _without(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[c for c in df.columns if c.lower() != name.lower()])
 
@@ -295,13 +308,15 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, ids_col: str = "ids
     schema = T.StructType([*encoded.schema.fields, T.StructField(bytes_col, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bytes_of = tokenizer(vocabulary).decode
+        bytes_of = tokens(vocabulary).__getitem__
         for batch in batches:
             column = batch.column(names.index(ids_col))
-            flat, ends = column.values.to_pylist(), column.offsets.to_pylist()
+            flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_pylist()
+            if len(flat) and flat.min() < 0:
+                raise IndexError(f"no token has the id {flat.min()}")
             valid = column.is_valid().to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([bytes_of(flat[ends[r]:ends[r + 1]]) if ok else None
+                [*batch.columns, pa.array([b"".join(map(bytes_of, flat[ends[r]:ends[r + 1]].tolist())) if ok else None
                                            for r, ok in enumerate(valid)], pa.binary())], [*names, bytes_col])
 
     return encoded.mapInArrow(run, schema)

@@ -157,6 +157,41 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_lines, (coalesce(n.n, 0) - coales
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN left_ USING (doc_id)
 """
 
+_TERMS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, {_TERMS.format(LOWER.format("coalesce(text, '')"))} AS w FROM documents),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS nd, sum(len(w))::BIGINT AS nt FROM d),
+tf AS (SELECT k, t, count(*) AS tf FROM (SELECT k, unnest(w) AS t FROM d) GROUP BY ALL),
+wt AS (SELECT t, floor(1000 * ln((2 * any_value(nd) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, s GROUP BY t),
+m AS (SELECT k, doc_id, 100 - 50 + ((50 * len(w)::BIGINT * nd) // nt) AS m FROM d, s WHERE len(w) > 0),
+i AS (SELECT row_number() OVER () AS i, item_id,
+             list_distinct({_TERMS.format(LOWER.format("coalesce(text, '')"))}) AS w FROM benchmark),
+it AS (SELECT i, item_id, unnest(w) AS t FROM i),
+sc AS (SELECT it.i, it.item_id, m.doc_id, m.k,
+              sum(wt.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 20 * m.m)))::BIGINT AS score
+       FROM it JOIN wt USING (t) JOIN tf USING (t) JOIN m USING (k) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM sc WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
+OP12 = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id,
+                  CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND coalesce(list_aggregate(list_transform(embedding, lambda x: (x IS NULL OR NOT isfinite(x))::INT), 'sum'), 0) = 0),
+p AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id, a.label = b.label AS same,
+             coalesce(list_aggregate(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2]), 'sum'), 0)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.q) = len(b.q)),
+pos AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS k FROM p WHERE same),
+n AS (SELECT pos.a, pos.b, pos.anchor_id, pos.vec_id AS positive_id, p.vec_id AS negative_id, pos.score AS positive_score,
+             p.score AS negative_score, row_number() OVER (PARTITION BY pos.a, pos.b ORDER BY p.score DESC, p.vec_id)::INT AS rank
+      FROM pos JOIN p ON p.a = pos.a AND NOT p.same AND 80 * pos.score <= 100 * p.score AND 100 * p.score <= 100 * pos.score
+      WHERE pos.k <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
 ORACLE_SQL = {
     "op1_embedding_near_dedup": OP1,
     "op2_decontamination": OP2,
@@ -166,4 +201,6 @@ ORACLE_SQL = {
     "op8_minhash_near_dedup": OP8,
     "op9_url_filter": OP9,
     "op10_line_dedup": OP10,
+    "op11_ranked_search": OP11,
+    "op12_hard_negatives": OP12,
 }

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aloft.llm import byte_bpe, debruijn, decontaminate, langid, line_dedup, lyndon, mixing, near_dedup, nn_descent, tokens, url_filter
+from aloft.llm import (byte_bpe, debruijn, decontaminate, hard_negatives, langid, line_dedup, lyndon, mixing, near_dedup,
+                       nn_descent, ranked_search, tokens, url_filter)
 from aloft.llm.common import table
 from aloft.llm.oracle_sql import ORACLE_SQL
 
@@ -55,6 +56,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.report(table(spark, sf_dir, "documents"))
 
@@ -70,6 +79,8 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_line_dedup": op10_line_dedup,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_byte_bpe": op13_byte_bpe,
 }
 

@@ -100,4 +100,6 @@ def test_columns(spark):
     back = B.decode(out)
     assert back.columns == ["doc_id", "text", "ids", "decoded"]
     assert bytes(back.first()["decoded"]) == b"one two"
+    with pytest.raises(Exception, match="no token has the id"):
+        B.decode(spark.createDataFrame([(1, [5, -1])], "k int, ids array<int>")).collect()
     assert B.decode(spark.createDataFrame([(1, None)], "k int, ids array<int>")).first()["decoded"] is None
