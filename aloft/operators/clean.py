@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from aloft.functions import fixed
 from aloft.functions.columns import is_numeric_type, null_if_token_sql, sql_ident, to_double_sql
-from aloft.operators.ordered import global_running_sum
+from aloft.operators.selection import medians
 
 
 class MissingColumnsError(ValueError):
@@ -67,49 +67,21 @@ def fill_causes_zero(df: DataFrame, columns: Sequence[str] = fixed.CAUSE_COLUMNS
 
 
 def column_medians(df: DataFrame, columns: Sequence[str] = fixed.MEDIAN_COLUMNS) -> DataFrame:
-    """One-row frame with the exact (interpolated) median of each column.
-
-    One pass counts the (column, value) pairs with partial aggregation; a distributed
-    running sum over their order tells which values hold the middle places.  No task
-    sees all values of a column, however many distinct ones there are.
-    """
+    """One-row frame with the exact (interpolated) median of each column, by radix selection."""
     cols = present(df, columns)
-    pair = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
-                               for i, c in enumerate(cols)]))
-    counts = (df.select(pair.alias("p")).select("p.c", "p.v").where(F.col("v").isNotNull())
-              .groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")))
-    run = global_running_sum(counts, ["c", "v"], {"n": "upto"})
-    totals = run.groupBy("c").agg(F.sum("n").alias("total"), F.max("upto").alias("last"))  # one row a column
-    first = F.col("upto") - F.col("n") - (F.col("last") - F.col("total"))  # places before the value, in its column
-    place = run.join(F.broadcast(totals), "c").select(
-        "c", "v", first.alias("first"), (first + F.col("n")).alias("end"),
-        F.expr("(total - 1) div 2").alias("low"), F.expr("total div 2").alias("high"))
-    holds = lambda x: (F.col("first") <= F.col(x)) & (F.col(x) < F.col("end"))
-    low = [F.max(F.when((F.col("c") == i) & holds("low"), F.col("v"))) for i in range(len(cols))]
-    high = [F.max(F.when((F.col("c") == i) & holds("high"), F.col("v"))) for i in range(len(cols))]
-    return place.agg(*[(a + (b - a) * F.lit(0.5)).alias(c) for a, b, c in zip(low, high, cols)])
-
-
-def median_fill(df: DataFrame, columns: Sequence[str] = fixed.MEDIAN_COLUMNS,
-                eager: bool = False) -> DataFrame:
-    """Replace NULLs by the exact global median of the column (one aggregate job).
-
-    The medians are a single row, broadcast to every task and applied with
-    ``coalesce``; with ``eager`` that row is fetched and its values are filled as
-    literals.  Counting the values evaluates ``df`` once more, so give a staged frame
-    where that is expensive.
+    found = medians(df, cols)
+    return df.sparkSession.range(1).select(*[F.lit(found[c]).cast("double").alias(c) for c in cols])
+
+
+def median_fill(df: DataFrame, columns: Sequence[str] = fixed.MEDIAN_COLUMNS) -> DataFrame:
+    """Replace NULLs by the exact global median of the column.
+
+    The medians are found when this is called, and filled as literals.  Counting evaluates ``df`` once
+    a pass more, so give a staged frame where that is expensive.
     """
-    cols = present(df, columns)
-    if not cols:
-        return df
-    if eager:
-        row = column_medians(df, cols).first()
-        values = {c: row[c] for c in cols if row[c] is not None}
-        return df.fillna(values) if values else df
-    meds = column_medians(df, cols).toDF(*[f"__median_{c}" for c in cols])
-    joined = df.crossJoin(F.broadcast(meds))
-    return joined.selectExpr(*[f"coalesce({sql_ident(c)}, `__median_{c}`) AS {sql_ident(c)}" if c in cols
-                               else sql_ident(c) for c in df.columns])
+    found = medians(df, present(df, columns))
+    values = {c: v for c, v in found.items() if v is not None}
+    return df.fillna(values) if values else df
 
 
 def fill_flags(df: DataFrame, columns: Sequence[str] = fixed.FLAG_COLUMNS) -> DataFrame:
@@ -131,10 +103,10 @@ def coerce_raw(raw: DataFrame, tokens: Sequence[str] | None = fixed.NULL_TOKENS)
     return coerce_numeric(df)
 
 
-def finish_cleaning(coerced: DataFrame, eager_medians: bool = False) -> DataFrame:
+def finish_cleaning(coerced: DataFrame) -> DataFrame:
     """Imputation and key filter on an already coerced frame (medians before the drop)."""
     df = fill_causes_zero(coerced)
-    df = median_fill(df, eager=eager_medians)
+    df = median_fill(df)
     df = fill_flags(df)
     return drop_missing_keys(df)
 
