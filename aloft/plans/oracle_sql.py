@@ -506,6 +506,13 @@ def _warehouse_sql() -> dict[str, str]:
                           'cancellation_rate, diversion_rate, disruption_rate, norm_disruption, norm_delay, '
                           'norm_cancel, norm_divert, "AFI" AS afi FROM airport_afi')
     o["partitioned_scan"] = f"SELECT {FLIGHT_COLS} FROM flights_typed"
+    paths = [(c, f"CAST(min({c}) AS VARCHAR)", f"{c} = (SELECT min({c}) FROM flights_typed)")
+             for c in ("origin", "dest", "route", "op_unique_carrier", "fl_date")]
+    paths += [("year, month", "CAST(min((year, month))[1] AS VARCHAR) || ', ' || CAST(min((year, month))[2] AS VARCHAR)",
+               "(year, month) = (SELECT min((year, month)) FROM flights_typed)"), ("disrupted", "'1'", "disrupted = 1")]
+    o["access_paths"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS path, {probe} AS probe, count(*) AS rows, count(*) FILTER ({found}) AS rows_found, "
+        f"true AS skips FROM flights_typed" for name, probe, found in paths)
     o["stage_counts"] = (
         "SELECT 1 AS step, 'raw' AS stage, CAST(count(*) AS BIGINT) AS row_count FROM flights_raw UNION ALL "
         "SELECT 2, 'cleaned', CAST(count(*) AS BIGINT) FROM clean UNION ALL "

@@ -13,6 +13,7 @@ lost executor only costs the recomputation of its own tasks from Parquet.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,12 @@ from aloft.sources import csv_folder as CF
 from aloft.sources import warehouse as W
 
 FLIGHT_PARTITIONS = ("year", "month")
-FLIGHT_CLUSTER = ("origin",)
+FLIGHT_CLUSTER = ("origin", "dest", "op_unique_carrier", "fl_date")
+#: the seven access paths of the served flights: year and month are folders; the label leads inside them, and the
+#: curve confines the other columns; the zone map also knows the routes
+FLIGHT_ZONES = ("origin", "dest", "route", "op_unique_carrier", "year", "month", "disrupted", "fl_date")
+FLIGHT_LAYOUT = {"partition_by": FLIGHT_PARTITIONS, "sort_by": ("disrupted",), "cluster_by": FLIGHT_CLUSTER,
+                 "tiebreak": ("flight_id",), "zones": FLIGHT_ZONES, "bloom": ("route", "op_unique_carrier")}
 #: reporting views: name, view, the table it reads
 VIEWS = (
     ("top_disrupted_airports", V.top_disrupted_airports, W.AIRPORT),
@@ -59,7 +65,7 @@ def enrich_staged(raw: DataFrame) -> DataFrame:
     """Cleaning + features with the coerced frame staged once (one parse of the input)."""
     coerced = written(C.coerce_raw(raw), "coerced")
     # medians: one job over six staged columns, then literals (no repeat per table)
-    return FE.engineer_features(C.finish_cleaning(coerced, eager_medians=True))
+    return FE.engineer_features(C.finish_cleaning(coerced))
 
 
 def summaries(enriched: DataFrame) -> dict[str, DataFrame]:
@@ -80,16 +86,17 @@ def _message(exc: Exception) -> str:
 
 def _load_flights(spark: SparkSession, exported: DataFrame, out_dir: str, staged: bool = False) -> LoadResult:
     path = f"{out_dir}/{W.FLIGHTS.name}"
-    W.save_table(W.load_flights(exported, staged=staged), path, partition_by=FLIGHT_PARTITIONS, sort_by=FLIGHT_CLUSTER,
-                 tiebreak=("flight_id",))
-    return LoadResult(W.FLIGHTS.name, spark.read.parquet(path).count(), "loaded",
+    # the layout reads the flights more than once
+    flights = written(W.load_flights(exported, staged=staged), "flights")
+    rows = W.save_table(flights, path, contract=W.FLIGHTS, **FLIGHT_LAYOUT)
+    return LoadResult(W.FLIGHTS.name, rows, "loaded",
                       _missing(W.missing_columns(exported, W.FLIGHTS)))
 
 
 def _load_summary(spark: SparkSession, exported: DataFrame, contract: W.Contract, out_dir: str) -> LoadResult:
     path = f"{out_dir}/{contract.name}"
-    W.save_table(W.load_summary(exported, contract), path)
-    return LoadResult(contract.name, spark.read.parquet(path).count(), "loaded",
+    rows = W.save_table(W.load_summary(exported, contract), path, contract=contract)
+    return LoadResult(contract.name, rows, "loaded",
                       _missing(W.missing_columns(exported, contract)))
 
 
@@ -164,13 +171,18 @@ def load_csv(spark: SparkSession, csv_dir: str, out_dir: str) -> list[LoadResult
     return results
 
 
-def register_views(spark: SparkSession, out_dir: str) -> list[str]:
-    """Temporary views of the saved tables and the seven reporting views on them."""
-    for contract in (W.FLIGHTS, *W.SUMMARY_CONTRACTS):
+def register_views(spark: SparkSession, out_dir: str, loaded: Collection[str] | None = None) -> list[str]:
+    """Temporary views of the saved tables (all, or those in ``loaded``) and of the reporting views whose own
+    table is among them; returns the names of the reporting views."""
+    contracts = [c for c in (W.FLIGHTS, *W.SUMMARY_CONTRACTS) if loaded is None or c.name in loaded]
+    for contract in contracts:
         W.read_table(spark, f"{out_dir}/{contract.name}", contract).createOrReplaceTempView(contract.name)
+    names = []
     for name, view, contract in VIEWS:
-        view(spark.table(contract.name)).createOrReplaceTempView(name)
-    return [name for name, _, _ in VIEWS]
+        if contract in contracts:
+            view(spark.table(contract.name)).createOrReplaceTempView(name)
+            names.append(name)
+    return names
 
 
 def status_frame(spark: SparkSession, results: list[LoadResult]) -> DataFrame:
@@ -184,8 +196,7 @@ def run(spark: SparkSession, csv_folders, out_dir: str, models: bool = True, tre
     enriched = enrich_staged(CF.read_csv_folder(spark, csv_folders))
     export_csv(enriched, f"{out_dir}/csv", models, trees)
     results = load_csv(spark, f"{out_dir}/csv", out_dir)
-    if all(r.status == "loaded" for r in results):
-        register_views(spark, out_dir)
+    register_views(spark, out_dir, {r.table for r in results if r.status == "loaded"})
     return status_frame(spark, results)
 
 
@@ -193,7 +204,7 @@ def stage_counts(raw: DataFrame) -> DataFrame:
     """Rows at each stage, as one small union of counts (the input is parsed once)."""
     coerced = written(C.coerce_raw(raw), "coerced")
     cleaned = C.drop_missing_keys(coerced)
-    enriched = FE.engineer_features(C.finish_cleaning(coerced, eager_medians=True))
+    enriched = FE.engineer_features(C.finish_cleaning(coerced))
     grouped = written(S.all_summaries_grouping_sets(enriched).groupBy("grain").agg(
         F.count(F.lit(1)).alias("row_count")), "grain-counts")
 

@@ -20,6 +20,7 @@ from aloft.operators.ordered import written
 from aloft.plans import pipeline as P
 from aloft.plans import views as V
 from aloft.sources import csv_folder as CF
+from aloft.sources import layout, tables
 from aloft.sources import warehouse as W
 from aloft.sources.flightview import closed_form_score, flight_view
 
@@ -46,7 +47,7 @@ def staged(spark: SparkSession, sf: str, columns: Sequence[str] = fixed.RAW_COLU
 
 
 def cleaned(spark: SparkSession, sf: str, columns: Sequence[str] = fixed.RAW_COLUMNS) -> DataFrame:
-    return C.finish_cleaning(staged(spark, sf, columns), eager_medians=True)
+    return C.finish_cleaning(staged(spark, sf, columns))
 
 
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,6 +169,7 @@ def _registry() -> dict[str, Query]:
         raw(s, sf).toDF(*[f"  {c.lower()} " for c in fixed.RAW_COLUMNS]))
     q["csv_roundtrip"] = _csv_roundtrip
     q["partitioned_scan"] = _partitioned_scan
+    q["access_paths"] = _access_paths
     q["load_status"] = lambda s, sf: P.status_frame(
         s, P.load_tables(s, enriched(s, sf), P.new_scratch(s, "tables")))
     q["stage_counts"] = lambda s, sf: P.stage_counts(raw(s, sf))
@@ -275,11 +277,30 @@ def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 def _partitioned_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = P.new_scratch(spark, "flights-layout")
-    W.save_table(W.load_flights(enriched(spark, sf), staged=True), path, partition_by=P.FLIGHT_PARTITIONS,
-                 sort_by=P.FLIGHT_CLUSTER, tiebreak=("flight_id",))
+    flights = written(W.load_flights(enriched(spark, sf), staged=True), "flights")
+    W.save_table(flights, path, contract=W.FLIGHTS, **P.FLIGHT_LAYOUT)
     return W.read_table(spark, path, W.FLIGHTS)
 
 
+#: about so many files are written to show the access paths, whatever the table's size
+ACCESS_FILES = 256
+
+
+def _access_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """For each of the seven access paths of the served flights, looked up by the path's smallest value: the rows
+    found, and whether files were skipped.  One curve serves all paths here (no folders)."""
+    path = P.new_scratch(spark, "flights-access")
+    flights = written(W.load_flights(enriched(spark, sf), staged=True), "flights")
+    W.save_table(flights, path, contract=W.FLIGHTS, rows_per_file=max(1, flights.count() // ACCESS_FILES),
+                 **{**P.FLIGHT_LAYOUT, "partition_by": (), "cluster_by": (*P.FLIGHT_CLUSTER, "year", "month")})
+    least = flights.agg(*[F.min(c).alias(c) for c in ("origin", "dest", "route", "op_unique_carrier", "fl_date")],
+                        F.min(F.struct("year", "month")).alias("ym")).first()
+    probes = {c: {c: least[c]} for c in ("origin", "dest", "route", "op_unique_carrier", "fl_date")}
+    probes |= {"year, month": {"year": least["ym"]["year"], "month": least["ym"]["month"]}, "disrupted": {"disrupted": 1}}
+    report = layout.access_report(spark, tables.current(spark, path).folder, W.table_schema(W.FLIGHTS), probes)
+    return report.select("path", "probe", "rows", "rows_found", (F.col("files_kept") < F.col("files")).alias("skips"))
+
+
 _SUMMARY_LOADS = (
     ("airport_summary", lambda s, sf: S.airport_fragility(labelled(s, sf)), W.AIRPORT),
     ("route_summary", lambda s, sf: S.route_reliability(routes(s, sf)), W.ROUTE),

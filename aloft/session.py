@@ -122,25 +122,11 @@ def _release_quietly(spark: SparkSession) -> None:
         pass
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    fs, p = _file_system(spark, path)
+    fs, p = file_system(spark, path)
     fs.delete(p, True)
-
-
-def replace_path(spark: SparkSession, new: str, path: str) -> None:
-    """Put the finished folder ``new`` in the place of ``path``; the old one goes last."""
-    fs, target = _file_system(spark, path)
-    _, source = _file_system(spark, new)
-    _, old = _file_system(spark, new + ".old")
-    if fs.exists(target) and not fs.rename(target, old):
-        raise OSError(f"cannot move {path} aside")
-    fs.mkdirs(target.getParent())
-    if not fs.rename(source, target):
-        fs.rename(old, target)
-        raise OSError(f"cannot move {new} to {path}")
-    fs.delete(old, True)

@@ -3,24 +3,25 @@
 The warehouse holds six tables with declared types (``SMALLINT``, ``DATE``,
 ``CHAR(3)``, ``VARCHAR(n)``, ``DECIMAL(p,s)``).  ``conform`` turns a frame
 into exactly that shape (column subset and order, casts, length checks);
-``save_table`` writes it as parquet, optionally partitioned for pruning.
+``save_table`` writes it as parquet, optionally partitioned and clustered for
+pruning, checks its key, and only then lets readers see it.
 Double -> decimal casts round HALF_UP and overflow raises (ANSI), which is
 what a typed database load does.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from aloft.functions import fixed
 from aloft.functions.columns import iso_day_of_week, parse_date, to_double, to_int_half_even
 from aloft.operators.ordered import global_row_number
-from aloft.session import delete_path, replace_path
+from aloft.session import delete_path
+from aloft.sources import layout, tables
 
 
 @dataclass(frozen=True)
@@ -28,6 +29,7 @@ class Contract:
     name: str
     ddl: str  # "col TYPE, col TYPE, ..."
     key: tuple[str, ...] = ()
+    serial: bool = False  # the key is numbered 1..n by the load
 
     @property
     def columns(self) -> list[tuple[str, str]]:
@@ -71,7 +73,7 @@ FLIGHTS = Contract("flights_cleaned", """
     carrier_delay DECIMAL(6,1), weather_delay DECIMAL(6,1), nas_delay DECIMAL(6,1),
     security_delay DECIMAL(6,1), late_aircraft_delay DECIMAL(6,1),
     disrupted SMALLINT, is_weekend SMALLINT, dep_hour SMALLINT, arr_hour SMALLINT,
-    time_block VARCHAR(12)""", ("flight_id",))
+    time_block VARCHAR(12)""", ("flight_id",), serial=True)
 AIRPORT = Contract("airport_summary", """
     origin CHAR(3), total_flights INT, disrupted_flights INT,
     avg_dep_delay DECIMAL(6,2), avg_arr_delay DECIMAL(6,2),
@@ -265,8 +267,15 @@ def table_schema(contract: Contract) -> str:
 
 
 def read_table(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """Read a saved table with its declared schema; columns in contract order."""
-    return spark.read.schema(table_schema(contract)).parquet(path).select(*contract.names)
+    """Read the current version of a saved table with its declared schema; columns in contract order."""
+    return tables.read(spark, path, table_schema(contract)).select(*contract.names)
+
+
+def read_table_where(spark: SparkSession, path: str, contract: Contract, **conditions) -> DataFrame:
+    """The rows whose columns have the given values (or lie in a (low, high) range), read from the files
+    that can hold any; the table was saved with ``zones`` of these columns."""
+    folder = tables.current(spark, path).folder
+    return layout.read_files_where(spark, folder, table_schema(contract), conditions).select(*contract.names)
 
 
 def _csv_type(t: str) -> str:
@@ -276,29 +285,99 @@ def _csv_type(t: str) -> str:
     return {"INT": "INT", "SERIAL": "BIGINT"}.get(t, t)
 
 
-def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-               sort_by: Sequence[str] = (), tiebreak: Sequence[str] = ()) -> None:
-    """Write a served table as parquet.  ``partition_by`` gives directory pruning
-    (e.g. year, month); ``sort_by`` clusters rows inside each file so parquet
-    min/max statistics skip row groups for the other access paths.
+class KeyViolationError(ValueError):
+    pass
+
+
+#: parts of a 64-bit hash whose sums stay far below a long's range for 10**14 rows
+_PARTS = range(0, 64, 16)
+
 
-    Rows are range-partitioned on (partition, sort, tiebreak) columns rather than
-    hashed on the partition columns: a month holding a third of all flights is
-    then written by many tasks, not one.
+def _fingerprint(key: str) -> list[Column]:
+    """Sums that agree for two tables of the same keys, and by chance only for others (one in 2**64)."""
+    h = F.xxhash64(key)
+    return [F.coalesce(F.sum(F.shiftright(h, n).bitwiseAND(F.lit(0xFFFF).cast("long"))), F.lit(0)).alias(f"part_{n}")
+            for n in _PARTS]
 
-    The files go to a new folder, which takes the table's place when it is complete; a
-    failed write leaves the old table.
+
+def _observed(contract: Contract | None) -> list[Column]:
+    """What a load measures while it writes: rows, rows without a key, the numbers of a serial key."""
+    out = [F.count(F.lit(1)).alias("rows")]
+    if contract is not None and contract.key:
+        missing = F.col(contract.key[0]).isNull()
+        for k in contract.key[1:]:
+            missing = missing | F.col(k).isNull()
+        out.append(F.count_if(missing).alias("null_keys"))
+        if contract.serial:
+            out += _fingerprint(contract.key[0])
+    return out
+
+
+def check_key(spark: SparkSession, folder: str, contract: Contract, seen: dict) -> None:
+    """Raise ``KeyViolationError`` if the files just written break the table's primary key.
+
+    Rows without a key were counted during the write.  A serial key is checked without a shuffle: a
+    fingerprint of the numbers written must be that of 1..n.  Other keys are counted in the new files.
+    """
+    if seen["null_keys"]:
+        raise KeyViolationError(f"{contract.name}: {seen['null_keys']} row(s) without {', '.join(contract.key)}")
+    if contract.serial:
+        key = contract.key[0]
+        wanted = spark.range(1, seen["rows"] + 1).select(F.col("id").alias(key)).agg(*_fingerprint(key)).first()
+        if any(wanted[f"part_{n}"] != seen[f"part_{n}"] for n in _PARTS):
+            raise KeyViolationError(f"{contract.name}: {key} is not 1 to {seen['rows']}, each once")
+        return
+    written = spark.read.schema(table_schema(contract)).parquet(folder)
+    twice = written.groupBy(*contract.key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    bad = twice.agg(F.count(F.lit(1)).alias("keys"), F.min(F.struct(*contract.key)).alias("first")).first()
+    if bad["keys"]:
+        raise KeyViolationError(f"{contract.name}: {bad['keys']} duplicate key(s), the first {tuple(bad['first'])}")
+
+
+def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
+               tiebreak: Sequence[str] = (), contract: Contract | None = None, cluster_by: Sequence[str] = (),
+               zones: Sequence[str] = (), bloom: Sequence[str] = (), rows_per_file: int | None = None) -> int:
+    """Refresh a served table; returns its number of rows, counted during the write.
+
+    ``partition_by`` gives directory pruning (e.g. year, month).  Inside, rows are in the order of
+    ``sort_by``, then along a space-filling curve of the ``cluster_by`` columns, so that
+    files and row groups are narrow in each of them.  ``zones``: columns of the zone map behind
+    ``read_table_where``.  ``bloom``: columns with a Parquet bloom filter (written for the chunks that
+    have no dictionary, which serves the same).  ``rows_per_file``: a file's most rows.
+
+    Rows are range-partitioned on (partition, sort, curve, tiebreak) columns rather than hashed on
+    the partition columns: a month holding a third of all flights is then written by many tasks, not
+    one.
+
+    The files are a new version of the table; with a ``contract`` its primary key is checked before the
+    version is committed.  A failed write or a broken key leaves the old version in place.
     """
-    out = df
-    keys = [*partition_by, *sort_by, *tiebreak]
+    spark, out = df.sparkSession, df
+    keys = [*partition_by, *sort_by]
+    if cluster_by:
+        out, keys = layout.with_curve(out, cluster_by, "__curve"), [*keys, "__curve"]
+    keys += tiebreak
     if keys:
         out = out.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
-    w = out.write
+    seen = Observation()
+    w = out.drop("__curve").observe(seen, *_observed(contract)).write
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if rows_per_file:
+        w = w.option("maxRecordsPerFile", rows_per_file)
+    for c in bloom:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    folder = tables.new_version(path)
     try:
-        w.parquet(new)
-        replace_path(df.sparkSession, new, path)
-    finally:
-        delete_path(df.sparkSession, new)
+        w.parquet(folder)
+        if contract is not None and contract.key:
+            check_key(spark, folder, contract, seen.get)
+        if zones:
+            schema = table_schema(contract) if contract else df.schema
+            found = layout.zone_map(spark.read.schema(schema).parquet(folder), folder, zones)
+            found.write.parquet(f"{folder}/{layout.ZONES}")
+        tables.commit(spark, path, folder, seen.get["rows"])
+    except BaseException:
+        delete_path(spark, folder)
+        raise
+    return seen.get["rows"]
