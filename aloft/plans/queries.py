@@ -185,6 +185,7 @@ def _registry() -> dict[str, Query]:
     q["classification_report"] = lambda s, sf: M.classification_report(
         closed_form_score(ml_input(s, sf)))
     q["train_logistic"] = lambda s, sf: _train(s, sf, "lr")
+    q["logistic_gradient"] = _logistic_gradient
     q["train_forest"] = lambda s, sf: _train(s, sf, "rf")
     q["model_comparison"] = lambda s, sf: _train(s, sf, "both")
     q["rf_importance"] = _rf_importance
@@ -226,6 +227,12 @@ def _train(spark: SparkSession, sf: str, which: str) -> DataFrame:
     return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
 
+def _logistic_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """The gradient of the objective at the fitted coefficients: the certificate that they are the minimum."""
+    prep = _prepared(spark, sf)
+    return M.logistic_gradient(prep, M.logistic(prep.train))
+
+
 def _rf_importance(spark: SparkSession, sf: str) -> DataFrame:
     prep = _prepared(spark, sf)
     model = M.forest(prep.train)

@@ -1,11 +1,15 @@
 """Numeric behaviour of the ML operators off the fixture's range, and invariants of trained models."""
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from aloft.operators import clean as C
 from aloft.operators import ml as M
+from aloft.operators import newton
 from aloft.operators import summaries as S
 from aloft.plans import queries as Q
 
@@ -62,12 +66,55 @@ def test_logistic_regression_converges(prepared):
     x = np.array([r["features"].toArray() for r in rows])
     y = np.array([r[M.LABEL] for r in rows], dtype=float)
     w = np.array([r["weight"] for r in rows])
-    coef, b = model.coefficients.toArray(), model.intercept
+    coef, b = model.coefficients, model.intercept
     p = 1 / (1 + np.exp(-(x @ coef + b)))
     # gradient of mean weighted log loss + L2 / 2
     g = np.append(x.T @ (w * (p - y)) / w.sum() + coef / w.sum(), (w * (p - y)).sum() / w.sum())
-    assert np.linalg.norm(g) <= 1e-4
-    assert model.summary.totalIterations < 500
+    assert np.linalg.norm(g) <= 1e-9 and model.gradient_norm == pytest.approx(np.linalg.norm(g), abs=1e-10)
+    assert model.passes < 20
+
+
+def test_gradient_of_the_fit_in_duckdb(spark, prepared):
+    """The emitted coefficients, put into a statement that knows nothing of the fit."""
+    model = M.logistic(prepared.train)
+    rows = prepared.train.collect()
+    con = duckdb.connect()
+    x = pa.table({"r": range(len(rows)), "x": [[*r["features"].toArray().tolist(), 1.0] for r in rows],
+                  "y": [float(r[M.LABEL]) for r in rows], "w": [r["weight"] for r in rows]})
+    c = pa.table({"i": range(len(model.coefficients) + 1), "c": [*model.coefficients, model.intercept],
+                  "ridge": [1.0] * len(model.coefficients) + [0.0]})
+    con.register("x", x)
+    con.register("c", c)
+    worst, total = con.execute("""
+        WITH e AS (SELECT r, y, w, unnest(x) AS v, unnest(range(len(x))) AS i FROM x),
+        p AS (SELECT r, 1 / (1 + exp(-sum(v * c.c))) AS p FROM e JOIN c USING (i) GROUP BY r),
+        g AS (SELECT i, sum(w * (p - y) * v) + any_value(c.c * c.ridge) AS g FROM e JOIN p USING (r) JOIN c USING (i) GROUP BY i)
+        SELECT max(abs(g)) / (SELECT sum(w) FROM x), count(*) FROM g""").fetchone()
+    assert total == len(model.coefficients) + 1 and worst < 1e-6
+    found = M.logistic_gradient(prepared, model).collect()
+    assert len(found) == total and all(r["gradient"] == 0 for r in found)
+
+
+@pytest.mark.parametrize("dense", [False, True])
+def test_newton_on_hard_rows(spark, dense):
+    make = (lambda v: Vectors.dense(v)) if dense else (lambda v: Vectors.sparse(len(v), [(i, x) for i, x in enumerate(v) if x]))
+    r = np.random.default_rng(1)
+    rows = [(make([float(a), float(b), 0.0]), int(a > 0), 1.0 + abs(float(b))) for a, b in r.normal(size=(200, 2)) * [40, 1]]
+    train = spark.createDataFrame(rows, ["features", M.LABEL, "weight"])  # separable, with a column of zeros
+    model = newton.fit(train, M.LABEL, "weight")
+    assert model.gradient_norm < 1e-9 and model.coefficients[2] == 0 and model.coefficients[0] > 0
+    got = M.scored(model, train)
+    assert got.where("label <> pred").count() <= 1 and got.where("score < 0 or score > 1 or score is null").count() == 0
+    assert newton.fit(train.where("false"), M.LABEL, "weight").passes == 0
+
+
+def test_forest_does_not_follow_the_partitions(spark, prepared):
+    one = M.forest(prepared.train, trees=5)
+    other = M.forest(prepared.train.repartition(5), trees=5)
+    assert np.allclose(one.featureImportances.toArray(), other.featureImportances.toArray(), atol=1e-12)
+    imp = [tuple(r) for r in M.importances(spark, one, prepared.names, top=len(prepared.names)).collect()]
+    assert sum(x for _, x in imp) == pytest.approx(1.0) and imp == sorted(imp, key=lambda t: (-t[1], t[0]))
+    assert imp[:20] == [tuple(r) for r in M.importances(spark, one, prepared.names).collect()]
 
 
 def test_models_give_probabilities_and_importances(spark, prepared):
