@@ -34,14 +34,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aloft.llm import textops
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: the left neighbour of a piece's first token
 BOUNDARY = (1 << 30) - 1
-#: entries of one generation of a task's memories of pieces and of pairs; two generations are kept
-PIECE_MEMORY = 100_000
-PAIR_MEMORY = 250_000
-#: a piece of more characters is encoded, but not remembered
-LONGEST_REMEMBERED = 64
+#: entries of one generation of the memory of pairs; two generations are kept
+PAIR_MEMORY = 100_000
+#: slots of the table of pairs that batches use (a power of two); a later pair takes an earlier one's slot
+PAIR_SLOTS = 1 << 21
+#: pieces of more bytes are encoded one by one
+LONGEST_TOGETHER = 64
+#: bytes of text cut into pieces and encoded at once
+CHUNK_BYTES = 1 << 21
 #: characters behind a piece's end that can have a say in where it ends: contractions ('re) and a
 #: run of white space that gives its last character to the next piece look at most this far
 LOOK_AHEAD = 4
@@ -90,8 +95,6 @@ class PrefixTokenizer:
         self.token = {rank: token for token, rank in ranks.items()}
         if max(self.token) != len(self.token) - 1:
             raise ValueError("the ranks are not consecutive from 0")
-        #: one object for each id, shared by all remembered pieces
-        self.number = list(range(len(self.token)))
         self.split = regex.compile(pattern).findall
         self.match = regex.compile(pattern).search
         self.longest = max(map(len, ranks))
@@ -105,8 +108,10 @@ class PrefixTokenizer:
         #: (token before or BOUNDARY, token) as one number -> whether they can stand side by side
         self.pairs: dict[int, bool] = {}
         self.old_pairs: dict[int, bool] = {}
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
+        self._plant([t for t in ranks if self.merge(t) == [t]])
+        #: pairs by slot (prefix token * tokens + token), and whether they can stand side by side
+        self.slot_pair = np.full(PAIR_SLOTS, -1, dtype=np.int64)
+        self.slot_ok = np.zeros(PAIR_SLOTS, dtype=bool)
 
     def merge(self, piece: bytes, never: int = 0) -> list[bytes]:
         """Plain BPE on a few bytes: lowest rank first, the leftmost among equals.  It stops, with fewer
@@ -174,31 +179,154 @@ class PrefixTokenizer:
             return [whole]
         while p:
             t = table[p]
-            ids.append(self.number[t])
+            ids.append(t)
             p -= len(self.token[t])
         ids.reverse()
         return ids
 
-    def piece_ids(self, piece: str) -> tuple[int, ...]:
-        ids = self.old.get(piece)
-        if ids is None:
-            raw = piece.encode("utf-8")
-            whole = self.ranks.get(raw)
-            ids = (self.number[whole],) if whole is not None else tuple(self.follow(raw, self.table(raw)))
-        if len(piece) <= LONGEST_REMEMBERED:
-            if len(self.young) >= PIECE_MEMORY:
-                self.old, self.young = self.young, {}
-            self.young[piece] = ids
-        return ids
+    # -- many pieces at once ---------------------------------------------------------------------
+
+    def _plant(self, tokens: list[bytes]) -> None:
+        """The trie of all tokens as arrays: nodes with children come first and have a row of children."""
+        children: list[dict] = [{}]
+        rank = [-1]
+        for token in tokens:
+            node = 0
+            for byte in token:
+                below = children[node].get(byte)
+                if below is None:
+                    below = children[node][byte] = len(children)
+                    children.append({})
+                    rank.append(-1)
+                node = below
+            rank[node] = self.ranks[token]
+        order = np.argsort([not c for c in children], kind="stable")
+        place = np.empty(len(order), dtype=np.int32)
+        place[order] = np.arange(len(order), dtype=np.int32)
+        self.inner = sum(1 for c in children if c)
+        self.child = np.zeros((self.inner, 256), dtype=np.int32)  # 0, the root, is no node's child
+        for node, own in enumerate(children):
+            for byte, below in own.items():
+                self.child[place[node], byte] = place[below]
+        self.node_rank = np.array(rank, dtype=np.int32)[order]
+        self.size = np.array([len(self.token[i]) for i in range(len(self.token))], dtype=np.int32)
+
+    def _places(self, data: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first byte, token) of all tokens in ``data`` that end by their piece's ``stop``."""
+        at, node, depth = np.arange(len(data), dtype=np.int32), np.zeros(len(data), dtype=np.int32), 0
+        starts, tokens = [], []
+        while len(at):
+            node = self.child[node, data[at + depth]]
+            depth += 1
+            keep = node > 0
+            at, node = at[keep], node[keep]
+            rank = self.node_rank[node]
+            keep = rank >= 0
+            starts.append(at[keep])
+            tokens.append(rank[keep])
+            keep = (node < self.inner) & (at + depth < stop[at])
+            at, node = at[keep], node[keep]
+        return np.concatenate(starts), np.concatenate(tokens)
+
+    def _side_by_side(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Whether each token can follow the one before it (-2: nothing is before it)."""
+        ok = before == -2
+        some = np.flatnonzero(~ok)
+        pair = before[some].astype(np.int64) * len(self.token) + token[some]
+        slot = (pair * 0x9E3779B97F4A7C1 >> 20) & (PAIR_SLOTS - 1)
+        known = self.slot_pair[slot] == pair
+        ok[some[known]] = self.slot_ok[slot[known]]
+        if not known.all():
+            new, back = np.unique(pair[~known], return_inverse=True)
+            left, right = np.divmod(new, len(self.token))
+            found = np.array([self.compatible(a << 32 | b) for a, b in zip(left.tolist(), right.tolist())])
+            slot = (new * 0x9E3779B97F4A7C1 >> 20) & (PAIR_SLOTS - 1)
+            self.slot_pair[slot], self.slot_ok[slot] = new, found
+            # two new pairs of one slot: the answer must be that of the pair that is there
+            self.slot_ok[slot] = found[np.searchsorted(new, self.slot_pair[slot])]
+            ok[some[~known]] = found[back]
+        return ok
+
+    def _together(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each piece, all ids): the last tokens of all prefixes, by prefix length."""
+        size = np.array([len(p) for p in pieces], dtype=np.int64)
+        data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        first = np.cumsum(size) - size
+        piece = np.repeat(np.arange(len(pieces)), size)
+        at, token = self._places(data, (first + size)[piece])
+        # a piece of n bytes has n + 1 prefixes: their places in ``last``
+        begin = first + np.arange(len(pieces))
+        here = at + piece[at]
+        length = self.size[token]
+        level = here - begin[piece[at]] + length
+        order = np.argsort(level.astype(np.uint8), kind="stable")
+        here, token, there = here[order], token[order], (here + length)[order]
+        cuts = np.searchsorted(level[order], np.arange(1, LONGEST_TOGETHER + 2))
+        last = np.full(len(data) + len(pieces), -1, dtype=np.int32)
+        last[begin] = -2
+        for i, j in zip(cuts, cuts[1:]):
+            if i < j:
+                ok = self._side_by_side(last[here[i:j]], token[i:j])
+                last[there[i:j][ok]] = token[i:j][ok]
+        # back from the end of every piece
+        place, which = begin + size, np.arange(len(pieces))
+        steps = []
+        while len(which):
+            t = last[place]
+            steps.append((which, t))
+            place = place - self.size[t]
+            more = place > begin[which]
+            place, which = place[more], which[more]
+        count = np.bincount(np.concatenate([w for w, _ in steps]), minlength=len(pieces))
+        end = np.cumsum(count)
+        ids = np.empty(int(end[-1]), dtype=np.int32)
+        for k, (which, t) in enumerate(steps):
+            ids[end[which] - 1 - k] = t
+        return count, ids
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each piece, all ids) of some pieces."""
+        raw = [p.encode("utf-8") for p in pieces]
+        whole = list(map(self.ranks.get, raw))
+        count = np.ones(len(raw), dtype=np.int64)
+        short = [k for k, w in enumerate(whole) if w is None and len(raw[k]) <= LONGEST_TOGETHER]
+        parts: dict[int, list[int]] = {k: self.follow(raw[k], self.table(raw[k])) for k, w in enumerate(whole)
+                                       if w is None and len(raw[k]) > LONGEST_TOGETHER}
+        for k, ids in parts.items():
+            count[k] = len(ids)
+        if short:
+            n, found = self._together([raw[k] for k in short])
+            count[short] = n
+        end = np.cumsum(count)
+        out = np.empty(int(end[-1]) if len(end) else 0, dtype=np.int32)
+        direct = [k for k, w in enumerate(whole) if w is not None]
+        out[end[direct] - 1] = [whole[k] for k in direct]
+        if short:
+            inside = np.arange(len(found)) - np.repeat(np.cumsum(n) - n, n)
+            out[np.repeat(end[short] - n, n) + inside] = found
+        for k, ids in parts.items():
+            out[end[k] - len(ids):end[k]] = ids
+        return count, out
+
+    def encode_texts(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ends, all ids) of whole texts; every different piece is encoded once."""
+        number: dict[str, int] = {}
+        pieces: list[int] = []
+        ends = [0]
+        for text in texts:
+            if text:
+                pieces += [number.setdefault(p, len(number)) for p in self.split(text)]
+            ends.append(len(pieces))
+        count, ids = self.encode_pieces(list(number))
+        which = np.array(pieces, dtype=np.int64)
+        n = count[which]
+        upto = np.concatenate([[0], np.cumsum(n)])
+        inside = np.arange(int(upto[-1])) - np.repeat(upto[:-1], n)
+        return upto[ends], ids[np.repeat((np.cumsum(count) - count)[which], n) + inside]
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text."""
-        out: list[int] = []
-        known = self.young.get
-        for piece in self.split(text) if text else ():
-            ids = known(piece)
-            out += self.piece_ids(piece) if ids is None else ids
-        return out
+        return self.encode_texts([text])[1].tolist()
 
     def decode(self, ids: Sequence[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -289,14 +417,14 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, text_col: str = "text"
     schema = T.StructType([*docs.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = tokenizer(vocabulary).encode
+        ids_of = tokenizer(vocabulary).encode_texts
         for batch in batches:
-            flat, ends = array("i"), [0]
-            for text in batch.column(names.index(text_col)).to_pylist():
-                flat.extend(ids_of(text))
-                ends.append(len(flat))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*names, ids_col])
+            column = batch.column(names.index(text_col))
+            _, offsets = textops.utf8(column)
+            for i, j in textops.chunks(offsets, CHUNK_BYTES):
+                ends, ids = ids_of(column.slice(i, j - i).to_pylist())
+                encoded = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+                yield pa.RecordBatch.from_arrays([*batch.slice(i, j - i).columns, encoded], [*names, ids_col])
 
     return docs.mapInArrow(run, schema)
 
