@@ -57,7 +57,7 @@ def _letters() -> np.ndarray:
     global _ALPHA_READY
     if not _ALPHA_READY:
         _LETTER[:] = 0x20
-        letters = [c for c in range(0x30000) if chr(c).isalpha()]
+        letters = [c for c in range(len(_LETTER)) if chr(c).isalpha()]
         _LETTER[letters] = letters
         _ALPHA_READY = True
     return _LETTER
@@ -228,7 +228,9 @@ def train(docs: DataFrame, dim: int = DIM, k: int = CENTROIDS, sample_per_lang:
         c = kmeans(x, k)
         return pd.DataFrame({"lang": group["lang"].iloc[0], "c": [v.astype(np.float32).tobytes() for v in c]})
 
-    learned = (sample.select("lang", "doc_id", "text").mapInArrow(embed, "lang string, doc_id long, v binary")
+    embedded = T.StructType([T.StructField("lang", T.StringType()), T.StructField("doc_id", docs.schema["doc_id"].dataType),
+                             T.StructField("v", T.BinaryType())])
+    learned = (sample.select("lang", "doc_id", "text").mapInArrow(embed, embedded)
                .groupBy("lang").applyInPandas(cluster, "lang string, c binary").collect())
     learned.sort(key=lambda r: (r["lang"], bytes(r["c"])))  # k rows a language
     languages = [r["lang"] for r in learned]

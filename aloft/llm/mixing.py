@@ -115,7 +115,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents the mix takes (columns of ``docs``), with ``taken`` words, ``epochs``
     (how often the whole text is used) and ``part_words`` (words of one more, partial use).
 
-    Identical rows share what they take equally, rounded down.
+    Identical rows share what they take equally, rounded down.  Columns of ``docs`` with the names of the
+    three new ones, in any case, are replaced.
     """
     doc, th, source, taken, size = free_name(docs, "mix_doc", "mix_th", "mix_source", "mix_taken", "mix_size")
     plan = mix(docs, **options).groupBy(F.col("doc_id").alias(doc), F.col("th").alias(th),
@@ -123,6 +124,6 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         F.max("size").alias(size), F.expr("sum(taken) div count(1)").alias(taken))
     out = docs.join(plan, (text_hash(docs["text"]) == F.col(th)) & docs["doc_id"].eqNullSafe(F.col(doc))
                     & docs["source"].eqNullSafe(F.col(source))).where(F.col(taken) > 0)
-    return out.select(*[docs[c] for c in docs.columns if c not in ("taken", "epochs", "part_words")],
+    return out.select(*[docs[c] for c in docs.columns if c.lower() not in ("taken", "epochs", "part_words")],
                       F.col(taken).alias("taken"), F.expr(f"{taken} div {size}").alias("epochs"),
                       F.pmod(F.col(taken), F.col(size)).alias("part_words"))

@@ -12,11 +12,12 @@ similarity of 0.75 or more; groups are the connected components of the links.
    threshold, full shingle sets confirm the rest.
 3. Where a bucket still holds several components, its classes get a finer odd sketch of
    more samples, and those of different components are compared with each other, in
-   blocks: a task holds the sketches of two blocks of one bucket, and answers for the
-   pairs whose first common bucket it is.  First every class
-   passes on its nearest one of another component, which merges most components; then
-   all pairs of still different components whose sketches are near enough go on.  Full
-   sets confirm them.  Pairs of one component need no comparison.  Nothing is capped.
+   blocks: a task holds the sketches and the full sets of two blocks of one bucket, and answers
+   for the pairs whose first common bucket it is.  It confirms pairs on their full sets there, the
+   likeliest first, and passes on only links that join two components of what it has seen: a
+   forest, so what leaves a task grows with its classes, not with its pairs.  Pairs of one
+   component need no comparison.  Nothing is capped: where very many pairs are left to confirm, all
+   intersections of the two blocks are counted at once by a product of incidence matrices.
 
 A pair of exactly the threshold shares no band with probability
 (1 - 0.75**4)**32 = 5e-6; odd sketches reject below estimates of ``REJECT`` and
@@ -57,9 +58,14 @@ REJECT = 0.55
 FINE_SAMPLES = 512
 FINE_BITS = 2048
 FINE_REJECT = 0.65
-#: classes in one block of a bucket, members compared with one copy of a leader's text
+#: classes, and shingles of classes, in one block of a bucket; members compared with one copy of a leader's text
 BLOCK = 1024
+BLOCK_SHINGLES = 1 << 21
 MEMBERS = 256
+#: columns of an incidence matrix made at once; products of matrix elements that take the time of finding one
+#: shingle of one set in another
+COLUMNS = 4096
+FLOPS_A_SHINGLE = 500
 
 _K = BANDS * ROWS
 _A = textops.mix(np.arange(1, FINE_SAMPLES + 1, dtype=textops.U64)) | textops.U64(1)
@@ -214,18 +220,18 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, cid, comp, size) of the buckets (key, cid) that hold several components."""
+    """(key, cid, comp, size, shingles) of the buckets (key, cid, n) that hold several components."""
     named = stage(buckets.join(labels, buckets["cid"] == labels["node"], "left").select(
-        "key", "cid", F.coalesce("component", "cid").alias("comp")), "named")
-    several = stage(named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                             F.count(F.lit(1)).alias("size")).where("x < y").select("key", "size"),
+        "key", "cid", "n", F.coalesce("component", "cid").alias("comp")), "named")
+    several = stage(named.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count(F.lit(1)).alias("size"),
+                                             F.sum("n").alias("shingles")).where("x < y").select("key", "size", "shingles"),
                     "several")
-    return stage(named.join(several, "key"), "mixed")
+    return stage(named.drop("n").join(several, "key"), "mixed")
 
 
 def _fine_sketches(texts: DataFrame, mixed: DataFrame) -> DataFrame:
-    """(cid, fine, short): the finer odd sketch of the classes in mixed buckets, and the lower 32
-    bits of all their band keys."""
+    """(cid, fine, short, own): the finer odd sketch of the classes in mixed buckets, the lower 32
+    bits of all their band keys, and their sorted shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = textops.utf8(b.column(1))
@@ -234,71 +240,134 @@ def _fine_sketches(texts: DataFrame, mixed: DataFrame) -> DataFrame:
                 values, first = shingles(data[base:offsets[j]], offsets[i:j + 1] - base)  # no text is without words
                 sample = samples(values, first, FINE_SAMPLES)
                 bits, keys = odd_sketches(sample, FINE_BITS), band_keys(sample[:, :_K]).astype(np.uint32)
+                own = [np.unique(values[s:e]).tobytes() for s, e in zip(first, first[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array([x.tobytes() for x in bits], pa.binary()),
-                     pa.array([x.tobytes() for x in keys], pa.binary())], ["cid", "fine", "short"])
+                     pa.array([x.tobytes() for x in keys], pa.binary()), pa.array(own, pa.binary())],
+                    ["cid", "fine", "short", "own"])
 
     return texts.join(mixed.select("cid").distinct(), "cid").select("cid", "text").mapInArrow(
-        run, "cid long, fine binary, short binary")
-
-
-def _across(mixed: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
-    """Pairs of classes in one bucket, but different components, with near sketches.
-
-    A bucket is cut into blocks; a pair of blocks is one group, whose task compares sketches
-    as matrices.  With ``nearest`` a class passes on only its nearest one in the other block.
+        run, "cid long, fine binary, short binary, own binary")
+
+
+class Block:
+    """Classes of one block of a bucket."""
+
+    def __init__(self, rows: list):
+        bits = lambda k: np.frombuffer(b"".join(r[k] for r in rows), dtype=np.uint64).reshape(len(rows), -1)
+        self.cid, self.comp, self.n = (np.array([r[k] for r in rows], dtype=np.int64) for k in range(3))
+        self.sketch, self.fine = bits(3), bits(4)
+        self.short = bits(5).view(np.uint32).reshape(len(rows), -1)
+        self.own = [np.frombuffer(r[6], dtype=np.uint64) for r in rows]
+
+    def candidates(self, other: Block, band: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of different components whose sketches allow the threshold, the likeliest first; only those
+        that share no earlier band."""
+        far = np.zeros((len(self.cid), len(other.cid)), dtype=np.int64)
+        for w in range(self.sketch.shape[1]):
+            far += np.bitwise_count(self.sketch[:, w][:, None] ^ other.sketch[:, w][None, :])
+        ok = (ESTIMATE[far] >= REJECT) & (self.comp[:, None] != other.comp[None, :])
+        small, large = np.minimum(self.n[:, None], other.n[None, :]), np.maximum(self.n[:, None], other.n[None, :])
+        ok &= 100 * small >= PERCENT * large
+        if self is other:
+            ok &= self.cid[:, None] < other.cid[None, :]
+        u, v = np.nonzero(ok)
+        here, likely = np.zeros(len(u), dtype=bool), np.empty(len(u))
+        for s in range(0, len(u), 1 << 15):
+            e = s + (1 << 15)
+            here[s:e] = (self.short[u[s:e]] == other.short[v[s:e]]).argmax(axis=1) == band
+            likely[s:e] = FINE_ESTIMATE[np.bitwise_count(self.fine[u[s:e]] ^ other.fine[v[s:e]]).sum(axis=1, dtype=np.int64)]
+        near = np.flatnonzero(here & (likely >= FINE_REJECT))
+        near = near[np.argsort(-likely[near], kind="stable")]
+        return u[near], v[near]
+
+    def common(self, other: Block, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Sizes of the intersections of some pairs, by whichever way is shorter."""
+        rows, cols = np.unique(u), np.unique(v)
+        left, right = [self.own[k] for k in rows], [other.own[k] for k in cols]
+        both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+        if len(u) * int(self.n[rows].mean()) * FLOPS_A_SHINGLE < len(rows) * len(cols) * len(both):
+            return np.array([len(np.intersect1d(self.own[a], other.own[b], assume_unique=True))
+                             for a, b in zip(u.tolist(), v.tolist())], dtype=np.int64)
+
+        def places(sets: list) -> tuple[np.ndarray, np.ndarray]:
+            flat = np.concatenate(sets)
+            at = np.minimum(np.searchsorted(both, flat), len(both) - 1)
+            row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            shared = both[at] == flat
+            order = np.argsort(at[shared], kind="stable")
+            return row[shared][order], at[shared][order]
+
+        total = np.zeros((len(left), len(right)), dtype=np.int64)
+        if len(both):
+            (lr, lc), (rr, rc) = places(left), places(right)
+            for s in range(0, len(both), COLUMNS):
+                sides = []
+                for r, c, n in ((lr, lc, len(left)), (rr, rc, len(right))):
+                    i, j = np.searchsorted(c, [s, s + COLUMNS])
+                    m = np.zeros((n, COLUMNS), dtype=np.float32)
+                    m[r[i:j], c[i:j] - s] = 1
+                    sides.append(m)
+                total += (sides[0] @ sides[1].T).astype(np.int64)
+        return total[np.searchsorted(rows, u), np.searchsorted(cols, v)]
+
+    def forest(self, other: Block, band: int) -> list[tuple[int, int]]:
+        """Confirmed links (cid, cid) that join different components; those that join the same ones again are
+        left out."""
+        parent: dict[int, int] = {}
+
+        def root(c: int) -> int:
+            while (up := parent.get(c, c)) != c:
+                parent[c] = c = parent.get(up, up)
+            return c
+
+        u, v = self.candidates(other, band)
+        out, step = [], 256
+        while len(u):
+            # a few at first: what they join need not be compared any more
+            a, b = u[:step], v[:step]
+            shared = self.common(other, a, b)
+            linked = 100 * shared >= PERCENT * (self.n[a] + other.n[b] - shared)
+            for x, y in zip(a[linked].tolist(), b[linked].tolist()):
+                one, two = root(int(self.comp[x])), root(int(other.comp[y]))
+                if one != two:
+                    parent[max(one, two)] = min(one, two)
+                    out.append((int(self.cid[x]), int(other.cid[y])))
+            u, v = u[step:], v[step:]
+            if len(u) and linked.any():
+                names = np.unique(np.concatenate([self.comp, other.comp]))
+                roots = np.array([root(int(c)) for c in names.tolist()])
+                apart = roots[np.searchsorted(names, self.comp[u])] != roots[np.searchsorted(names, other.comp[v])]
+                u, v = u[apart], v[apart]
+            step *= 4
+        return out
+
+
+def _links_across(mixed: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Links (a, b) between classes of one bucket, but different components: all that are needed to join them.
+
+    A bucket is cut into blocks; a pair of blocks is one group of rows, solved in one task.
     """
-    rows = mixed.withColumn("blocks", F.expr(f"(size + {BLOCK} - 1) div {BLOCK}"))
+    blocks = F.expr(f"greatest((size + {BLOCK} - 1) div {BLOCK}, (shingles + {BLOCK_SHINGLES} - 1) div {BLOCK_SHINGLES})")
+    rows = mixed.withColumn("blocks", blocks)
     rows = rows.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
     # every pair of blocks (i <= j): a row goes to all pairs that have its block
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
         "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cid", "comp")
     dealt = dealt.join(sketches, "cid")
 
-    def compare(x: list, y: list, same: bool, band: int) -> tuple[np.ndarray, np.ndarray]:
-        (cx, px, nx, sx, fx, bx), (cy, py, ny, sy, fy, by) = x, y
-        far = np.zeros((len(cx), len(cy)), dtype=np.int64)
-        for w in range(sx.shape[1]):
-            far += np.bitwise_count(sx[:, w][:, None] ^ sy[:, w][None, :])
-        ok = (ESTIMATE[far] >= REJECT) & (px[:, None] != py[None, :])
-        ok &= 100 * np.minimum(nx[:, None], ny[None, :]) >= PERCENT * np.maximum(nx[:, None], ny[None, :])
-        if same:
-            ok &= cx[:, None] < cy[None, :]
-        u, v = np.nonzero(ok)
-        here = np.zeros(len(u), dtype=bool)  # no earlier band is common: another task answers for the rest
-        for s in range(0, len(u), 1 << 15):
-            e = s + (1 << 15)
-            here[s:e] = (bx[u[s:e]] == by[v[s:e]]).argmax(axis=1) == band
-        u, v = u[here], v[here]
-        likely = np.empty(len(u))
-        for s in range(0, len(u), 1 << 15):
-            e = s + (1 << 15)
-            likely[s:e] = FINE_ESTIMATE[np.bitwise_count(fx[u[s:e]] ^ fy[v[s:e]]).sum(axis=1, dtype=np.int64)]
-        near = likely >= FINE_REJECT
-        u, v, likely = u[near], v[near], likely[near]
-        if nearest and len(u):
-            order = np.argsort(-likely, kind="stable")
-            keep = np.union1d(order[np.unique(u[order], return_index=True)[1]],
-                              order[np.unique(v[order], return_index=True)[1]])
-            u, v = u[keep], v[keep]
-        return np.minimum(cx[u], cy[v]), np.maximum(cx[u], cy[v])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: dict[int, list] = {}
         at = None
 
-        def bitmaps(rows_: list, k: int) -> np.ndarray:
-            return np.frombuffer(b"".join(r[k] for r in rows_), dtype=np.uint64).reshape(len(rows_), -1)
-
         def solve() -> Iterator[pa.RecordBatch]:
-            sides = [[np.array([r[0] for r in g]), np.array([r[1] for r in g]), np.array([r[2] for r in g]),
-                      bitmaps(g, 3), bitmaps(g, 4), bitmaps(g, 5).view(np.uint32).reshape(len(g), -1)]
-                     for g in group.values()]
+            sides = [Block(g) for g in group.values()]
             if len(sides) == 2 or (len(sides) == 1 and at[1] == at[2]):
-                band = int(np.flatnonzero(sides[0][5][0] == np.uint32(at[0] & 0xFFFFFFFF))[0])
-                a, b = compare(sides[0], sides[-1], len(sides) == 1, band)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                band = int(np.flatnonzero(sides[0].short[0] == np.uint32(at[0] & 0xFFFFFFFF))[0])
+                found = sides[0].forest(sides[-1], band)
+                if found:
+                    a, b = np.array(found, dtype=np.int64).T
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
         for t in batches:
             for key, i, j, block, *row in zip(*(c.to_pylist() for c in t.columns)):
@@ -310,7 +379,7 @@ def _across(mixed: DataFrame, sketches: DataFrame, nearest: bool) -> DataFrame:
         if group:
             yield from solve()
 
-    return (dealt.select("key", "i", "j", "block", "cid", "comp", "n", "sketch", "fine", "short")
+    return (dealt.select("key", "i", "j", "block", "cid", "comp", "n", "sketch", "fine", "short", "own")
             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
             .mapInArrow(run, "a long, b long"))
 
@@ -325,10 +394,10 @@ def group_documents(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc_id")).select(
         F.monotonically_increasing_id().alias("cid"), "cls", "doc_id", "r.*"), "classes")
 
-    bands = classes.select(F.explode("bands").alias("key"), "cid")
+    bands = classes.select(F.explode("bands").alias("key"), "cid", "n")
     leaders = stage(bands.groupBy("key").agg(F.min("cid").alias("leader"), F.count(F.lit(1)).alias("size"))
                     .where("size > 1").select("key", "leader"), "leaders")
-    buckets = stage(bands.join(leaders, "key").select("key", "cid", "leader"), "buckets")
+    buckets = stage(bands.join(leaders, "key").select("key", "cid", "n", "leader"), "buckets")
     star = buckets.where("cid <> leader").select(F.col("leader").alias("a"), F.col("cid").alias("b")).distinct()
     involved = classes.join(buckets.select("cid").distinct(), "cid").select(
         "cid", F.col("doc_id").alias("l_doc"), F.col("th").alias("l_th"))
@@ -338,13 +407,9 @@ def group_documents(docs: DataFrame) -> DataFrame:
     links = _confirm(stage(_near(star, classes), "near"), texts)
     star = lambda labels: labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
     labels = stage(components(links), "labels")
-    mixed = _mixed(buckets.select("key", "cid"), labels)
+    mixed = _mixed(buckets.select("key", "cid", "n"), labels)
     sketches = stage(classes.select("cid", "n", "sketch").join(_fine_sketches(texts, mixed), "cid"), "fine")
-    tried = stage(_across(mixed, sketches, nearest=True), "nearest")
-    labels = stage(components(star(labels).unionByName(_confirm(tried, texts))), "labels")
-    mixed = _mixed(mixed.select("key", "cid"), labels)
-    rest = stage(_across(mixed, sketches, nearest=False).join(tried, ["a", "b"], "left_anti"), "across")
-    labels = components(star(labels).unionByName(_confirm(rest, texts)))
+    labels = components(star(labels).unionByName(stage(_links_across(mixed, sketches), "across")))
 
     grouped = classes.join(labels, classes["cid"] == labels["node"], "left").select(
         "cls", F.coalesce("component", "cid").alias("component"), "doc_id", "th")
@@ -361,11 +426,11 @@ def group_documents(docs: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """The documents that stay: one of each group, and all without words (columns of ``docs``)."""
-    th, doc, place = free_name(docs, "near_th", "near_doc", "near_place")
+    th, own, doc, place = free_name(docs, "near_th", "near_own", "near_doc", "near_place")
     keep = group_documents(docs).where("first").select(
         F.col("doc_id").alias(doc), F.col("th").alias(th), (F.col("n_shingles") > 0).alias("one")).distinct()
-    named = docs.withColumn(th + "_own", text_hash(F.col("text")))
-    kept = named.join(keep, (F.col(th + "_own") == F.col(th)) & F.col("doc_id").eqNullSafe(F.col(doc)))
+    named = docs.withColumn(own, text_hash(F.col("text")))
+    kept = named.join(keep, (F.col(own) == F.col(th)) & F.col("doc_id").eqNullSafe(F.col(doc)))
     # rows of the same id and text: one stays
     over = Window.partitionBy(th, doc).orderBy(F.lit(0))
     return kept.withColumn(place, F.row_number().over(over)).where(
