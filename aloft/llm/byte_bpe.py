@@ -108,43 +108,71 @@ class PrefixTokenizer:
         #: (token before or BOUNDARY, token) as one number -> whether they can stand side by side
         self.pairs: dict[int, bool] = {}
         self.old_pairs: dict[int, bool] = {}
+        self.stories: dict[int, tuple] = {}
         self._plant([t for t in ranks if self.merge(t) == [t]])
         #: pairs by slot (prefix token * tokens + token), and whether they can stand side by side
         self.slot_pair = np.full(PAIR_SLOTS, -1, dtype=np.int64)
         self.slot_ok = np.zeros(PAIR_SLOTS, dtype=bool)
 
-    def merge(self, piece: bytes, never: int = 0) -> list[bytes]:
-        """Plain BPE on a few bytes: lowest rank first, the leftmost among equals.  It stops, with fewer
-        merges done, when one would cross byte ``never``."""
+    def merge(self, piece: bytes) -> list[bytes]:
+        """Plain BPE on a few bytes: lowest rank first, the leftmost among equals."""
         rank, none = self.ranks.get, len(self.token)
         parts = [piece[i:i + 1] for i in range(len(piece))]
-        ends = list(range(1, len(piece) + 1))
         ranks = [rank(a + b, none) for a, b in zip(parts, parts[1:])]
         while ranks:
             least = min(ranks)
             if least == none:
                 break
             at = ranks.index(least)
-            if ends[at] == never:
-                break
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-            del ends[at], ranks[at]
+            del ranks[at]
             if at < len(ranks):
                 ranks[at] = rank(parts[at] + parts[at + 1], none)
             if at:
                 ranks[at - 1] = rank(parts[at - 1] + parts[at], none)
         return parts
 
+    def story(self, token: int) -> tuple[list[int], list[bytes], list[bytes]]:
+        """How merges make a token of its bytes: the rank of each merge, and the first and the last part
+        before it (and at the end)."""
+        found = self.stories.get(token)
+        if found is None:
+            whole = self.token[token]
+            parts, ranks, firsts, lasts = [whole[i:i + 1] for i in range(len(whole))], [], [whole[:1]], [whole[-1:]]
+            while len(parts) > 1:
+                least, at = min((r, i) for i in range(len(parts) - 1)
+                                if (r := self.ranks.get(parts[i] + parts[i + 1])) is not None)
+                parts[at:at + 2] = [parts[at] + parts[at + 1]]
+                ranks.append(least)
+                firsts.append(parts[0])
+                lasts.append(parts[-1])
+            found = self.stories[token] = ranks + [len(self.token)], firsts, lasts
+        return found
+
+    def stays_apart(self, left: int, right: int) -> bool:
+        """Whether merges of two tokens' bytes make just these tokens: both stories are told in the order of
+        ranks, and no merge of their neighbouring parts may come before what is told next."""
+        (here, _, lasts), (there, firsts, _) = self.story(left), self.story(right)
+        i = j = 0
+        none, rank = len(self.token), self.ranks.get
+        while True:
+            across, a, b = rank(lasts[i] + firsts[j], none), here[i], there[j]
+            if across < a and across <= b:  # the leftmost of equal ranks is merged first
+                return False
+            if a == b == none:
+                return True
+            if a <= b:
+                i += 1
+            else:
+                j += 1
+
     def compatible(self, pair: int) -> bool:
         """Whether a token can follow another (or a boundary) in a result."""
         ok = self.old_pairs.get(pair)
         if ok is None:
-            before, token = pair >> 32, self.token[pair & 0xFFFFFFFF]
-            if before == BOUNDARY:
-                ok = True  # tokens that no merge makes are not looked for
-            else:
-                left = self.token[before]
-                ok = self.merge(left + token, len(left)) == [left, token] and left + token not in self.ranks
+            before = pair >> 32
+            # at a boundary all fit: tokens that no merge makes are not looked for
+            ok = before == BOUNDARY or self.stays_apart(before, pair & 0xFFFFFFFF)
         if len(self.pairs) >= PAIR_MEMORY:
             self.old_pairs, self.pairs = self.pairs, {}
         self.pairs[pair] = ok
@@ -310,15 +338,16 @@ class PrefixTokenizer:
 
     def encode_texts(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ends, all ids) of whole texts; every different piece is encoded once."""
-        number: dict[str, int] = {}
-        pieces: list[int] = []
+        pieces: list[str] = []
         ends = [0]
         for text in texts:
             if text:
-                pieces += [number.setdefault(p, len(number)) for p in self.split(text)]
+                pieces += self.split(text)
             ends.append(len(pieces))
-        count, ids = self.encode_pieces(list(number))
-        which = np.array(pieces, dtype=np.int64)
+        different = list(dict.fromkeys(pieces))
+        number = dict(zip(different, range(len(different))))
+        which = np.fromiter(map(number.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        count, ids = self.encode_pieces(different)
         n = count[which]
         upto = np.concatenate([[0], np.cumsum(n)])
         inside = np.arange(int(upto[-1])) - np.repeat(upto[:-1], n)

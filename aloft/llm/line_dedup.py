@@ -1,23 +1,24 @@
 """Line dedup: a suffix array over line-ID sequences by distributed prefix doubling.
 
-A text's lines (split at \\n) that have a word form its sequence; other lines are
-skipped and never deleted.  From every line the shortest run of consecutive lines of
-the sequence that has ``min_words`` words is taken; where it also starts at an earlier
-place (a smaller doc_id, or further up in the same text) it is a later copy: its lines
-are deleted.  The statement of the query (``OP10``) defines it so.  Therefore the last
-lines of a longer copy stay where fewer than ``min_words`` words are left from them on,
-unless a run that starts before reaches over them.
+A text's lines (split at \n) that have a word form its sequence; other lines are
+skipped and never deleted.  A run of consecutive lines of the sequence that has
+``min_words`` words or more and also starts at an earlier place (a smaller doc_id, or further
+up in the same text) is a later copy, and all its lines are deleted.  So each maximal
+repeated run stays where it stands first, and goes to its last line everywhere else.  A repeat
+of fewer words stays.
 
 1. Lines become line-IDs: ordered ranks of their two 64-bit hashes; a line that
    occurs once cannot be part of a repeated run and leaves.
 2. Prefix doubling: the rank of the 2h lines from a position is the rank of the pair
    (rank of the first h, rank of the next h); a position whose pair occurs once
    leaves.  Ranks are numbered by a distributed sort of the distinct pairs.
-3. A run reaches ``min_words`` words after m lines, whatever follows.  All suffixes that
-   agree in these m lines form one interval of the suffix array with a longest common
-   prefix of m lines or more; two overlapping ranks of h <= m < 2h lines name it.  The
-   interval's first place in document order is the original, every other one a later
-   copy; neighbouring copies add up to the repeated run, but for such last lines.
+3. All suffixes that agree in their first m lines form one interval of the suffix array with a
+   longest common prefix of m lines or more; two overlapping ranks of h <= m < 2h lines name
+   it.  The interval's first place in document order is the original, every other one a later
+   copy.  Of all runs only two kinds are looked up: the shortest one with ``min_words`` words
+   from each line on, and the shortest one that ends with each line.  They add up to the
+   maximal runs: a line of a repeated run lies in the shortest run from the run's start, or
+   else the shortest run that ends with the line lies in the repeated run, and is repeated, too.
 
 No line has fewer than one word, so m <= min_words and the number of doublings is
 bounded by it, not by the longest run.  Every step is a partial aggregate, a
@@ -68,13 +69,28 @@ def lines_of(data: np.ndarray, offsets: np.ndarray):
     return row, first, np.minimum(stop, offsets[row + 1]), n
 
 
+def shortest_runs(words: np.ndarray, first: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, lines) of the shortest runs with ``min_words`` words: from each line on and up to each line,
+    inside the rows that begin at ``first``; every run once, in order."""
+    total = np.concatenate([[0], np.cumsum(words)])
+    at = np.arange(len(words))
+    row = np.searchsorted(first, at, side="right") - 1
+    stop = np.searchsorted(total, total[:-1] + min_words)  # lines before it hold enough
+    start = np.searchsorted(total, total[1:] - min_words, side="right") - 1
+    on, upto = stop <= first[row + 1], (total[1:] >= min_words) & (start >= first[row])
+    # a run has at most min_words lines
+    runs = np.unique(np.concatenate([at[on] * (min_words + 1) + (stop - at)[on],
+                                     start[upto] * (min_words + 1) + (at + 1 - start)[upto]]))
+    return np.divmod(runs, min_words + 1)
+
+
 def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, th, pos, one, two, m): hashes of every line that has a word and the number of
-    lines from it that reach ``min_words`` words (null: the text ends before)."""
+    """(doc_id, th, pos, one, two, runs): hashes of every line that has a word, and the lengths in lines of
+    the shortest runs that start with it (none: no run that is looked up does)."""
     schema = T.StructType([
         T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("th", T.LongType()),
         T.StructField("pos", T.LongType()), T.StructField("one", T.LongType()), T.StructField("two", T.LongType()),
-        T.StructField("m", T.LongType())])
+        T.StructField("runs", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -87,15 +103,15 @@ def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
                     continue
                 first = np.searchsorted(row, np.arange(j - i + 1))
                 at = np.arange(len(row))
-                total = np.concatenate([[0], np.cumsum(n)])
-                reach = np.searchsorted(total, total[:-1] + min_words)  # lines before it hold enough
-                m = pa.array(reach - at, mask=reach > first[row + 1])
+                start, size = shortest_runs(n, first, min_words)
+                runs = pa.ListArray.from_arrays(pa.array(np.searchsorted(start, np.arange(len(row) + 1)), pa.int32()),
+                                                pa.array(size, pa.int64()))
                 values = textops.byte_values(piece)
                 rows = pa.array(row + i)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(rows), b.column(1).take(rows), pa.array(at - first[row]),
                      pa.array(textops.signed(textops.span_hash(values, s, e))),
-                     pa.array(textops.signed(textops.span_hash(values, s, e, textops.MULT_B))), m], schema.names)
+                     pa.array(textops.signed(textops.span_hash(values, s, e, textops.MULT_B))), runs], schema.names)
 
     return docs.select("doc_id", text_hash(F.col("text")).alias("th"), "text").mapInArrow(run, schema)
 
@@ -110,24 +126,24 @@ def _ranked(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Later copies (doc_id, th, pos, m): m lines from pos also start at an earlier place."""
     rows = line_rows(docs, min_words)
-    rank = stage(_ranked(rows, ["one", "two"], "rank").select("doc_id", "th", "pos", "m", "rank"), "line-rank-1")
+    rank = stage(_ranked(rows, ["one", "two"], "rank").select("doc_id", "th", "pos", "runs", "rank"), "line-rank-1")
     place = ["doc_id", "th", "pos"]
     intervals, h = None, 1
     while True:
         # runs of h <= m < 2h lines: named by the ranks of their first and their last h lines
-        own = rank.where((F.col("m") >= h) & (F.col("m") < 2 * h))
+        own = rank.select(*place, "rank", F.explode(F.filter("runs", lambda m: (m >= h) & (m < 2 * h))).alias("m"))
         last = rank.select(*[F.col(c).alias(f"o_{c}") for c in place], F.col("rank").alias("last"))
         found = own.join(last, F.col("doc_id").eqNullSafe(F.col("o_doc_id")) & (F.col("th") == F.col("o_th"))
                          & (F.col("pos") + F.col("m") - h == F.col("o_pos"))).select(*place, "m", "rank", "last") \
             if h > 1 else own.select(*place, "m", "rank", F.lit(0).cast("long").alias("last"))
         intervals = found if intervals is None else intervals.unionByName(found)
-        if 2 * h > min_words or rank.where(F.col("m") >= 2 * h).isEmpty():
+        if 2 * h > min_words or rank.where(F.exists("runs", lambda m: m >= 2 * h)).isEmpty():
             break
         paired = rank.join(last, F.col("doc_id").eqNullSafe(F.col("o_doc_id")) & (F.col("th") == F.col("o_th"))
                            & (F.col("pos") + h == F.col("o_pos"))).select(
-            *place, "m", F.col("rank").alias("head"), F.col("last").alias("tail"))
+            *place, "runs", F.col("rank").alias("head"), F.col("last").alias("tail"))
         h *= 2
-        rank = stage(_ranked(paired, ["head", "tail"], "rank").select(*place, "m", "rank"), f"line-rank-{h}")
+        rank = stage(_ranked(paired, ["head", "tail"], "rank").select(*place, "runs", "rank"), f"line-rank-{h}")
     intervals = stage(intervals, "line-intervals")
     order = F.struct(F.col("doc_id").isNull().alias("n"), *place)
     originals = stage(intervals.groupBy("m", "rank", "last").agg(
@@ -173,7 +189,7 @@ _SPACES = bytes(c for c in range(256) if textops.IS_SPACE[c])
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the later copies of line runs; a document of which nothing is left goes.
 
-    ``n_chars``, where there is one, follows the text.
+    ``n_chars``, where there is one (in any case), follows the text.
     """
     th, doc, text, left = free_name(docs, "line_th", "line_doc", "line_text", "line_left")
     done = delete_copies(docs, min_words).where("n_deleted > 0").select(
@@ -182,9 +198,8 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     changed = F.col(text).isNotNull()
     out = docs.join(done, (text_hash(docs["text"]) == F.col(th)) & docs["doc_id"].eqNullSafe(F.col(doc)), "left")
     out = out.where(~changed | F.col(left)).withColumn("text", F.when(changed, F.col(text)).otherwise(docs["text"]))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(changed, F.char_length("text").cast(docs.schema["n_chars"].dataType))
-                             .otherwise(F.col("n_chars")))
+    for c in (c for c in docs.columns if c.lower() == "n_chars"):
+        out = out.withColumn(c, F.when(changed, F.char_length("text").cast(docs.schema[c].dataType)).otherwise(F.col(c)))
     return out.select(*docs.columns)
 
 

@@ -139,15 +139,12 @@ OP10 = f"""
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x,
                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line FROM documents),
 w AS (SELECT doc_id, x, line, len({WORDS.format("x")}) AS n FROM l),
-s AS (SELECT doc_id, line, x, n, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS p,
-             sum(n) OVER (PARTITION BY doc_id ORDER BY line) AS upto FROM w WHERE n > 0),
-m AS (SELECT a.doc_id, a.p, min(b.p) - a.p + 1 AS m FROM s a JOIN s b
-        ON a.doc_id = b.doc_id AND b.p >= a.p AND b.p < a.p + 20 AND b.upto - a.upto + a.n >= 20 GROUP BY a.doc_id, a.p),
-run AS (SELECT m.doc_id, m.p, m.m, string_agg(b.x, chr(10) ORDER BY b.p) AS t FROM m JOIN s b
-        ON b.doc_id = m.doc_id AND b.p >= m.p AND b.p < m.p + m.m GROUP BY m.doc_id, m.p, m.m),
-f AS (SELECT t, m, min((doc_id, p)) AS first FROM run GROUP BY t, m),
-gone AS (SELECT DISTINCT doc_id, q FROM (SELECT run.doc_id, unnest(range(run.p, run.p + run.m)) AS q
-         FROM run JOIN f ON f.t = run.t AND f.m = run.m WHERE (run.doc_id, run.p) > f.first)),
+s AS (SELECT doc_id, line, x, n, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS p FROM w WHERE n > 0),
+pairs AS (SELECT a.doc_id, a.p, a.n, b.doc_id AS other, a.p - b.p AS d FROM s a JOIN s b
+          ON a.x = b.x AND (b.doc_id, b.p) < (a.doc_id, a.p)),
+island AS (SELECT *, p - row_number() OVER (PARTITION BY doc_id, other, d ORDER BY p) AS g FROM pairs),
+run AS (SELECT doc_id, min(p) AS first, max(p) AS last FROM island GROUP BY doc_id, other, d, g HAVING sum(n) >= 20),
+gone AS (SELECT DISTINCT doc_id, unnest(range(first, last + 1)) AS q FROM run),
 left_ AS (SELECT w.doc_id, string_agg(w.x, chr(10) ORDER BY w.line) AS t, count(s.p) AS n FROM w
           LEFT JOIN s ON s.doc_id = w.doc_id AND s.line = w.line
           LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.q = s.p WHERE gone.q IS NULL GROUP BY w.doc_id),

@@ -103,3 +103,10 @@ def test_columns(spark):
     with pytest.raises(Exception, match="no token has the id"):
         B.decode(spark.createDataFrame([(1, [5, -1])], "k int, ids array<int>")).collect()
     assert B.decode(spark.createDataFrame([(1, None)], "k int, ids array<int>")).first()["decoded"] is None
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, len(TOK.token) - 1), min_size=2, max_size=2))
+def test_pairs_stay_apart_if_plain_merges_say_so(pair):
+    left, right = (TOK.token[t] for t in pair)
+    assert TOK.stays_apart(*pair) == (TOK.merge(left + right) == [left, right])

@@ -1,6 +1,7 @@
 """Every operator on nulls, empty and long texts, ties, repeated rows, no rows and clashing columns."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -133,24 +134,50 @@ def test_near_dedup(docs):
     assert ids.count(3) == 1 and {5, 6, 7} <= set(ids)
 
 
+def runs_deleted(rows_):
+    """(id, lines, deleted lines, digest) by comparing every place with all earlier ones."""
+    used = {}
+    for i, t in rows_:
+        used[i, t] = [(k, x, len(words(x.decode()))) for k, x in enumerate((t or "").encode().split(b"\n")) if words(x.decode())]
+    order = sorted(used, key=lambda r: (r[0] is None, r[0] or 0))
+    places = [(r, p) for r in order for p in range(len(used[r]))]
+    gone = {r: set() for r in order}
+    for at, (r, p) in enumerate(places):
+        for s, q in places[:at]:
+            n = total = 0
+            while p + n < len(used[r]) and q + n < len(used[s]) and used[r][p + n][1] == used[s][q + n][1]:
+                total += used[r][p + n][2]
+                n += 1
+            if total >= 20:
+                gone[r].update(range(p, p + n))
+    out = []
+    for r in rows_:
+        out_lines = {used[r][p][0] for p in gone[r]}
+        left = b"\n".join(x for k, x in enumerate((r[1] or "").encode().split(b"\n")) if k not in out_lines)
+        out.append((r[0], len(used[r]), len(out_lines), hashlib.sha256(left).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_maximal_line_runs(spark, seed):
+    r = random.Random(seed)
+    pool = [" ".join(f"{c}{k}" for k in range(n)) for c, n in zip("abcdefgh", (1, 2, 3, 7, 11, 19, 20, 35))]
+    docs = [(i, "\n".join(r.choice(pool) for _ in range(r.randrange(9)))) for i in range(40)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(tuple(x) for x in line_dedup.report(frame).collect()) == sorted(runs_deleted(docs))
+
+
+def test_a_copied_text_that_ends_in_short_lines_is_emptied(spark):
+    text = "\n".join(" ".join(f"{c}{k}" for k in range(n)) for c, n in (("a", 3), ("b", 100), ("c", 80), ("d", 5), ("e", 1)))
+    frame = spark.createDataFrame([(1, text), (2, text), (3, "new line\n" + text + "\nanother"), (4, "d0 d1 d2 d3 d4")],
+                                  "doc_id long, text string")
+    assert [tuple(r)[1:3] for r in line_dedup.report(frame).orderBy("doc_id").collect()] == [(5, 0), (5, 5), (7, 5), (1, 0)]
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup(frame).collect()} == {
+        1: text, 3: "new line\nanother", 4: "d0 d1 d2 d3 d4"}
+
+
 def test_line_dedup(docs):
-    all_ = sorted(rows(), key=lambda r: (r[0] is None, r[0] or 0))
-    seen, want = {}, []
-    for place, (i, t, *_) in enumerate(all_):
-        lines = (t or "").encode().split(b"\n")
-        used = [k for k, x in enumerate(lines) if words(x.decode())]
-        gone = set()
-        for p in range(len(used)):
-            n = q = 0
-            while p + q < len(used) and n < 20:
-                n += len(words(lines[used[p + q]].decode()))
-                q += 1
-            if n >= 20:
-                at = (i is None, i or 0, t, p)
-                if seen.setdefault(tuple(lines[k] for k in used[p:p + q]), at) != at:
-                    gone.update(used[p:p + q])
-        left = b"\n".join(x for k, x in enumerate(lines) if k not in gone)
-        want.append((i, len(used), len(gone), hashlib.sha256(left).hexdigest()))
+    want = runs_deleted([(i, t) for i, t, *_ in rows()])
     got = [tuple(r) for r in line_dedup.report(docs).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     left = {r["doc_id"]: r for r in line_dedup.dedup(docs).collect()}
