@@ -20,7 +20,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassifier
@@ -156,6 +156,7 @@ class Prepared:
     test: DataFrame
     indexers: object
     names: list[str]
+    assemble: Callable[[DataFrame], DataFrame]  # adds the vector ``features`` to a feature frame
 
 
 def prepare(frame_with_split: DataFrame) -> Prepared:
@@ -174,14 +175,27 @@ def prepare(frame_with_split: DataFrame) -> Prepared:
                                 + [f"{c}__ohe" for c in fixed.ML_CATEGORICAL], outputCol="features")
 
     def build(df: DataFrame) -> DataFrame:
-        scaled = standard_scale(df, stats, suffix="__sc")
-        return indexers.transform(scaled).join(F.broadcast(weights), LABEL)
-
-    train_b, test_b = build(train), build(test)
-    enc = encoders.fit(train_b)
-    train_v = assembler.transform(enc.transform(train_b)).select("features", LABEL, "weight", "place")
-    test_v = assembler.transform(enc.transform(test_b)).select("features", LABEL, "weight")
-    return Prepared(train_v, test_v, indexers, feature_names(indexers))
+        return indexers.transform(standard_scale(df, stats, suffix="__sc"))
+
+    enc = encoders.fit(build(train))
+
+    def assemble(df: DataFrame) -> DataFrame:
+        return assembler.transform(enc.transform(build(df)))
+
+    def weighted(df: DataFrame) -> DataFrame:
+        return assemble(df).join(F.broadcast(weights), LABEL)  # a row for each class
+
+    return Prepared(weighted(train).select("features", LABEL, "weight", "place"),
+                    weighted(test).select("features", LABEL, "weight"), indexers, feature_names(indexers), assemble)
+
+
+def vectors_long(assembled: DataFrame, names: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The entries of assembled vectors that are not 0: one (keys.., feature, value) row each."""
+    u = F.unwrap_udt("features")
+    at = F.when(u["type"] == newton.DENSE, F.sequence(F.lit(0), F.size(u["values"]) - 1)).otherwise(u["indices"])
+    entries = assembled.select(*keys, F.explode(F.arrays_zip(at.alias("at"), u["values"].alias("v"))).alias("e"))
+    named = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("e.at") + 1)
+    return entries.where("e.v <> 0").select(*keys, named.alias("feature"), F.round("e.v", 6).alias("value"))
 
 
 def logistic(train: DataFrame, max_iter: int = fixed.LR_MAX_ITER) -> newton.Logistic:

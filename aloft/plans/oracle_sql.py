@@ -617,6 +617,9 @@ def _ml_sql() -> dict[str, str]:
         parts.append(f"SELECT {ML_KEYS}, split, '{c}_' || {q(c)} AS feature, 1.0::DOUBLE AS value FROM ml_split "
                      f"WHERE {q(c)} IN (SELECT {q(c)} FROM ml_train)")
     o["one_hot"] = " UNION ALL ".join(parts)
+    scaled = [f"SELECT {ML_KEYS}, split, '{c}' AS feature, round(CAST({q(c)} AS DOUBLE) / {q('sd_' + c)}, 6) AS value "
+              f"FROM ml_split CROSS JOIN ml_sd WHERE {q(c)} <> 0" for c in ML_NUM]
+    o["feature_vectors"] = " UNION ALL ".join(scaled + parts)
     # at the minimum the gradient is 0 for every feature that the training rows have
     o["logistic_gradient"] = " UNION ALL ".join(
         [f"SELECT '{c}' AS feature, 0.0::DOUBLE AS gradient" for c in (*ML_NUM, "(intercept)")]

@@ -181,6 +181,7 @@ def _registry() -> dict[str, Query]:
     q["class_weights"] = lambda s, sf: M.class_weights(_split(s, sf).where(F.col("split") == "train"))
     q["standard_scale"] = _standard_scale
     q["one_hot"] = _one_hot
+    q["feature_vectors"] = _feature_vectors
     q["binary_metrics"] = lambda s, sf: M.binary_metrics(closed_form_score(ml_input(s, sf)))
     q["classification_report"] = lambda s, sf: M.classification_report(
         closed_form_score(ml_input(s, sf)))
@@ -209,6 +210,13 @@ def _one_hot(spark: SparkSession, sf: str) -> DataFrame:
     return M.one_hot_long(split, indexers, [*M.KEYS, "split"])
 
 
+def _feature_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """What the models see: the assembled vector of every row, entry by entry."""
+    split = written(_split(spark, sf), "split")
+    prep = M.prepare(split)
+    return M.vectors_long(prep.assemble(split), prep.names, [*M.KEYS, "split"])
+
+
 def _prepared(spark: SparkSession, sf: str) -> M.Prepared:
     """Split + fitted preprocessing; the training vectors are staged, as solvers read them many times."""
     prep = M.prepare(written(_split(spark, sf), "split"))
