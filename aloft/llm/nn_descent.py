@@ -1,28 +1,33 @@
 """Embedding near-dedup by NN-descent.
 
 1. Equal vectors form a class; classes are compared.  Vectors that are null, zero, or
-   hold null or non-finite components, and vectors of another length than most, link
-   with nothing.
+   hold null or non-finite components link with nothing.  Vectors of different lengths have
+   no cosine: each length is a graph of its own.
 2. A neighbour graph starts from sign-random-projection buckets: every class gets its
    nearest ones among a block of its bucket, in several tables.
 3. Each round joins the neighbours of every class (both directions) with one another:
    neighbours of neighbours that are nearer than a list's last entry replace it.
    Rounds go on until few lists change.  The number of tables follows the number of
    buckets: a link at the threshold shares a bucket of one of them with chance ``recall``.
-4. Recall is audited against brute force (a bounded sample of classes against all,
-   scanned once): the mean of each sampled class's share of links found, apart for
-   classes of few and of many links.  Until both reach ``recall`` further tables,
-   blocks dealt anew and rounds follow; past ``MAX_TURNS`` an error is raised.
+4. A list can be saturated: all its entries are links, so more may exist.  The lists of such classes
+   are doubled in length and rounds go on, until their last entries are below the threshold or
+   they are ``LONGEST`` entries long.
 5. Edges at the threshold are confirmed in double precision and kept; their connected
-   components are the groups.  A list can be saturated (all its entries are links, so more
-   may exist): classes with such lists are compared with those of all other components, in
-   cells; a pair of cells is left out only where the angle between their centres less both
-   radii excludes a link.  Links found there join components.
-6. Numbers of links: the classes of a component are compared with one another in blocks,
+   components are the groups.  Classes whose lists are still saturated (those of large groups) are
+   compared with those of all other components, in cells; a pair of cells is left out only where the
+   angle between their centres less both radii excludes a link.  Links found there join components.
+6. Recall is audited against brute force: a sample of classes that have links and one of classes that
+   have none are compared with all classes, and the samples grow until they hold ``AUDIT_LINKED`` classes
+   with true links, or ``AUDIT_MOST`` classes each.  The share of links found is estimated for classes of few
+   and of many links apart, each sampled class standing for as many as its sample does.  Until both reach
+   ``recall`` further tables, blocks dealt anew and rounds follow; past ``MAX_TURNS`` an error is raised.
+   Where no sampled class has a link, recall is not measured, and null.
+7. Numbers of links: the classes of a component are compared with one another in blocks,
    and each task returns numbers, not pairs.
 
 Lists around a class with very many neighbours and large components are cut into
-blocks dealt to different tasks; no group is gathered in one.  Null vec_ids take part
+blocks dealt to different tasks; no group is gathered in one.  Vectors are divided by their largest
+component before their norm is taken, so that it neither overflows nor vanishes.  Null vec_ids take part
 in links but never name a component that has another id; repeated ids are rows of their own.
 An empty table gives an empty result.
 """
@@ -40,8 +45,9 @@ from aloft.llm.common import stage
 from aloft.llm.components import components
 
 THRESHOLD = 0.95
-#: length of a neighbour list
+#: length of a neighbour list at first, and the length up to which saturated lists are doubled
 NEIGHBOURS = 8
+LONGEST = 32
 #: rows aimed at in a bucket of a table, and most in a block of one
 BUCKET = 128
 BLOCK = 512
@@ -50,7 +56,10 @@ FAN = 64
 #: rounds end when fewer than this share of the list entries changes
 SETTLED = 0.01
 RECALL = 0.995
+#: classes in each of the audit's samples at first and at most, and classes with true links wanted in both
 AUDIT = 500
+AUDIT_MOST = 8000
+AUDIT_LINKED = 30
 #: turns of tables and rounds after which a recall that is still too low is an error
 MAX_TURNS = 30
 #: cells whose centres are compared in one task
@@ -64,32 +73,35 @@ def _matrix(column: pa.Array, dtype) -> np.ndarray:
 
 
 def classes_of(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"):
-    """(rows, classes): rows have vid, cid (null: links with nothing); classes have cid, m (their
-    vectors), unit (doubles) and small (floats) of the unit vector."""
+    """(rows, classes, lengths): rows have vid, cid (null: links with nothing); classes have cid, m (their
+    vectors), dim (their length), unit (doubles) and small (floats) of the unit vector; lengths: number of
+    classes by dim."""
     v = vectors.select(F.col(id_col).alias("vid"), F.col(vector_col).cast("array<double>").alias("e"))
     bad = F.exists("e", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    norm = F.aggregate("e", F.lit(0.0), lambda a, x: a + x * x)
-    sound = F.coalesce(F.col("e").isNotNull() & ~bad & (norm > 0) & (norm < F.lit(float("inf"))), F.lit(False))
+    sound = F.coalesce(F.col("e").isNotNull() & ~bad & F.exists("e", lambda x: x != 0), F.lit(False))
     v = v.withColumn("e", F.when(sound, F.col("e")))
-    length = v.where("e is not null").groupBy(F.size("e").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(
-        F.desc("n"), "d").limit(1).collect()
-    dim = length[0]["d"] if length else 0
-    v = v.withColumn("e", F.when(F.size("e") == dim, F.col("e")))
 
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.array(b.column(2).to_pylist(), dtype=np.float64).reshape(b.num_rows, dim)
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            units, smalls, dims = [], [], []
+            for x in b.column(2).to_pylist():
+                x = np.array(x)
+                x = x / np.abs(x).max()
+                x /= np.linalg.norm(x)
+                units.append(x.tobytes())
+                smalls.append(x.astype(np.float32).tobytes())
+                dims.append(len(x))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([r.tobytes() for r in x], pa.binary()),
-                 pa.array([r.tobytes() for r in x.astype(np.float32)], pa.binary())], ["cid", "m", "unit", "small"])
+                [b.column(0), b.column(1), pa.array(dims, pa.int32()), pa.array(units, pa.binary()),
+                 pa.array(smalls, pa.binary())], ["cid", "m", "dim", "unit", "small"])
 
     rows = stage(v, "vectors")
     numbered = stage(rows.where("e is not null").groupBy("e").agg(F.count(F.lit(1)).alias("m"))
                      .select(F.monotonically_increasing_id().alias("cid"), "m", "e"), "vector-classes")
-    classes = stage(numbered.mapInArrow(unit, "cid long, m long, unit binary, small binary"), "unit-vectors")
+    classes = stage(numbered.mapInArrow(unit, "cid long, m long, dim int, unit binary, small binary"), "unit-vectors")
     named = rows.join(numbered.select("e", "cid"), "e", "left").select("vid", "cid")
-    return named, classes, dim
+    lengths = {r["dim"]: r["n"] for r in classes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect()}
+    return named, classes, lengths
 
 
 def _best(sim: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,18 +185,24 @@ def _seed(classes: DataFrame, n: int, dim: int, tables: range, k: int) -> DataFr
             .sortWithinPartitions("bucket", "block").mapInArrow(near, "u long, v long, s float"))
 
 
-def _nearest(edges: DataFrame, k: int) -> DataFrame:
-    """The k nearest entries of each list."""
+def _nearest(edges: DataFrame, k: int, longer: DataFrame | None = None) -> DataFrame:
+    """The k nearest entries of each list; of the lists in ``longer`` (u, k) their own number."""
     over = Window.partitionBy("u").orderBy(F.desc("s"), "v")
-    return (edges.groupBy("u", "v").agg(F.max("s").alias("s"))
-            .withColumn("place", F.row_number().over(over)).where(F.col("place") <= k).select("u", "v", "s"))
+    placed = edges.groupBy("u", "v").agg(F.max("s").alias("s")).withColumn("place", F.row_number().over(over))
+    placed = placed.where(F.col("place") <= (k if longer is None else LONGEST))
+    if longer is not None:
+        placed = placed.join(longer, "u", "left").where(F.col("place") <= F.coalesce("k", F.lit(k)))
+    return placed.select("u", "v", "s")
 
 
-def _round(graph: DataFrame, classes: DataFrame, k: int, deal: int) -> DataFrame:
+def _round(graph: DataFrame, classes: DataFrame, k: int, deal: int, longer: DataFrame | None = None) -> DataFrame:
     """Candidates from joining the neighbours of every class with one another; ``deal`` numbers the
     deals of large neighbourhoods into parts."""
-    last = graph.groupBy("u").agg(F.min("s").alias("last"), F.count(F.lit(1)).alias("n")).select(
-        "u", F.when(F.col("n") < k, -2.0).otherwise(F.col("last")).cast("float").alias("last"))
+    most = k if longer is None else LONGEST
+    last = graph.groupBy("u").agg(F.min("s").alias("last"), F.count(F.lit(1)).alias("n"))
+    size = F.lit(k) if longer is None else F.coalesce("k", F.lit(k))
+    last = (last if longer is None else last.join(longer, "u", "left")).select(
+        "u", F.when(F.col("n") < size, -2.0).otherwise(F.col("last")).cast("float").alias("last"))
     around = (graph.select(F.col("u").alias("w"), F.col("v").alias("x"))
               .unionByName(graph.select(F.col("v").alias("w"), F.col("u").alias("x"))).distinct())
     sizes = stage(around.groupBy("w").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "nn-sizes")
@@ -202,7 +220,7 @@ def _round(graph: DataFrame, classes: DataFrame, k: int, deal: int) -> DataFrame
             cid, x, bound = _column(t, "cid"), _small(t), _column(t, "last")
             sim = x @ x.T
             np.fill_diagonal(sim, -2)
-            r, c = _best(sim, k)
+            r, c = _best(sim, most)
             ok = sim[r, c] > bound[r]
             us.append(cid[r[ok]]), vs.append(cid[c[ok]]), ss.append(sim[r[ok], c[ok]])
             held += int(ok.sum())
@@ -217,20 +235,36 @@ def _round(graph: DataFrame, classes: DataFrame, k: int, deal: int) -> DataFrame
             .mapInArrow(local, "u long, v long, s float"))
 
 
-def descend(classes: DataFrame, graph: DataFrame | None, n: int, dim: int, tables: range, k: int) -> DataFrame:
-    """The neighbour graph (u, v, s) after seeding ``tables`` and descending until settled."""
+def _saturated(graph: DataFrame, k: int, longer: DataFrame | None, threshold: float) -> DataFrame:
+    """(u, k) of the lists that are full and whose last entry is a link."""
+    full = graph.groupBy("u").agg(F.min("s").alias("last"), F.count(F.lit(1)).alias("n")).where(F.col("last") >= threshold - 1e-4)
+    own = full.withColumn("k", F.lit(k)) if longer is None else full.join(longer, "u", "left").withColumn(
+        "k", F.coalesce("k", F.lit(k)))
+    return own.where(F.col("n") >= F.col("k")).select("u", "k")
+
+
+def descend(classes: DataFrame, graph: DataFrame | None, n: int, dim: int, tables: range, k: int, threshold: float,
+            longer: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """The neighbour graph (u, v, s) after seeding ``tables`` and descending until settled, and (u, k) of the lists
+    that were made longer because they were saturated."""
     seeds = _seed(classes, n, dim, tables, k)
-    graph = stage(_nearest(seeds if graph is None else graph.unionByName(seeds), k), "nn-graph")
+    graph = stage(_nearest(seeds if graph is None else graph.unionByName(seeds), k, longer), "nn-graph")
     deal = tables.start * 1000
     while True:
-        found = _round(graph, classes, k, deal)
+        found = _round(graph, classes, k, deal, longer)
         deal += 1
-        new = stage(_nearest(graph.unionByName(found), k), "nn-graph")
+        new = stage(_nearest(graph.unionByName(found), k, longer), "nn-graph")
         changed = new.join(graph, ["u", "v"], "left_anti").count()
         graph = new
-        if changed <= SETTLED * n * k:
-            break
-    return graph
+        if changed > SETTLED * n * k:
+            continue
+        # settled: lists that are full of links get twice the length, and the rounds go on
+        short = stage(_saturated(graph, k, longer, threshold).where(F.col("k") < LONGEST).select(
+            "u", F.least(F.col("k") * 2, F.lit(LONGEST)).alias("k")), "nn-longer")
+        if short.isEmpty():
+            return graph, longer
+        longer = short if longer is None else stage(
+            longer.unionByName(short).groupBy("u").agg(F.max("k").alias("k")), "nn-lengths")
 
 
 def links_of(graph: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -250,10 +284,10 @@ def links_of(graph: DataFrame, classes: DataFrame, threshold: float) -> DataFram
     return both.mapInArrow(confirm, "a long, b long")
 
 
-def bridges(graph: DataFrame, classes: DataFrame, labels: DataFrame, dim: int, threshold: float, k: int) -> DataFrame:
+def bridges(graph: DataFrame, classes: DataFrame, labels: DataFrame, dim: int, threshold: float, k: int,
+            longer: DataFrame | None = None) -> DataFrame:
     """Links (a, b) between components, one or more for every two that are linked by classes with saturated lists."""
-    full = graph.where(F.col("s") >= threshold - 1e-4).groupBy("u").agg(F.count(F.lit(1)).alias("n")).where(
-        F.col("n") >= k).select(F.col("u").alias("cid"))
+    full = _saturated(graph, k, longer, threshold).select(F.col("u").alias("cid"))
     found = labels.select(F.col("node").alias("cid"), "component").join(full, "cid")
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     rows = found.join(stage(sizes, "nn-full"), "component").join(classes.select("cid", "unit"), "cid")
@@ -330,32 +364,53 @@ def bridges(graph: DataFrame, classes: DataFrame, labels: DataFrame, dim: int, t
             .sortWithinPartitions("p", "q").mapInArrow(compare, "a long, b long"))
 
 
-def audit(links: DataFrame, labels: DataFrame, classes: DataFrame, n: int, threshold: float,
-          sample: int = AUDIT) -> float:
-    """Share of a sample's true links (brute force against all) that lie in one component: the mean of
-    every sampled class's own share, the least of classes of few links and of many (more than a list holds)."""
-    place = F.shiftrightunsigned(F.xxhash64(F.lit("audit"), "cid"), 11) / F.lit(float(1 << 53))
-    chosen = classes.where(place * n < sample).select("cid", "unit").limit(2 * sample).collect()  # bounded
-    if not chosen:
-        return 1.0
-    sent = classes.sparkSession.sparkContext.broadcast(
-        ([r["cid"] for r in chosen], np.stack([np.frombuffer(r["unit"]) for r in chosen])))
+def _true_shares(ids: np.ndarray, units: np.ndarray, labels: DataFrame, classes: DataFrame, threshold: float) -> list:
+    """(class, its true links, those inside its component) of the sampled classes that have any."""
+    sent = classes.sparkSession.sparkContext.broadcast((ids, units))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, q = sent.value
-        ids = np.array(ids)
         for b in batches:
             if b.num_rows:
                 cid = b.column(0).to_numpy()
-                i, j = np.nonzero((_matrix(b.column(1), np.float64) @ q.T >= threshold) & (cid[:, None] != ids[None, :]))
-                yield pa.RecordBatch.from_arrays([pa.array(cid[i]), pa.array(ids[j])], ["a", "b"])
+                x = _matrix(b.column(1), np.float64)
+                for at in range(0, len(ids), BLOCK):
+                    i, j = np.nonzero((x @ q[at:at + BLOCK].T >= threshold) & (cid[:, None] != ids[None, at:at + BLOCK]))
+                    yield pa.RecordBatch.from_arrays([pa.array(cid[i]), pa.array(ids[at:at + BLOCK][j])], ["a", "b"])
 
     true = classes.select("cid", "unit").mapInArrow(scan, "a long, b long")
     label = labels.select("node", "component")
-    per = (true.join(label.toDF("a", "ca"), "a", "left").join(label.toDF("b", "cb"), "b", "left").groupBy("b")
-           .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ca") == F.col("cb")).alias("found")))
-    got = per.groupBy((F.col("n") > NEIGHBOURS).alias("many")).agg(F.avg(F.col("found") / F.col("n")).alias("share"))
-    return min((r["share"] for r in got.collect()), default=1.0)
+    return (true.join(label.toDF("a", "ca"), "a", "left").join(label.toDF("b", "cb"), "b", "left").groupBy("b")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ca") == F.col("cb")).alias("found"))).collect()
+
+
+def audit(labels: DataFrame, classes: DataFrame, threshold: float, sample: int = AUDIT) -> float | None:
+    """Estimated share of the true links (brute force against all) that lie in one component: of classes of few links
+    and of many (more than a list holds at first), whichever is less.  None if no sampled class has a link."""
+    place = F.shiftrightunsigned(F.xxhash64(F.lit("audit"), "cid"), 11) / F.lit(float(1 << 53))
+    named = classes.select("cid", "unit").join(labels.select(F.col("node").alias("cid"), F.lit(True).alias("linked")), "cid", "left")
+    strata = stage(named.select("cid", "unit", F.coalesce("linked", F.lit(False)).alias("linked"), place.alias("place")), "nn-strata")
+    sizes = {r["linked"]: r["n"] for r in strata.groupBy("linked").agg(F.count(F.lit(1)).alias("n")).collect()}
+    while True:
+        ids, units, weight = [], [], {}
+        for linked, n in sizes.items():
+            share = min(1.0, sample / n)
+            chosen = strata.where((F.col("linked") == linked) & (F.col("place") < share)).limit(2 * sample).collect()  # bounded
+            for r in chosen:
+                ids.append(r["cid"]), units.append(r["unit"])
+                weight[r["cid"]] = n / len(chosen)
+        if not ids:
+            return None
+        found = _true_shares(np.array(ids), np.stack([np.frombuffer(u) for u in units]), labels, classes, threshold)
+        if len(found) >= AUDIT_LINKED or sample >= AUDIT_MOST or sample >= max(sizes.values()):
+            break
+        sample = min(AUDIT_MOST, 4 * sample)
+    shares = []
+    for many in (False, True):
+        own = [(weight[r["b"]], r["found"] / r["n"]) for r in found if (r["n"] > NEIGHBOURS) == many]
+        if own:
+            shares.append(sum(w * x for w, x in own) / sum(w for w, _ in own))
+    return min(shares, default=None)
 
 
 def count_links(classes: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
@@ -385,26 +440,37 @@ def count_links(classes: DataFrame, labels: DataFrame, threshold: float) -> Data
             .mapInArrow(count, "cid long, others long").groupBy("cid").agg(F.sum("others").alias("others")))
 
 
-def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                 threshold: float = THRESHOLD, k: int = NEIGHBOURS, recall: float = RECALL) -> DataFrame:
-    """One row per vector: vec_id, n_links, component_id, kept, recall (as audited)."""
-    rows, classes, dim = classes_of(vectors, id_col, vector_col)
-    n = classes.count()
-    graph, labels, share = None, None, 1.0
+def components_of(classes: DataFrame, n: int, dim: int, threshold: float, k: int, recall: float) -> tuple[DataFrame, float | None]:
+    """(node, component) of the linked classes of one length, and the recall as audited."""
+    graph, labels, share, longer = None, None, None, None
     tables = tables_for(n, threshold, recall)
     for turn in range(MAX_TURNS):
-        graph = descend(classes, graph, n, dim, range(turn * tables, (turn + 1) * tables), k)
+        graph, longer = descend(classes, graph, n, dim, range(turn * tables, (turn + 1) * tables), k, threshold, longer)
         links = links_of(graph, classes, threshold)
         labels = stage(components(links), "nn-labels")
-        more = stage(bridges(graph, classes, labels, dim, threshold, k), "nn-bridges")
+        more = stage(bridges(graph, classes, labels, dim, threshold, k, longer), "nn-bridges")
         if not more.isEmpty():
             labels = stage(components(links.unionByName(more)), "nn-labels")
-        share = audit(links, labels, classes, n, threshold)
-        if share >= recall:
-            break
-    else:
-        raise RuntimeError(f"near-dedup found {share:.4f} of the sampled links after {MAX_TURNS} turns, not {recall}")
-    others = count_links(classes, labels, threshold)
+        share = audit(labels, classes, threshold)
+        if share is None or share >= recall:
+            return labels, share
+    raise RuntimeError(f"near-dedup found {share:.4f} of the sampled links after {MAX_TURNS} turns, not {recall}")
+
+
+def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
+                 threshold: float = THRESHOLD, k: int = NEIGHBOURS, recall: float = RECALL) -> DataFrame:
+    """One row per vector: vec_id, n_links, component_id, kept, recall (as audited, the least of all lengths; null
+    where no link was there to measure it)."""
+    rows, classes, lengths = classes_of(vectors, id_col, vector_col)
+    labels = vectors.sparkSession.createDataFrame([], "node long, component long")
+    others = vectors.sparkSession.createDataFrame([], "cid long, others long")
+    shares = []
+    for dim, n in lengths.items():
+        own = classes.where(F.col("dim") == dim) if len(lengths) > 1 else classes
+        found, share = components_of(own, n, dim, threshold, k, recall)
+        shares.append(share)
+        labels, others = labels.unionByName(found), others.unionByName(count_links(own, found, threshold))
+    share = min((x for x in shares if x is not None), default=None)
     found = (classes.select("cid", "m").join(labels, F.col("cid") == F.col("node"), "left")
              .join(others, "cid", "left")
              .select("cid", (F.col("m") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
@@ -416,7 +482,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     component = F.when(F.col("cid").isNull(), F.col("vid")).otherwise(F.col("head"))
     return out.select(F.col("vid").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"), F.col("vid").eqNullSafe(component).alias("kept"),
-                      F.lit(share).alias("recall"))
+                      F.lit(share).cast("double").alias("recall"))
 
 
 def report(vectors: DataFrame) -> DataFrame:

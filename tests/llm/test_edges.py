@@ -315,7 +315,8 @@ def test_near_vectors(spark):
     vs += [(300, vs[5][1]), (5, vs[5][1]), (None, vs[6][1])]  # copies, a repeated row, a null id
     odd = [(400, None), (401, [0.0] * 16), (402, [float("nan")] * 16), (403, [float("inf")] + [1.0] * 15),
            (404, [None] + [1.0] * 15), (405, [1.0, 2.0]), (406, [])]
-    df = spark.createDataFrame(vs + odd, "vec_id long, embedding array<float>").selectExpr("*", "1 as kept")
+    others = [(410, [1.0, 2.0, 3.0]), (411, [2.0, 4.0, 6.0]), (412, [1.0, 2.0, 3.0]), (413, [-1.0, 0.0, 1.0])]  # another length
+    df = spark.createDataFrame(vs + odd + others, "vec_id long, embedding array<float>").selectExpr("*", "1 as kept")
     x = np.array([np.float32(v) for _, v in vs], dtype=np.float64)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     link = x @ x.T >= 0.95
@@ -329,10 +330,43 @@ def test_near_vectors(spark):
     head = {c: min(vs[k][0] for k in range(len(vs)) if comp[k] == c and vs[k][0] is not None) for c in set(comp)}
     want = [(i, int(link[k].sum()), head[comp[k]], i == head[comp[k]]) for k, (i, _) in enumerate(vs)]
     want += [(i, 0, i, True) for i, _ in odd]
+    want += [(410, 2, 410, True), (411, 2, 410, False), (412, 2, 410, False), (413, 0, 413, True)]
     got = [tuple(r) for r in nn_descent.report(df).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert nn_descent.report(df.limit(0)).count() == 0
-    assert nn_descent.report(df.where("vec_id >= 400")).count() == len(odd)
+    assert nn_descent.report(df.where("vec_id >= 400")).count() == len(odd) + len(others)
+
+
+def test_near_vectors_of_any_size(spark):
+    df = spark.createDataFrame([(1, [1e300, 1e300]), (2, [1e299, 1e299]), (3, [1e-300, 1e-300]), (4, [5e-324, 0.0])],
+                               "vec_id long, embedding array<double>")
+    got = nn_descent.near_vectors(df).collect()
+    assert sorted(tuple(r)[:3] for r in got) == [(1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 0, 4)] and {r["recall"] for r in got} == {1.0}
+
+
+def test_near_vectors_audit_of_few_links(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 24))
+    pair = x[:1] + rng.normal(size=(1, 24)) * 0.01
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(np.concatenate([x, pair]))], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in nn_descent.near_vectors(df).collect()}
+    assert got[3000]["component_id"] == 0 and got[3000]["recall"] == 1.0
+    assert sum(r["n_links"] for r in got.values()) == 2
+    none = nn_descent.near_vectors(df.where("vec_id < 3000")).first()
+    assert none["n_links"] == 0 and none["recall"] is None  # no link to measure it with
+
+
+def test_near_vectors_saturated_lists_grow(spark):
+    import numpy as np
+    rng = np.random.default_rng(6)
+    x = np.concatenate([c + rng.normal(size=(20, 32)) * 0.01 for c in rng.normal(size=(12, 32))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    _, classes, lengths = nn_descent.classes_of(df)
+    graph, longer = nn_descent.descend(classes, None, lengths[32], 32, range(3), 8, 0.95)
+    # groups of 20: lists of 8 and 16 are full of links, lists of 32 reach beyond the group
+    assert {r["k"] for r in longer.collect()} == {32}
+    assert nn_descent._saturated(graph, 8, longer, 0.95).count() == 0
 
 
 def test_near_vectors_bridges_between_saturated_groups(spark):
@@ -365,7 +399,7 @@ def test_near_vectors_audit_sees_lost_pairs_beside_a_large_group(spark):
     share = {}
     for name, label in (("all", F.coalesce(group, pairs)), ("lost", F.coalesce(group, F.col("vid")))):
         labels = named.select("node", label.cast("long").alias("component"))
-        share[name] = nn_descent.audit(None, labels, classes, 500, 0.95)
+        share[name] = nn_descent.audit(labels, classes, 0.95)
     assert share["all"] == 1.0 and share["lost"] == 0.0
 
 
