@@ -115,14 +115,16 @@ def survey(spark: SparkSession, files: Sequence[str]) -> list[Group]:
     read on the driver (one short read a file).  The driver gets a row for each different header.
     """
     header = F.regexp_replace(F.regexp_replace(F.col("header"), "^\ufeff", ""), "\r$", "")
-    rows = (csv_records.survey(spark, files).select("file", header.alias("header"), "quoted")
-            .groupBy("header", "quoted").agg(F.sort_array(F.collect_list("file")).alias("files")).collect())
+    rows = (csv_records.survey(spark, files).select("file", header.alias("header"), "quoted", "content")
+            .groupBy("header", "quoted", "content").agg(F.sort_array(F.collect_list("file")).alias("files")).collect())
     groups: dict[tuple[str, ...], Group] = {}
     named = csv_records.by_name(files)
     empty = set(files)
     for r in rows:
         more = r["header"] is not None and csv_records.ends_inside(r["header"], False)
         for file in map(named, r["files"]):
+            if r["header"] is None and r["content"]:
+                raise ValueError(f"{file}: nothing but blank lines before the end of its first split, so no header")
             if r["header"] is None:
                 continue
             empty.discard(file)

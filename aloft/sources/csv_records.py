@@ -112,28 +112,30 @@ def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple, pa.Array]]:
 
 
 def survey(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-    """(file, header, quoted), one row a file: its first line that is not blank, and whether a line end stands
-    inside quotes."""
+    """(file, header, quoted, content), one row a file: the first line of its first split that is not blank, whether
+    a line end stands inside quotes, and whether any line is not blank."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, header, quoted, out = None, None, False, []
+        at, header, quoted, content, out = None, None, False, False, []
         for batch in batches:
             for key, values in _runs(batch):
                 if key != at:
                     if at is not None:
-                        out.append((at[0], header, quoted))
-                    at, header, quoted = key, None, False
+                        out.append((at[0], header, quoted, content))
+                    at, header, quoted, content = key, None, False, False
+                content = content or any(x.strip() for x in values.to_pylist())
                 if key[1] == 0 and header is None:
                     header = next((x for x in values.to_pylist() if x.strip()), None)
                 if not quoted:
                     doubtful = values.filter(pa.array(~whole(values)))
                     quoted = any(ends_inside(x, False) for x in doubtful.to_pylist())
         if at is not None:
-            out.append((at[0], header, quoted))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.string(), pa.bool_()))], ["file", "header", "quoted"])
+            out.append((at[0], header, quoted, content))
+            types = (pa.string(), pa.string(), pa.bool_(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
+                                             ["file", "header", "quoted", "content"])
 
-    splits = _of_splits(lines(spark, files)).mapInArrow(run, "file string, header string, quoted boolean")
-    return splits.groupBy("file").agg(F.max("header").alias("header"), F.max("quoted").alias("quoted"))
+    splits = _of_splits(lines(spark, files)).mapInArrow(run, "file string, header string, quoted boolean, content boolean")
+    return splits.groupBy("file").agg(*[F.max(c).alias(c) for c in ("header", "quoted", "content")])
 
 
 def effects(spark: SparkSession, files: Sequence[str]) -> DataFrame:
