@@ -42,11 +42,13 @@ BOUNDARY = (1 << 30) - 1
 #: entries of one generation of the memory of pairs; two generations are kept
 PAIR_MEMORY = 100_000
 #: slots of the table of pairs that batches use (a power of two); a later pair takes an earlier one's slot
-PAIR_SLOTS = 1 << 21
+PAIR_SLOTS = 1 << 20
+#: merge stories of tokens kept at once
+STORY_MEMORY = 1 << 14
 #: pieces of more bytes are encoded one by one
 LONGEST_TOGETHER = 64
 #: bytes of text cut into pieces and encoded at once
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 #: characters behind a piece's end that can have a say in where it ends: contractions ('re) and a
 #: run of white space that gives its last character to the next piece look at most this far
 LOOK_AHEAD = 4
@@ -146,6 +148,8 @@ class PrefixTokenizer:
                 ranks.append(least)
                 firsts.append(parts[0])
                 lasts.append(parts[-1])
+            if len(self.stories) >= STORY_MEMORY:
+                self.stories.clear()
             found = self.stories[token] = ranks + [len(self.token)], firsts, lasts
         return found
 
@@ -279,15 +283,16 @@ class PrefixTokenizer:
         """(number of ids of each piece, all ids): the last tokens of all prefixes, by prefix length."""
         size = np.array([len(p) for p in pieces], dtype=np.int64)
         data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-        first = np.cumsum(size) - size
-        piece = np.repeat(np.arange(len(pieces)), size)
+        first = (np.cumsum(size) - size).astype(np.int32)
+        size = size.astype(np.int32)
+        piece = np.repeat(np.arange(len(pieces), dtype=np.int32), size)
         at, token = self._places(data, (first + size)[piece])
         # a piece of n bytes has n + 1 prefixes: their places in ``last``
-        begin = first + np.arange(len(pieces))
+        begin = first + np.arange(len(pieces), dtype=np.int32)
         here = at + piece[at]
         length = self.size[token]
-        level = here - begin[piece[at]] + length
-        order = np.argsort(level.astype(np.uint8), kind="stable")
+        level = (here - begin[piece[at]] + length).astype(np.uint8)
+        order = np.argsort(level, kind="stable")
         here, token, there = here[order], token[order], (here + length)[order]
         cuts = np.searchsorted(level[order], np.arange(1, LONGEST_TOGETHER + 2))
         last = np.full(len(data) + len(pieces), -1, dtype=np.int32)
