@@ -213,7 +213,8 @@ def forest(train: DataFrame, trees: int = fixed.RF_TREES, depth: int = fixed.RF_
                                 numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt",
                                 seed=seed, maxMemoryInMB=1024, cacheNodeIds=True,
                                 checkpointInterval=10)
-    return rf.fit(train)
+    # a copy has no training summary, which holds the session and cannot always be sent to tasks with the model
+    return rf.fit(train).copy()
 
 
 def scored(model, test: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from aloft.operators import clean as C
@@ -117,6 +118,15 @@ def test_forest_does_not_follow_the_partitions(spark, prepared):
     assert imp[:20] == [tuple(r) for r in M.importances(spark, one, prepared.names).collect()]
 
 
+def test_forest_scores_in_a_session_that_has_observed(spark, prepared):
+    """The model goes to the tasks: nothing of the session may hang on it."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    model = M.forest(prepared.train, trees=2, depth=2)
+    assert not model.hasSummary and M.scored(model, prepared.test).agg(F.count("score").alias("n")).first()["n"] == prepared.test.count()
+
+
 def test_models_give_probabilities_and_importances(spark, prepared):
     n = prepared.test.count()
     for model in (M.logistic(prepared.train), M.forest(prepared.train, trees=5)):
