@@ -7,6 +7,7 @@ inside whole-stage code generation and never call back into Python.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -62,20 +63,24 @@ def null_if_token_sql(c: str, tokens: Iterable[str] = fixed.NULL_TOKENS) -> str:
 def to_double_sql(c: str, numeric_input: bool = False) -> str:
     """Lenient numeric coercion: anything that is not a plain number becomes NULL.
 
-    Equivalent to ``rlike(NUMBER_PATTERN) ? cast : NULL`` but without a regex per
-    value: over the alphabet ``[0-9+-.eE]`` the string->double cast accepts exactly
-    the decimal literals the pattern describes, so it suffices to check that no
-    other character is left after trimming (``translate`` deletes the allowed ones).
+    Equivalent to ``rlike(NUMBER_PATTERN) ? cast : NULL`` but without a regex per value.  Text that
+    begins and ends like a plain number and has no ``x`` is one exactly if the string->double cast accepts
+    it: there is nothing to trim, no suffix, and no hex.  For other text (spaces around it, for one) it
+    suffices to check that no character is left but those of a number (``translate`` deletes them).
     Text of these characters can be infinite only by overflow (``1e999``).
+
+    The text and the parsed value are bound by lambdas, so that neither is computed twice and twenty such
+    columns do not make a generated method too large to be compiled.
     """
     col = sql_ident(c)
     if numeric_input:
         x = f"CAST({col} AS DOUBLE)"
         return f"CASE WHEN isnan({x}) OR abs({x}) = double('inf') THEN CAST(NULL AS DOUBLE) ELSE {x} END"
-    s = f"btrim(CAST({col} AS STRING), {_SPACE_SQL})"
-    parsed = f"try_cast({s} AS DOUBLE)"
-    return (f"CASE WHEN translate({s}, '{_NUMBER_CHARS}', '') = '' AND abs({parsed}) <> double('inf') "
-            f"THEN {parsed} END")
+    plain = "s >= '+' AND s < ':' AND substr(s, -1, 1) BETWEEN '.' AND '9' AND NOT contains(s, 'x') AND NOT contains(s, 'X')"
+    trimmed = f"btrim(s, {_SPACE_SQL})"
+    parsed = (f"transform(array(CAST({col} AS STRING)), s -> CASE WHEN {plain} THEN try_cast(s AS DOUBLE) "
+              f"WHEN translate({trimmed}, '{_NUMBER_CHARS}', '') = '' THEN try_cast({trimmed} AS DOUBLE) END)")
+    return f"transform({parsed}, x -> CASE WHEN abs(x) <> double('inf') THEN x END)[0]"
 
 
 def to_double(c: str, dtype: T.DataType | None = None) -> Column:
@@ -90,7 +95,7 @@ def is_numeric_type(dtype: T.DataType) -> bool:
 def to_int_half_even(c: str, dtype: T.DataType | None = None,
                      target: str = "smallint") -> Column:
     """Coerce, round half-to-even to a whole number, keep NULL for unparseable values."""
-    return F.bround(to_double(c, dtype), 0).cast(target)
+    return F.rint(to_double(c, dtype)).cast(target)
 
 
 def np_round(c: Column, places: int) -> Column:
@@ -129,9 +134,17 @@ DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy h:mm:ss a", "M/d/yyyy", "yyyy/MM/dd", "y
 
 
 def parse_date(c: str | Column, formats: Iterable[str] = DATE_FORMATS) -> Column:
-    """Lenient date parse: the first format that fits wins, otherwise NULL."""
+    """Lenient date parse: the first format that fits wins, otherwise NULL.
+
+    A format is tried only on text that has its separators: a failing try costs an exception.
+    """
     c = col_of(c).cast("string")
-    return F.coalesce(*[F.call_function("try_to_date", c, F.lit(f)) for f in formats])
+
+    def tried(f: str) -> Column:
+        marks = [F.contains(c, F.lit(m)) for m in sorted({x for x in f if not x.isalnum()})]
+        return F.when(reduce(lambda a, b: a & b, marks, F.lit(True)), F.call_function("try_to_date", c, F.lit(f)))
+
+    return F.coalesce(*[tried(f) for f in formats])
 
 
 def month_abbrev(month: str | Column) -> Column:

@@ -58,7 +58,7 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str] = fixed.NUMERIC_COLUMNS
     dbl, ints = set(present(df, columns)), set(present(df, integer_columns))
     parsed = df.selectExpr(*[f"{to_double_sql(c, is_numeric_type(types[c]))} AS {sql_ident(c)}"
                              if c in dbl | ints else sql_ident(c) for c in df.columns])
-    return parsed.selectExpr(*[f"CAST(bround({sql_ident(c)}, 0) AS INT) AS {sql_ident(c)}" if c in ints
+    return parsed.selectExpr(*[f"CAST(rint({sql_ident(c)}) AS INT) AS {sql_ident(c)}" if c in ints
                                else sql_ident(c) for c in df.columns])
 
 

@@ -198,8 +198,8 @@ def prepare_flights(enriched: DataFrame) -> DataFrame:
     df = export_rename(enriched)
     df = df.withColumnsRenamed({k: v for k, v in LOAD_RENAMES.items() if k in df.columns})
     types = {f.name: f.dataType for f in df.schema.fields}
-    fl_date = parse_date("fl_date")
-    out = {"fl_date": fl_date, "day_of_week": iso_day_of_week(fl_date).cast("smallint")}
+    df = df.withColumn("fl_date", parse_date("fl_date"))
+    out = {"day_of_week": iso_day_of_week("fl_date").cast("smallint")}
     for c in FLIGHT_SMALLINT:
         if c in types and c != "day_of_week":
             out[c] = to_int_half_even(c, types[c])
