@@ -211,8 +211,7 @@ def forest(train: DataFrame, trees: int = fixed.RF_TREES, depth: int = fixed.RF_
         train = train.repartition(parts, "place").sortWithinPartitions("place")
     rf = RandomForestClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight",
                                 numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt",
-                                seed=seed, maxMemoryInMB=1024, cacheNodeIds=True,
-                                checkpointInterval=10)
+                                seed=seed, maxMemoryInMB=1024)
     # a copy has no training summary, which holds the session and cannot always be sent to tasks with the model
     return rf.fit(train).copy()
 
