@@ -8,6 +8,7 @@ carrier.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
@@ -15,8 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aloft.functions import fixed
-from aloft.functions.columns import is_numeric_type, null_if_token_sql, sql_ident, to_double_sql
+from aloft.functions.columns import (NUMBER_PATTERN, finite_sql, is_numeric_type, null_if_token_sql, number_text_sql, sql_ident,
+                                     to_double_sql)
 from aloft.operators.selection import medians
+from aloft.session import compile_in_parts
 
 
 class MissingColumnsError(ValueError):
@@ -40,9 +43,9 @@ def standardize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().upper() for c in df.columns])
 
 
-def replace_null_tokens(df: DataFrame, tokens: Sequence[str] = fixed.NULL_TOKENS) -> DataFrame:
-    """Every string field spelled like a missing value becomes NULL."""
-    strings = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+def replace_null_tokens(df: DataFrame, tokens: Sequence[str] = fixed.NULL_TOKENS, but: Iterable[str] = ()) -> DataFrame:
+    """Every string field (``but`` those named) spelled like a missing value becomes NULL."""
+    strings = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)} - set(but)
     return df.selectExpr(*[f"{null_if_token_sql(c, tokens)} AS {sql_ident(c)}" if c in strings
                            else sql_ident(c) for c in df.columns])
 
@@ -54,12 +57,18 @@ def coerce_numeric(df: DataFrame, columns: Sequence[str] = fixed.NUMERIC_COLUMNS
     Text that is not a plain number (``12d``, ``nan``, ``inf``, ``1_000``) and
     non-finite values become NULL.  Columns not present are skipped.
     """
+    compile_in_parts(df.sparkSession)
     types = {f.name: f.dataType for f in df.schema.fields}
     dbl, ints = set(present(df, columns)), set(present(df, integer_columns))
-    parsed = df.selectExpr(*[f"{to_double_sql(c, is_numeric_type(types[c]))} AS {sql_ident(c)}"
-                             if c in dbl | ints else sql_ident(c) for c in df.columns])
-    return parsed.selectExpr(*[f"CAST(rint({sql_ident(c)}) AS INT) AS {sql_ident(c)}" if c in ints
-                               else sql_ident(c) for c in df.columns])
+
+    def number(c: str) -> str:
+        if isinstance(types[c], T.StringType):
+            return number_text_sql(c)
+        return f"CAST({sql_ident(c)} AS DOUBLE)" if is_numeric_type(types[c]) else to_double_sql(c)
+
+    parsed = df.selectExpr(*[f"{number(c)} AS {sql_ident(c)}" if c in dbl | ints else sql_ident(c) for c in df.columns])
+    finite = {c: f"CAST(rint({finite_sql(c)}) AS INT)" if c in ints else finite_sql(c) for c in dbl | ints}
+    return parsed.selectExpr(*[f"{finite[c]} AS {sql_ident(c)}" if c in finite else sql_ident(c) for c in df.columns])
 
 
 def fill_causes_zero(df: DataFrame, columns: Sequence[str] = fixed.CAUSE_COLUMNS) -> DataFrame:
@@ -97,10 +106,15 @@ def drop_missing_keys(df: DataFrame, keys: Sequence[str] = fixed.KEY_COLUMNS) ->
 
 
 def coerce_raw(raw: DataFrame, tokens: Sequence[str] | None = fixed.NULL_TOKENS) -> DataFrame:
-    """Null spellings + numeric coercion: the part of cleaning that needs the raw text."""
+    """Null spellings + numeric coercion: the part of cleaning that needs the raw text.
+
+    Spellings that are no numbers need not be looked up in numeric columns: coercion makes them NULL.
+    """
     require_columns(raw, fixed.KEY_COLUMNS, "clean_flights")
-    df = replace_null_tokens(raw, tokens) if tokens is not None else raw
-    return coerce_numeric(df)
+    if tokens is None:
+        return coerce_numeric(raw)
+    coerced = () if any(re.match(NUMBER_PATTERN, t) for t in tokens) else (*fixed.NUMERIC_COLUMNS, *fixed.CALENDAR_COLUMNS)
+    return coerce_numeric(replace_null_tokens(raw, tokens, coerced))
 
 
 def finish_cleaning(coerced: DataFrame) -> DataFrame:

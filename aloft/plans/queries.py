@@ -38,7 +38,7 @@ def tokened(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def coerced(spark: SparkSession, sf: str) -> DataFrame:
-    return C.coerce_numeric(tokened(spark, sf))
+    return C.coerce_raw(raw(spark, sf))
 
 
 def staged(spark: SparkSession, sf: str, columns: Sequence[str] = fixed.RAW_COLUMNS) -> DataFrame:

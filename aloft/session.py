@@ -37,6 +37,8 @@ BASE_CONF = {
     "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
+#: HotSpot's limit, in bytes, for methods that it compiles without that flag
+HUGE_METHOD = "8000"
 
 
 def get_session(master: str = "local[8]", shuffle_partitions: int | None = None,
@@ -89,6 +91,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def compile_in_parts(spark: SparkSession) -> None:
+    """For sessions that others started, without the flag above: a stage whose one generated method HotSpot would leave to its
+    interpreter is generated as a method for each operator and group of columns instead.  Results do not depend on
+    it.  A limit that the session was given stays."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(key, None) in (None, "65535"):
+        spark.conf.set(key, HUGE_METHOD)
+
+
 def _scratch_root(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/aloft-{spark.sparkContext.applicationId}"
 
