@@ -38,6 +38,8 @@ def null_if_token(c: str | Column, tokens: Iterable[str] = fixed.NULL_TOKENS) ->
 # plain number may contain once that whitespace is trimmed.
 _SPACE = " \t\n\x0b\f\r"
 _NUMBER_CHARS = "0123456789+-.eE"
+# Bytes of the shortest hex number that a cast to double accepts, ``0x1p3``.
+_SHORTEST_HEX = 5
 
 
 # --- expressions as SQL text -----------------------------------------------------------------
@@ -90,8 +92,10 @@ def number_text_sql(c: str) -> str:
     ``c`` is a column, named wherever it is needed: a lambda is never compiled, which costs several times the parsing.
     """
     s = sql_ident(c)
-    plain = (f"{s} >= '+' AND {s} < ':' AND substr({s}, -1, 1) BETWEEN '.' AND '9' "
-             f"AND NOT contains({s}, 'x') AND NOT contains({s}, 'X')")
+    # BETWEEN would put the last characters of all columns into a projection of their own
+    ends = ", ".join(f"'{d}'" for d in "0123456789.")
+    plain = (f"{s} >= '+' AND {s} < ':' AND substr({s}, -1, 1) IN ({ends}) "
+             f"AND (octet_length({s}) < {_SHORTEST_HEX} OR NOT contains({s}, 'x') AND NOT contains({s}, 'X'))")
     trimmed = f"btrim({s}, {_SPACE_SQL})"
     return (f"try_cast(CASE WHEN {plain} THEN {s} WHEN translate({trimmed}, '{_NUMBER_CHARS}', '') = '' THEN {trimmed} END "
             "AS DOUBLE)")

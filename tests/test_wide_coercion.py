@@ -70,3 +70,16 @@ def test_iso_dates_need_no_formatter(spark):
     got = df.select("v", parse_date("v").cast("string").alias("a"), plain.cast("string").alias("b")).collect()
     assert [(r["v"], r["a"]) for r in got] == [(r["v"], r["b"]) for r in got]
     assert re.search(r"cast\(v#?\d* as date\)|try_cast\(v", _plan(df.select(parse_date("v"))))
+
+
+def test_no_column_of_last_characters(spark):
+    """A BETWEEN on an expression becomes a column in a projection below: twenty more text columns to copy."""
+    df = spark.createDataFrame([tuple("1" for _ in fixed.RAW_COLUMNS)], ", ".join(f"{c} string" for c in fixed.RAW_COLUMNS))
+    assert "_common_expr" not in _plan(C.coerce_raw(df))
+
+
+def test_hex_of_any_length_is_no_number(spark):
+    rows = ["0x1", "0x1p3", "0X1P3", "-0x1p3", "0x1.8p1", "x1", "1x1", "12345", "123.45", "0x1p-30"]
+    df = spark.createDataFrame([(v,) for v in rows], "DEP_DELAY string")
+    got = [r[0] for r in C.coerce_numeric(df).collect()]
+    assert got == [None] * 7 + [12345.0, 123.45, None]
