@@ -16,11 +16,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aloft.functions import fixed
-from aloft.functions.columns import iso_day_of_week, parse_date, to_double, to_int_half_even
+from aloft.functions.columns import iso_day_of_week, number_text_sql, parse_date, to_double, to_int_half_even
 from aloft.operators.ordered import global_row_number
-from aloft.session import delete_path
+from aloft.session import compile_in_parts, delete_path
 from aloft.sources import layout, tables
 
 
@@ -195,10 +196,16 @@ def prepare_flights(enriched: DataFrame) -> DataFrame:
     """Load-side re-typing of the exported flight frame (before the surrogate key):
     lenient date, ISO weekday recomputed from the date, whole-number columns rounded
     half-to-even, decimal columns coerced, carrier renamed onto the warehouse name."""
+    compile_in_parts(enriched.sparkSession)
     df = export_rename(enriched)
     df = df.withColumnsRenamed({k: v for k, v in LOAD_RENAMES.items() if k in df.columns})
     types = {f.name: f.dataType for f in df.schema.fields}
-    df = df.withColumn("fl_date", parse_date("fl_date"))
+    # numbers still spelled as text are parsed in a projection of their own: the one expression that does it all has
+    # lambdas, and a stage with a lambda is not compiled as a whole
+    texts = [c for c in (*FLIGHT_SMALLINT, *FLIGHT_DECIMAL)
+             if c != "day_of_week" and isinstance(types.get(c), T.StringType)]
+    df = df.withColumns({"fl_date": parse_date("fl_date"), **{c: F.expr(number_text_sql(c)) for c in texts}})
+    types |= dict.fromkeys(texts, T.DoubleType())
     out = {"day_of_week": iso_day_of_week("fl_date").cast("smallint")}
     for c in FLIGHT_SMALLINT:
         if c in types and c != "day_of_week":

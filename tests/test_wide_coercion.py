@@ -10,6 +10,7 @@ from aloft.functions import fixed
 from aloft.functions.columns import DATE_FORMATS, parse_date, to_double
 from aloft.operators import clean as C
 from aloft.session import HUGE_METHOD, compile_in_parts
+from aloft.sources import warehouse as W
 
 LIMIT = "spark.sql.codegen.hugeMethodLimit"
 ODD = ["12", " 12 ", "12d", "12f", "nan", "inf", "Infinity", "0x10", "0x1p3", "1e3", "1e400", "-1e400", "5.", ".5", "+3e-2", "", None, "N/A",
@@ -83,3 +84,14 @@ def test_hex_of_any_length_is_no_number(spark):
     df = spark.createDataFrame([(v,) for v in rows], "DEP_DELAY string")
     got = [r[0] for r in C.coerce_numeric(df).collect()]
     assert got == [None] * 7 + [12345.0, 123.45, None]
+
+
+def test_text_numbers_of_a_load_are_compiled(spark):
+    """The values of ``to_double``, and of its rounding, without lambdas."""
+    df = spark.createDataFrame([(v, v, "2024-01-05", i) for i, v in enumerate(["12.5", "13.5", "7", "12d", "nan", "inf", "1e400", " 8 ", "-0.0", "0x1p3",
+                                                                            "", None, "12\x01"])], "DEP_TIME string, DEP_DELAY string, FL_DATE string, i int")
+    got = W.prepare_flights(df)
+    assert "lambda" not in _plan(got)
+    want = df.select("i", F.rint(to_double("DEP_TIME")).cast("smallint").alias("dep_time"), to_double("DEP_DELAY").alias("dep_delay"))
+    assert sorted(map(str, got.select("i", "dep_time", "dep_delay").collect())) == sorted(map(str, want.collect()))
+    assert [r["dep_time"] for r in got.orderBy("i").limit(4).collect()] == [12, 14, 7, None]
