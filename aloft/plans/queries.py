@@ -64,6 +64,18 @@ def labelled(spark: SparkSession, sf: str, *columns: str, features: Sequence[str
     return FE.engineer_features(frame, ("disrupted", *features))
 
 
+#: the raw columns behind the whole-number columns of the flights table, and the features among these
+SMALLINT_RAW = tuple(c for c in fixed.RAW_COLUMNS
+                     if c.lower() in W.FLIGHT_SMALLINT or c in (ID, "FL_DATE", *LABEL_COLUMNS))
+SMALLINT_FEATURES = ("disrupted", "is_weekend", "dep_hour", "arr_hour")
+
+
+def whole_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole-number columns of the flights, re-typed; nothing else is staged or filled."""
+    frame = FE.engineer_features(cleaned(spark, sf, SMALLINT_RAW), SMALLINT_FEATURES)
+    return W.prepare_flights(frame).select("flight_num", *W.FLIGHT_SMALLINT)
+
+
 def causes(spark: SparkSession, sf: str) -> DataFrame:
     """Delay causes of the kept flights: no column of it needs a median, so nothing is staged."""
     frame = coerced(spark, sf).select(*fixed.KEY_COLUMNS, *fixed.CAUSE_COLUMNS)
@@ -134,8 +146,7 @@ def _registry() -> dict[str, Query]:
         q[f"load_{name}"] = (lambda b, c: lambda s, sf: W.load_summary(b(s, sf), c))(build, contract)
     q["typed_cast_flights"] = lambda s, sf: W.conform(
         W.prepare_flights(enriched(s, sf)), W.FLIGHTS, strict=False).drop("flight_id")
-    q["coerce_smallint"] = lambda s, sf: W.prepare_flights(enriched(s, sf)).select(
-        "flight_num", *W.FLIGHT_SMALLINT)
+    q["coerce_smallint"] = whole_numbers
     q["parse_fl_date"] = lambda s, sf: W.prepare_flights(enriched(s, sf)).select("flight_num", "fl_date")
     q["iso_day_of_week"] = lambda s, sf: W.prepare_flights(enriched(s, sf)).select(
         "flight_num", "fl_date", "day_of_week")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from aloft.functions import fixed
 from aloft.functions.columns import DATE_FORMATS, parse_date, to_double
 from aloft.operators import clean as C
+from aloft.plans import queries as Q
 from aloft.session import HUGE_METHOD, compile_in_parts
 from aloft.sources import warehouse as W
 
@@ -95,3 +96,14 @@ def test_text_numbers_of_a_load_are_compiled(spark):
     want = df.select("i", F.rint(to_double("DEP_TIME")).cast("smallint").alias("dep_time"), to_double("DEP_DELAY").alias("dep_delay"))
     assert sorted(map(str, got.select("i", "dep_time", "dep_delay").collect())) == sorted(map(str, want.collect()))
     assert [r["dep_time"] for r in got.orderBy("i").limit(4).collect()] == [12, 14, 7, None]
+
+
+def test_whole_numbers_stage_only_what_they_read(spark):
+    """The rows and values are those of the whole frame's load."""
+    sf = "/root/testdata/sf0.001"
+    assert not {"TAXI_OUT", "DISTANCE", "WEATHER_DELAY", "TAIL_NUM"} & {*Q.SMALLINT_RAW}
+    cols = ("flight_num", *W.FLIGHT_SMALLINT)
+    whole = W.prepare_flights(Q.enriched(spark, sf)).select(*cols)
+    got = Q.QUERIES["coerce_smallint"](spark, sf)
+    assert got.schema == whole.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
