@@ -23,23 +23,18 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aloft.functions import fixed
 from aloft.functions.columns import np_round
-from aloft.operators import newton
+from aloft.operators import bagging, newton
 from aloft.operators.ordered import global_running_sum, written
 
 KEYS = ("OP_CARRIER_FL_NUM", "TAIL_NUM", "FL_DATE")
 NUMERIC = tuple(c for c in fixed.ML_FEATURES if c not in fixed.ML_CATEGORICAL)
 LABEL = fixed.ML_TARGET
-#: partitions that the forest's rows are dealt to: so many, and one more for each so many rows
-FOREST_PARTITIONS = 16
-FOREST_ROWS = 2_000_000
 #: hex digits of the hash prefix in the split's histogram
 SPLIT_PREFIX = 4
 
@@ -204,16 +199,12 @@ def logistic(train: DataFrame, max_iter: int = fixed.LR_MAX_ITER) -> newton.Logi
 
 def forest(train: DataFrame, trees: int = fixed.RF_TREES, depth: int = fixed.RF_MAX_DEPTH,
            seed: int = fixed.ML_SEED):
-    """A forest of bagged trees.  Spark draws the bags by partition and order, so rows with a ``place`` are
-    dealt and sorted by it first: the same rows give the same trees, however they came."""
-    if "place" in train.columns:
-        parts = FOREST_PARTITIONS + train.count() // FOREST_ROWS
-        train = train.repartition(parts, "place").sortWithinPartitions("place")
-    rf = RandomForestClassifier(featuresCol="features", labelCol=LABEL, weightCol="weight",
-                                numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt",
-                                seed=seed, maxMemoryInMB=1024)
-    # a copy has no training summary, which holds the session and cannot always be sent to tasks with the model
-    return rf.fit(train).copy()
+    """A forest of bagged trees (``bagging.py``); bags follow ``place`` (a hash of the row's content, made here from the
+    vector if it is not there), so the same rows give the same trees, however they came."""
+    if "place" not in train.columns:
+        u = F.unwrap_udt("features")
+        train = train.withColumn("place", F.xxhash64(u["type"], u["size"], u["indices"], u["values"], LABEL))
+    return bagging.fit(train, LABEL, "weight", trees, depth, seed)
 
 
 def scored(model, test: DataFrame) -> DataFrame:
@@ -221,9 +212,7 @@ def scored(model, test: DataFrame) -> DataFrame:
     if isinstance(model, newton.Logistic):
         out = test.select(F.col(LABEL).alias("label"), model.score("features").alias("score"))
         return out.select("label", (F.col("score") > 0.5).cast("int").alias("pred"), "score")
-    out = model.transform(test)
-    return out.select(F.col(LABEL).alias("label"), F.col("prediction").cast("int").alias("pred"),
-                      vector_to_array("probability")[1].alias("score"))
+    return model.scored(test, LABEL)
 
 
 def logistic_gradient(prepared: Prepared, model: newton.Logistic) -> DataFrame:
